@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.operators.judging import with_content_key
+from corpusloom.operators.planning import dimension
 from corpusloom.sources.jsonl import ORIGIN
 
 FENCE = "```"
@@ -161,7 +162,7 @@ def components(spark: SparkSession, sf_dir: str) -> DataFrame:
 def plan_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One category per source; its variations are the event types but errors."""
     kinds = table(spark, sf_dir, "events").where("event_type <> 'error'").select("event_type").distinct()
-    variations = kinds.limit(1000).agg(F.sort_array(F.collect_list("event_type")).alias("v")).scalar()
+    variations = dimension(kinds, "event_type", order="event_type").getField("event_type")
     generic = F.transform(
         F.sequence(F.lit(0), F.lit(7)), lambda k: F.concat(F.lit("Describe "), F.col("category"), F.lit(" part "), k)
     )

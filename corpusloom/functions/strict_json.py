@@ -53,9 +53,8 @@ def as_text(v: Column) -> Column:
 
 def as_number(v: Column) -> Column:
     """Numbers as double, booleans as 0 or 1, null for any other kind."""
-    kind = F.schema_of_variant(v)
-    numeric = (kind == "BIGINT") | (kind == "DOUBLE") | kind.startswith("DECIMAL")
-    return F.when(numeric | (kind == "BOOLEAN"), F.try_variant_get(v, "$", "double"))
+    numeric = F.schema_of_variant(v).rlike("^(BIGINT|DOUBLE|DECIMAL|BOOLEAN)")
+    return F.when(numeric, F.try_variant_get(v, "$", "double"))
 
 
 def size_of(v: Column) -> Column:

@@ -19,7 +19,7 @@ def infer(
     """
     rows = df.select(key, prompt)
     if tasks:
-        rows = rows.repartition(tasks, key)
+        rows = rows.repartition(tasks)
     schema = f"`{key}` {rows.schema[key].dataType.simpleString()}, raw string"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

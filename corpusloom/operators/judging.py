@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import round_half_even
+from corpusloom.operators.planning import remaining_work
 from corpusloom.operators.responses import OBJECT_ATTEMPTS, SCORES, first_acceptable, verdict_attempts
+from corpusloom.operators.skew import HEAVY_ROWS, MAX_HEAVY_KEYS, spread_join
 
 # The acceptance rule and the text of a missing verdict.
 MIN_SCORE = 3
@@ -30,14 +32,16 @@ def with_content_key(df: DataFrame) -> DataFrame:
 
 
 def judge_work(examples: DataFrame, judged: DataFrame | None = None) -> DataFrame:
-    """One row per distinct content that has no usable verdict yet.
+    """One row per distinct content without a usable verdict, and its copy count.
 
     Copies combine inside each task ahead of the shuffle, so text with very
     many copies is judged once and never gathers anywhere.
     """
-    work = examples.dropDuplicates(["content_key"])
+    work = examples.groupBy("content_key").agg(
+        F.any_value("instruction").alias("instruction"), F.any_value("output").alias("output"), F.count(F.lit(1)).alias("copies")
+    )
     if judged is not None:
-        work = work.join(resumable(judged).select("content_key"), "content_key", "left_anti")
+        work = remaining_work(work, resumable(judged), "content_key", unique=True)
     return work
 
 
@@ -72,14 +76,22 @@ def with_default(df: DataFrame) -> DataFrame:
     )
 
 
-def attach(examples: DataFrame, verdicts: DataFrame, key: str = "content_key") -> DataFrame:
+def attach(
+    examples: DataFrame, verdicts: DataFrame, key: str = "content_key", heavy: DataFrame | None = None
+) -> DataFrame:
     """Every example with its verdict, copies alike, defaults filled in.
 
-    ``verdicts`` has one row per key, so the join never multiplies rows. The
-    adaptive skew join splits the partition of a text with very many copies:
-    the large side of a left join may be cut, and the other side is one row.
+    ``verdicts`` has one row per key, so the join never multiplies rows. A text
+    with very many copies is spread over several tasks; ``heavy`` may bring its
+    keys along, as :func:`heavy_contents` takes them from the work table.
     """
-    return with_default(examples.join(verdicts, key, "left"))
+    return with_default(spread_join(examples, verdicts, key, "left", heavy))
+
+
+def heavy_contents(work: DataFrame, min_rows: int = HEAVY_ROWS) -> DataFrame:
+    """Heavy keys from the copy counts of :func:`judge_work`: no scan of the texts."""
+    top = work.where(F.col("copies") > min_rows).orderBy(F.desc("copies")).limit(MAX_HEAVY_KEYS)
+    return top.select("content_key", F.ceil(F.col("copies") / min_rows).cast("int").alias("_salts"))
 
 
 def resumable(verdicts: DataFrame) -> DataFrame:

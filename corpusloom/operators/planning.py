@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import render, render_each, strip
+from corpusloom.operators.skew import spread_join
 
 # Sizes and texts that decide the rendered prompts.
 TARGET_PER_CATEGORY = 40
@@ -112,13 +113,15 @@ def cap_per_category(
     return plan.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
 
 
-def remaining_work(plan: DataFrame, done: DataFrame, key: str) -> DataFrame:
+def remaining_work(plan: DataFrame, done: DataFrame, key: str, unique: bool = False) -> DataFrame:
     """Plan rows whose key is not done.
 
     The done keys are made distinct first: a key finished many times crosses
-    the shuffle once per task, and the join reuses that partitioning.
+    the shuffle once per task. ``unique`` says that no key repeats in the plan;
+    otherwise a prompt planned very often is spread over several tasks.
     """
-    return plan.join(done.select(key).distinct(), key, "left_anti")
+    finished = done.select(key).distinct()
+    return plan.join(finished, key, "left_anti") if unique else spread_join(plan, finished, key, "left_anti")
 
 
 def plan_status(

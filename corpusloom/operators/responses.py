@@ -73,28 +73,50 @@ def with_payload(df: DataFrame, raw: str, family: str, out: str, escapes: str =
     return J.with_json(df, "_text", out).drop("_text")
 
 
-def _batch_element(e: Column) -> Column:
-    """One list element: its record, and whether it voids the whole attempt."""
-    members, items, word = J.as_object(e), J.as_list(e), J.as_string(e)
+def _kinds(e: Column) -> Column:
+    """One list element as the kind it is; the other two are null."""
+    members, items = J.as_object(e), J.as_list(e)
+    return F.struct(members.alias("members"), items.alias("items"), e.alias("value"))
+
+
+def _parts(k: Column) -> Column:
+    """What the rules look at, each taken out of the element once."""
+    members, items = k["members"], k["items"]
+    word = F.when(members.isNull() & items.isNull(), J.as_string(k["value"]))
     output = F.try_element_at(members, F.lit("output"))
-    has_keys = F.map_contains_key(members, "instruction") & F.map_contains_key(members, "output")
-    length = J.size_of(output)
-    item_words = F.transform(items, J.as_string)
-    names_both = (
-        F.when(items.isNotNull(), F.array_contains(item_words, "instruction") & F.array_contains(item_words, "output"))
-        .when(word.isNotNull(), word.contains("instruction") & word.contains("output"))
+    return F.struct(
+        members.alias("members"),
+        F.transform(items, J.as_string).alias("words"),
+        word.alias("word"),
+        (F.map_contains_key(members, "instruction") & F.map_contains_key(members, "output")).alias("has_keys"),
+        J.size_of(output).alias("length"),
+        J.as_text(output).alias("output"),
     )
-    voids = (
-        F.when(members.isNotNull(), has_keys & length.isNull())
-        .otherwise(F.coalesce(names_both, F.lit(True)))
+
+
+def _names_both(p: Column) -> Column:
+    """A list or text that names both keys looks like a record, but is none."""
+    return F.when(
+        p["words"].isNotNull(),
+        F.coalesce(F.array_contains(p["words"], "instruction") & F.array_contains(p["words"], "output"), F.lit(False)),
+    ).when(p["word"].isNotNull(), p["word"].contains("instruction") & p["word"].contains("output"))
+
+
+def _voids(p: Column) -> Column:
+    """Elements that cannot be tested fail the attempt they are in."""
+    return F.when(p["members"].isNotNull(), p["has_keys"] & p["length"].isNull()).otherwise(
+        F.coalesce(_names_both(p), F.lit(True))
     )
-    missing_input = ~F.map_contains_key(members, "input")
+
+
+def _record(p: Column, pos: Column) -> Column:
+    members = p["members"]
+    given = F.map_contains_key(members, "input")
     return F.struct(
-        F.coalesce(voids, F.lit(True)).alias("voids"),
-        F.coalesce(members.isNotNull() & has_keys & (length > MIN_OUTPUT_CHARS), F.lit(False)).alias("keep"),
+        pos.cast("long").alias("pos"),
         J.as_text(F.try_element_at(members, F.lit("instruction"))).alias("instruction"),
-        F.when(missing_input, F.lit("")).otherwise(J.as_text(F.try_element_at(members, F.lit("input")))).alias("input"),
-        J.as_text(output).alias("output"),
+        F.when(given, J.as_text(F.try_element_at(members, F.lit("input")))).otherwise("").alias("input"),
+        p["output"].alias("output"),
         members.alias("record"),
     )
 
@@ -107,22 +129,12 @@ def batch_attempts(df: DataFrame, raw: str = "raw") -> DataFrame:
     or is too short is left out alone. ``pos`` is its place in the list.
     """
     df = with_payload(df, raw, "batch", "_json")
-    df = df.withColumn("_elems", F.transform(J.as_list(F.col("_json")), _batch_element)).drop("_json")
-    numbered = F.transform(F.col("_elems"), lambda e, i: F.struct(i.cast("long").alias("pos"), e.alias("e")))
-    valid = F.filter(numbered, lambda n: n["e"]["keep"])
-    records = F.transform(
-        valid,
-        lambda n: F.struct(
-            n["pos"].alias("pos"),
-            n["e"]["instruction"].alias("instruction"),
-            n["e"]["input"].alias("input"),
-            n["e"]["output"].alias("output"),
-            n["e"]["record"].alias("record"),
-        ),
-    )
-    return df.withColumn(
-        "records", F.when(~F.exists(F.col("_elems"), lambda e: e["voids"]), records)
-    ).drop("_elems")
+    df = df.withColumn("_elems", F.transform(J.as_list(F.col("_json")), _kinds)).drop("_json")
+    df = df.withColumn("_elems", F.transform("_elems", _parts))
+    numbered = F.transform("_elems", lambda p, i: F.struct(i.alias("pos"), p.alias("p")))
+    valid = F.filter(numbered, lambda n: F.coalesce(n["p"]["has_keys"] & (n["p"]["length"] > MIN_OUTPUT_CHARS), F.lit(False)))
+    records = F.transform(valid, lambda n: _record(n["p"], n["pos"]))
+    return df.withColumn("records", F.when(~F.exists("_elems", _voids), records)).drop("_elems")
 
 
 def explode_records(df: DataFrame, *keep: str, records: str = "records") -> DataFrame:

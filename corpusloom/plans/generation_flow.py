@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.operators import cleaning, responses as R
 from corpusloom.operators.sections import long_enough, section_attempts
+from corpusloom.operators.skew import spread_join
 
 
 def sectioned_results(plan: DataFrame, responses: DataFrame, key: str = "prompt", mode: str = "lenient") -> DataFrame:
@@ -21,7 +22,8 @@ def sectioned_results(plan: DataFrame, responses: DataFrame, key: str = "prompt"
     tries = section_attempts(responses.where(F.col("attempt") <= R.SECTION_ATTEMPTS), mode=mode)
     ok = long_enough(F.col("example.output"))
     first = R.first_acceptable(tries, [key], F.col("attempt"), "example", ok)
-    rows = first.select(key, "example.instruction", "example.output").join(plan.select(key, "category", "domain"), key)
+    parsed = first.select(key, "example.instruction", "example.output")
+    rows = spread_join(plan.select(key, "category", "domain"), parsed, key, "inner")
     fixed = cleaning.drop_bad_tests(cleaning.fix_examples(rows))
     named = fixed.withColumnRenamed(key, "plan_key")
     return cleaning.shape_sectioned(named, "plan_key")

@@ -20,17 +20,19 @@ def judge_requests(examples: DataFrame, system: str, template: str, judged: Data
     return work.select("content_key", envelope(system, prompt).alias("messages"))
 
 
-def judged_examples(examples: DataFrame, responses: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
+def judged_examples(
+    examples: DataFrame, responses: DataFrame, earlier: DataFrame | None = None, heavy: DataFrame | None = None
+) -> DataFrame:
     """Every example with its enforced verdict.
 
     ``responses``: content_key, attempt, raw. ``earlier``: verdicts of former
-    runs; usable ones win over new responses.
+    runs; usable ones win over new responses. ``heavy``: see judging.attach.
     """
     verdicts = judging.verdicts_from_responses(responses)
     if earlier is not None:
         kept = judging.resumable(earlier).select("content_key", *judging.VERDICT_COLUMNS)
-        verdicts = kept.unionByName(remaining_work(verdicts, kept, "content_key"))
-    return judging.attach(judging.with_content_key(examples), verdicts)
+        verdicts = kept.unionByName(remaining_work(verdicts, kept, "content_key", unique=True))
+    return judging.attach(judging.with_content_key(examples), verdicts, heavy=heavy)
 
 
 @dataclass
@@ -41,13 +43,20 @@ class JudgedCorpus:
     worst: DataFrame
 
 
-def judge_corpus(examples: DataFrame, responses: DataFrame, out: str, judge: str, earlier: DataFrame | None = None) -> JudgedCorpus:
+def judge_corpus(
+    examples: DataFrame,
+    responses: DataFrame,
+    out: str,
+    judge: str,
+    earlier: DataFrame | None = None,
+    heavy: DataFrame | None = None,
+) -> JudgedCorpus:
     """Write judged, clean, rejected, final and report data sets below ``out``.
 
     The join runs once. Its result is a table partitioned by verdict: each sink
     reads its own partition and the reports read three narrow columns.
     """
-    judged = stage(judged_examples(examples, responses, earlier), f"{out}/judged", "verdict")
+    judged = stage(judged_examples(examples, responses, earlier, heavy), f"{out}/judged", "verdict")
     jsonl.write_clean(judged, f"{out}/clean")
     jsonl.write_rejects(judged, f"{out}/rejected")
     jsonl.write_merged(judging.without_verdict(judging.accepted(judged)), f"{out}/final")

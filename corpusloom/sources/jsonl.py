@@ -11,6 +11,7 @@ from corpusloom.functions.text import is_blank
 from corpusloom.operators.judging import accepted, nest_verdict, rejected, without_verdict
 
 ORIGIN = "_source_file"
+PIECE = "_piece"
 
 
 def strings(*names: str) -> T.StructType:
@@ -36,7 +37,10 @@ def scan_examples(
     :func:`write_by_origin` bring the origin along.
     """
     rows = spark.read.schema(schema).option("mode", "FAILFAST").option("pathGlobFilter", glob).json(path)
-    return rows if ORIGIN in rows.columns else rows.withColumn(ORIGIN, F.col("_metadata.file_name"))
+    # the piece of the file tells apart copies that are equal in every column
+    piece = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"))
+    added = {PIECE: piece} | ({} if ORIGIN in rows.columns else {ORIGIN: F.col("_metadata.file_name")})
+    return rows.withColumns(added)
 
 
 def scan_open(spark: SparkSession, path: str) -> DataFrame:

@@ -37,7 +37,7 @@ def append_batch(new: DataFrame, batch_id: int, path: str, schema: T.StructType,
     """
     earlier = read_log(new.sparkSession, path, schema).where(f"{BATCH} < {batch_id}")
     finished = done(earlier) if done else earlier
-    fresh = remaining_work(new, finished, key)
+    fresh = remaining_work(new, finished, key, unique=True)
     fresh.select(*schema.names).write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
 
 
