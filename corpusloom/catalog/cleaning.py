@@ -25,7 +25,7 @@ def tests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every third instruction asks for tests, every second output has one."""
     ask = F.when(F.col("doc_id") % 3 == 0, "Write JEST checks ").otherwise("Build a view ")
     call = F.when(F.col("doc_id") % 2 == 0, "it ('works', f);\n").otherwise("submit('x');\n")
-    rows = fx.table(spark, sf_dir, "documents").select(
+    rows = fx.texts(spark, sf_dir).select(
         "doc_id", F.concat(ask, F.lit("no "), "doc_id").alias("instruction"), F.concat(call, "text").alias("output")
     )
     return C.drop_bad_tests(rows)
@@ -46,7 +46,7 @@ def tag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def derive(spark: SparkSession, sf_dir: str) -> DataFrame:
     call = F.concat("source", F.when(F.col("doc_id") % 2 == 0, "-").otherwise(""), F.when(F.col("doc_id") % 3 == 0, "domain-1").otherwise("x"))
-    return C.derive_from_call(fx.table(spark, sf_dir, "documents").select("doc_id", call.alias("call_id")))
+    return C.derive_from_call(fx.texts(spark, sf_dir).select("doc_id", call.alias("call_id")))
 
 
 def union(spark: SparkSession, sf_dir: str) -> DataFrame:

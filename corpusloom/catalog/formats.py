@@ -58,13 +58,13 @@ def unify(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Targets: every source plus one per language that has no records."""
-    docs = fx.table(spark, sf_dir, "documents")
+    docs = fx.texts(spark, sf_dir)
     targets = docs.select(F.explode(F.array("source", F.concat(F.lit("lang "), "lang"))).alias("category")).distinct()
     return formats.coverage(fx.examples(spark, sf_dir), targets.withColumn("target", F.lit(60).cast("long")))
 
 
 def tags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = fx.table(spark, sf_dir, "documents")
+    docs = fx.texts(spark, sf_dir)
     words = F.array_distinct(F.split(F.lower("text"), " "))
     return formats.tag_frequency(docs.select(words.alias("tags")), 25)
 
@@ -75,7 +75,7 @@ def policies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def policy_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Over whole pages, which bring their own markup."""
-    return lint.lint_counts(lint.lint(fx.table(spark, sf_dir, "pages"), "page_id", text="html"))
+    return lint.lint_counts(lint.lint(fx.texts(spark, sf_dir, "pages"), "page_id", text="html"))
 
 
 QUERIES = {
@@ -94,7 +94,7 @@ _CASES = """VALUES ('placeholder', [0]), ('missing_sharing', [1]), ('no_security
                  ('trivial_assert', [6]), ('deprecated_if', [7]), ('inline_style', [8])"""
 
 
-def _found(rule: str, present: str, absent: str | None) -> str:
+def _found(rule: str, _literal: str, present: str, absent: str | None) -> str:
     def matches(pattern: str) -> str:
         return "regexp_matches(html, '%s')" % pattern.replace("'", "''")
 

@@ -14,7 +14,7 @@ from corpusloom.plans import generation_flow
 
 def reasoning(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = F.concat(F.lit("\n<think>a\nb"), "text", F.lit("</think>\n\n"), "text", F.lit("<think></think> <think>open"))
-    return fx.table(spark, sf_dir, "documents").select("doc_id", R.strip_reasoning(raw).alias("clean"))
+    return fx.texts(spark, sf_dir).select("doc_id", R.strip_reasoning(raw).alias("clean"))
 
 
 def json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,7 +23,7 @@ def json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A list, a lone object, a blank output, no JSON, or a null output, by doc_id % 5."""
-    docs = fx.table(spark, sf_dir, "documents")
+    docs = fx.texts(spark, sf_dir)
     case = F.col("doc_id") % 5
     one = F.struct(F.col("source").alias("instruction"), F.lit("kept").alias("input"), F.col("text").alias("output"))
     blank = F.struct(F.lit("b").alias("instruction"), F.lit("").alias("input"), F.lit(" \n").alias("output"))
@@ -41,7 +41,7 @@ def normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def escapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.replace(F.replace(F.col("text"), F.lit("e"), F.lit("\\s")), F.lit("a"), F.lit("\\\\"))
-    return fx.table(spark, sf_dir, "documents").select("doc_id", R.repair_escapes(text).alias("repaired"))
+    return fx.texts(spark, sf_dir).select("doc_id", R.repair_escapes(text).alias("repaired"))
 
 
 def sections_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,7 +64,7 @@ def assembled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages cut to lengths around the limit."""
-    cut = fx.table(spark, sf_dir, "pages").withColumn("html", F.left("html", (F.col("page_id") * 37 % 200).cast("int") + 1))
+    cut = fx.texts(spark, sf_dir, "pages").withColumn("html", F.left("html", (F.col("page_id") * 37 % 200).cast("int") + 1))
     rows = S.section_records(fx.as_section_responses(cut), "page_id")
     return rows.where(S.long_enough(F.col("output"))).select("page_id", F.length("output").cast("long").alias("n"))
 
@@ -79,7 +79,7 @@ def first_ok(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents; wrong types, missing keys and plain text by doc_id % 6."""
-    docs = fx.table(spark, sf_dir, "documents")
+    docs = fx.texts(spark, sf_dir)
     case = F.col("doc_id") % 6
     good = fx.judge_raw(F.col("doc_id"), F.col("n_chars"))
     raw = (

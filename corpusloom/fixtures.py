@@ -20,6 +20,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
+    """A table whose rows are costly to work on, on all cores.
+
+    A table of fewer splits than cores is spread out once; any larger one is
+    left as it is scanned, without a shuffle.
+    """
+    df = table(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def first_line(text: Column) -> Column:
     return F.substring_index(text, "\n", 1)
 
@@ -38,7 +49,7 @@ def as_examples(documents: DataFrame) -> DataFrame:
 
 
 def examples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_examples(table(spark, sf_dir, "documents"))
+    return as_examples(texts(spark, sf_dir))
 
 
 def scores(doc: Column, n: Column) -> dict[str, Column]:
@@ -83,7 +94,7 @@ def as_judge_responses(documents: DataFrame) -> DataFrame:
 
 
 def judge_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_judge_responses(table(spark, sf_dir, "documents"))
+    return as_judge_responses(texts(spark, sf_dir))
 
 
 def as_json_responses(documents: DataFrame) -> DataFrame:
@@ -98,7 +109,7 @@ def as_json_responses(documents: DataFrame) -> DataFrame:
 
 
 def json_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_json_responses(table(spark, sf_dir, "documents"))
+    return as_json_responses(texts(spark, sf_dir))
 
 
 def json_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,7 +148,7 @@ def as_section_responses(pages: DataFrame) -> DataFrame:
 
 
 def section_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_section_responses(table(spark, sf_dir, "pages"))
+    return as_section_responses(texts(spark, sf_dir, "pages"))
 
 
 def as_components(documents: DataFrame) -> DataFrame:
@@ -156,7 +167,7 @@ def as_components(documents: DataFrame) -> DataFrame:
 
 
 def components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_components(table(spark, sf_dir, "documents"))
+    return as_components(texts(spark, sf_dir))
 
 
 def plan_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -219,4 +230,4 @@ def lint_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     snippet = F.lit("<p style='color:red'></p>\n")
     for k, text in enumerate(snippets):
         snippet = F.when(case == k, text).otherwise(snippet)
-    return table(spark, sf_dir, "documents").select("doc_id", F.concat(snippet, "text").alias("output"))
+    return texts(spark, sf_dir).select("doc_id", F.concat(snippet, "text").alias("output"))

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import string
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The characters str.isspace() accepts, as text and as a regex class.
@@ -58,14 +58,18 @@ def before_first(col: Column, marker: str) -> Column:
     return F.when(F.contains(col, F.lit(marker)), F.substring_index(col, marker, 1))
 
 
-def widest_span(col: Column, opening: str, closing: str) -> Column:
-    """From the first opening to the last closing character, else the whole text.
+def with_widest_span(df: DataFrame, col: str, opening: str, closing: str) -> DataFrame:
+    """Cut a column to the span from its first opening to its last closing character.
 
-    The same span as a greedy dot-all regex, found by position in linear time.
+    A text without such a span stays whole. This is what a greedy dot-all regex
+    finds, taken by position in linear time.
     """
-    first = F.locate(opening, col)
-    last = F.length(col) - F.length(F.substring_index(col, closing, -1))
-    return F.when((first > 0) & (last > first), F.substr(col, first, last - first + 1)).otherwise(col)
+    text, first, last = F.col(col), F.col("_first"), F.col("_last")
+    df = df.withColumn("_first", F.locate(opening, text)).withColumn(
+        "_last", F.length(text) - F.length(F.substring_index(text, closing, -1))
+    )
+    cut = F.when((first > 0) & (last > first), F.substr(text, first, last - first + 1)).otherwise(text)
+    return df.withColumn(col, cut).drop("_first", "_last")
 
 
 def render(template: str, **fields: Column) -> Column:

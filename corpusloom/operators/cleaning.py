@@ -28,22 +28,28 @@ SECTION_SOURCE = "synthetic_lwc_master/"
 SECTION_TYPE = "lwc"
 
 
+def _where(text: Column, literal: str, fixed: Column) -> Column:
+    """Most texts lack the literal a rule needs and skip its pattern."""
+    return F.when(F.contains(text, F.lit(literal)), fixed).otherwise(text)
+
+
 def untrack_primitives(text: Column) -> Column:
-    return F.regexp_replace(text, PRIMITIVE_TRACK, "$2")
+    return _where(text, "@track", F.regexp_replace(text, PRIMITIVE_TRACK, "$2"))
 
 
 def drop_loading_field(text: Column) -> Column:
     """Only where a getter of the same name makes the field redundant."""
-    return F.when(text.rlike(LOADING_GETTER), F.regexp_replace(text, LOADING_FIELD, "")).otherwise(text)
+    fixed = F.when(text.rlike(LOADING_GETTER), F.regexp_replace(text, LOADING_FIELD, "")).otherwise(text)
+    return _where(text, "isLoading", fixed)
 
 
 def unfence_css(text: Column) -> Column:
-    return F.regexp_replace(text, FENCED_CSS, "$1$2")
+    return _where(text, "```css", F.regexp_replace(text, FENCED_CSS, "$1$2"))
 
 
 def merge_headers(text: Column) -> Column:
     """Of two adjacent headers keep the second; three become two."""
-    return F.regexp_replace(text, DOUBLE_HEADER, "$2")
+    return _where(text, "<!--", F.regexp_replace(text, DOUBLE_HEADER, "$2"))
 
 
 RULES = {

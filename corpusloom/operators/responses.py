@@ -11,9 +11,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions import strict_json as J
-from corpusloom.functions.text import WS, is_blank, strip, widest_span
+from corpusloom.functions.text import SPACE_CHARS, WS, is_blank, strip, with_widest_span
 
-# Gates and attempt limits.
+# The fence, gates and attempt limits.
+FENCE = "```"
 MIN_OUTPUT_CHARS = 200
 SECTION_ATTEMPTS = 3
 OBJECT_ATTEMPTS = 4
@@ -45,32 +46,52 @@ def repair_escapes(text: Column, mode: str = "faithful") -> Column:
     raise ValueError(f"unknown mode {mode!r}")
 
 
-def clean_json(raw: Column, family: str, escapes: str = "faithful") -> Column:
-    """The JSON text inside a response; the three families differ.
+def open_fence(languages: str) -> str:
+    """A fence at any line start and the blanks behind it.
+
+    The literal comes first and the line start is looked up behind it, so the
+    search runs from fence to fence and not over every line.
+    """
+    return rf"(?md){FENCE}(?<=^{FENCE}){languages}{WS}*"
+
+
+def drop_line_end_fences(text: Column) -> Column:
+    """Remove every fence at a line end, with the blanks in front of it.
+
+    Cutting at the fences and trimming the pieces is linear; a pattern that
+    begins with a run of blanks would be tried from each of them.
+    """
+    pieces = F.split(text, rf"(?md){FENCE}$", -1)
+    return F.array_join(F.transform(pieces, lambda p: F.rtrim(p, F.lit(SPACE_CHARS))), "")
+
+
+def with_clean_json(df: DataFrame, raw: str, out: str, family: str, escapes: str = "faithful") -> DataFrame:
+    """Add ``out``: the JSON text inside a response; the three families differ.
 
     ``object``: fences at any line; whole text; escapes repaired.
     ``judge``: fences at any line; widest ``{...}``.
     ``batch``: reasoning removed; fences at both ends; widest ``[...]``.
     """
-    text = strip(raw)
+    text = F.col(out)
     if family == "batch":
-        text = strip_reasoning(text)
-        text = strip(F.regexp_replace(text, rf"\A```json{WS}*", ""))
-        text = strip(F.regexp_replace(text, r"```\z", ""))
-        return strip(F.regexp_replace(text, rf"\A```{WS}*", ""))
-    text = F.regexp_replace(text, rf"(?md)^```(?:json)?{WS}*", "")
-    # a run of blanks is tried from its start only
-    text = F.regexp_replace(text, rf"(?md)(?<!{WS}){WS}*+```$", "")
-    return repair_escapes(strip(text), escapes) if family == "object" else text
+        df = df.withColumn(out, strip_reasoning(F.col(raw)))
+        for opening in (f"{FENCE}json", None, FENCE):
+            cut = (
+                F.when(F.endswith(text, F.lit(FENCE)), strip(F.left(text, F.length(text) - len(FENCE))))
+                if opening is None
+                else F.when(F.startswith(text, F.lit(opening)), strip(F.substr(text, F.lit(len(opening) + 1))))
+            )
+            df = df.withColumn(out, cut.otherwise(text))
+        return with_widest_span(df, out, "[", "]")
+    cleaned = drop_line_end_fences(F.regexp_replace(strip(F.col(raw)), open_fence("(?:json)?"), ""))
+    if family == "object":
+        return df.withColumn(out, repair_escapes(strip(cleaned), escapes))
+    return with_widest_span(df.withColumn(out, cleaned), out, "{", "}")
 
 
 def with_payload(df: DataFrame, raw: str, family: str, out: str, escapes: str = "faithful") -> DataFrame:
     """Add ``out``: the strictly parsed JSON value of a response, or null."""
-    df = df.withColumn("_text", clean_json(F.col(raw), family, escapes))
-    if family != "object":
-        brackets = "{}" if family == "judge" else "[]"
-        df = df.withColumn("_text", widest_span(F.col("_text"), *brackets))
-    return J.with_json(df, "_text", out).drop("_text")
+    return J.with_json(with_clean_json(df, raw, "_text", family, escapes), "_text", out).drop("_text")
 
 
 def _kinds(e: Column) -> Column:

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import WS, after_first, before_first, strip, title_words
-from corpusloom.operators.responses import MIN_OUTPUT_CHARS, strip_reasoning
+from corpusloom.functions.text import after_first, before_first, strip, title_words
+from corpusloom.operators.responses import FENCE, MIN_OUTPUT_CHARS, open_fence, strip_reasoning
 
 # Markers, fence languages in their order, default names.
 INSTRUCTION, HTML, JS, CSS = (f"=== {name} ===" for name in ("INSTRUCTION", "HTML", "JS", "CSS"))
@@ -14,19 +14,27 @@ FENCE_LANGUAGES = ("html", "javascript", "js", "css", "")
 DEFAULT_NAME = {"lenient": "MyComponent", "strict": "GraphqlComponent"}
 
 
-def strip_fences(text: Column) -> Column:
-    """Per language: opening fences at any line start, then one closing fence."""
-    for language in FENCE_LANGUAGES:
-        text = strip(F.regexp_replace(text, rf"(?md)^```{language}{WS}*", ""))
-        text = strip(F.regexp_replace(text, r"```\z", ""))
-    return text
-
+def strip_fences(df: DataFrame, *cols: str) -> DataFrame:
+    """Per language: opening fences at any line start, then one closing fence.
 
-def _unfenced(df: DataFrame, *cols: str) -> DataFrame:
-    """Texts without any fence, the common case, skip the rules."""
-    return df.withColumns(
-        {c: F.when(F.contains(F.col(c), F.lit("```")), strip_fences(F.col(c))).otherwise(F.col(c)) for c in cols}
-    )
+    The columns come and stay trimmed, so a closing fence is simply the end of
+    the text, and texts without a fence pass through two plain searches.
+    """
+    for language in FENCE_LANGUAGES:
+        opened = {
+            c: F.when(
+                F.contains(F.col(c), F.lit(FENCE + language)), strip(F.regexp_replace(c, open_fence(language), ""))
+            ).otherwise(F.col(c))
+            for c in cols
+        }
+        closed = {
+            c: F.when(
+                F.endswith(F.col(c), F.lit(FENCE)), strip(F.left(F.col(c), F.length(c) - len(FENCE)))
+            ).otherwise(F.col(c))
+            for c in cols
+        }
+        df = df.withColumns(opened).withColumns(closed)
+    return df
 
 
 def split_sections(df: DataFrame, raw: str = "raw", mode: str = "lenient") -> DataFrame:
@@ -58,7 +66,7 @@ def split_sections(df: DataFrame, raw: str = "raw", mode: str = "lenient") -> Da
     df = df.withColumns(
         {c: F.when(found, F.col(f"_{c}")) for c in ("instruction", "html", "js", "css")}
     ).drop("_text", "_instruction", "_html", "_js", "_css")
-    return _unfenced(df, "html", "js", *(["css"] if mode == "lenient" else []))
+    return strip_fences(df, "html", "js", *(["css"] if mode == "lenient" else []))
 
 
 def component_name(js: Column, mode: str = "lenient") -> Column:

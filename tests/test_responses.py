@@ -47,13 +47,32 @@ def test_escapes(spark, mode, want):
     assert evaluate(spark, values, lambda c: R.repair_escapes(c, mode)) == want
 
 
-def test_clean_variants(spark):
-    fenced = " ```json\n[1]\n```\nafter\n```\n"
-    assert evaluate(spark, [fenced], lambda c: R.clean_json(c, "object")) == ["[1]\nafter"]
-    assert evaluate(spark, ["<think>x</think>\n```json\n[1]\n```"], lambda c: R.clean_json(c, "batch")) == ["[1]"]
-    assert evaluate(spark, ["```\n[1]\n```"], lambda c: R.clean_json(c, "batch")) == ["[1]"]
-    # reasoning stays in the two families that do not know it
-    assert evaluate(spark, ["<think>x</think>{}"], lambda c: R.clean_json(c, "judge")) == ["<think>x</think>{}"]
+# Input, then what each family makes of it, blanks at the ends aside.
+CLEAN = [
+    ("", "", "", ""),
+    (" [1] \n", "[1]", "[1]", "[1]"),
+    ("```", "", "", ""),
+    ("```json\n[1]\n```", "[1]", "[1]", "[1]"),
+    ("```\n[1]\n```\n", "[1]", "[1]", "[1]"),
+    ("```json\n[1]\n```\nafter\n```\n", "[1]", "[1]\nafter", "[1]\nafter"),
+    ("before\n```json\n{}\n```", "before\n```json\n{}", "{}", "before\n{}"),
+    ("x ```json {} ```  ``` y", "x ```json {} ```  ``` y", "{}", "x ```json {} ```  ``` y"),
+    ("``````json", "```json", "```json", "```json"),
+    ("a [1] b [2] c", "[1] b [2]", "a [1] b [2] c", "a [1] b [2] c"),
+    ("a {1} b {2} c", "a {1} b {2} c", "{1} b {2}", "a {1} b {2} c"),
+    ("] [", "] [", "] [", "] ["),
+    ("<think>[0]</think> [1]", "[1]", "<think>[0]</think> [1]", "<think>[0]</think> [1]"),
+    ("a\r```", "a", "a", "a"),
+    ("\u2028```json [1]", "[1]", "[1]", "[1]"),
+    ("a\u2028```json [1]", "[1]", "a\u2028```json [1]", "a\u2028```json [1]"),
+]
+
+
+@pytest.mark.parametrize("place, family", [(1, "batch"), (2, "judge"), (3, "object")])
+def test_clean_variants(spark, place, family):
+    df = spark.createDataFrame([(c[0],) for c in CLEAN], "raw string")
+    got = {r["raw"]: r["out"].strip() for r in R.with_clean_json(df, "raw", "out", family).collect()}
+    assert got == {c[0]: c[place] for c in CLEAN}
 
 
 BATCH = {
@@ -75,22 +94,6 @@ BATCH = {
 }
 
 
-def python_batch(value):
-    """What the rule says, for the table above."""
-    if not isinstance(value, list):
-        return None
-    try:
-        return len([e for e in value if all(k in e for k in ("instruction", "output")) and len(e["output"]) > 200])
-    except TypeError:
-        return None
-
-
-@pytest.mark.parametrize("name", BATCH)
-def test_batch_table_matches_python(name):
-    value, want = BATCH[name]
-    assert python_batch(value) == want
-
-
 def test_batch_attempts(spark):
     rows = [(name, json.dumps(value)) for name, (value, _) in BATCH.items()] + [("cut", '[{"instruction": "i"'), ("none", None)]
     df = R.batch_attempts(spark.createDataFrame(rows, "name string, raw string"))

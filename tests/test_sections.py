@@ -1,5 +1,5 @@
 import pytest
-from helpers import evaluate, frame
+from helpers import frame
 
 from corpusloom.operators import sections as S
 
@@ -43,7 +43,8 @@ def test_strict_wants_the_css_marker(spark):
     ("```html\na\n```", "a"), ("a", "a"), ("```\na\n```\n```", "a"), ("``````", ""), ("x ```", "x"), ("```ts\na\n```", "ts\na"),
 ])
 def test_fences(spark, text, want):
-    assert evaluate(spark, [text], S.strip_fences) == [want]
+    df = frame(spark, "a string, b string", (text, "other"))
+    assert tuple(S.strip_fences(df, "a", "b").first()) == (want, "other")
 
 
 def test_empty_sections_match(spark):

@@ -57,12 +57,13 @@ def test_markers(spark):
 
 
 def test_widest_span(spark):
-    values = ["a {b} c {d} e", "}{", "{", "none", "é{😀}", "} {x} {", "{}"]
-    want = []
+    values = ["a {b} c {d} e", "}{", "{", "none", "\u00e9{\U0001f600}", "} {x} {", "{}", ""]
+    want = {}
     for v in values:
         m = re.search(r"\{.*\}", v, re.DOTALL)
-        want.append(m.group(0) if m else v)
-    assert evaluate(spark, values, lambda c: X.widest_span(c, "{", "}")) == want
+        want[v] = m.group(0) if m else v
+    df = spark.createDataFrame([(v, v) for v in values], "v string, s string")
+    assert dict(map(tuple, X.with_widest_span(df, "s", "{", "}").collect())) == want
 
 
 def test_render(spark):
