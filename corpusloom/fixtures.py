@@ -28,7 +28,7 @@ def texts(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFram
     """
     df = table(spark, sf_dir, name)
     cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, df.columns[0]) if df.rdd.getNumPartitions() < cores else df
 
 
 def first_line(text: Column) -> Column:
@@ -49,7 +49,7 @@ def as_examples(documents: DataFrame) -> DataFrame:
 
 
 def examples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_examples(texts(spark, sf_dir))
+    return as_examples(table(spark, sf_dir, "documents"))
 
 
 def scores(doc: Column, n: Column) -> dict[str, Column]:
@@ -94,7 +94,7 @@ def as_judge_responses(documents: DataFrame) -> DataFrame:
 
 
 def judge_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_judge_responses(texts(spark, sf_dir))
+    return as_judge_responses(table(spark, sf_dir, "documents"))
 
 
 def as_json_responses(documents: DataFrame) -> DataFrame:
