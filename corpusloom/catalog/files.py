@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from corpusloom import fixtures as fx
 from corpusloom.catalog.sql import EXAMPLES, JUDGED
-from corpusloom.operators import judging
+from corpusloom.operators import judging, reports
 from corpusloom.session import work_dir
 from corpusloom.sources import jsonl
 
@@ -32,6 +32,31 @@ def scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("instruction", "input", "output", "category", "type", F.col(jsonl.ORIGIN).alias("source_file"))
 
 
+def load_one(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A glob over the folders of a few origins; the others are never listed."""
+    path = work_dir(spark, "load")
+    jsonl.write_by_origin(_examples(spark, sf_dir), path)
+    rows = jsonl.scan_examples(spark, f"{path}/{jsonl.ORIGIN}=*[02468].jsonl", SCHEMA, glob="*.json")
+    return jsonl.public_columns(rows).select(*SCHEMA.names)
+
+
+def scan_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = fx.table(spark, sf_dir, "documents")
+    example = F.struct(F.col("source").alias("instruction"), F.col("text").alias("output"))
+    path = work_dir(spark, "strict-log")
+    docs.select(F.concat(F.lit("p"), "doc_id").alias("prompt"), example.alias("example")).write.json(path)
+    return jsonl.strict_log(spark, path, jsonl.strings("instruction", "output")).select("prompt", "example.*")
+
+
+def report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report as written, read back as numbers."""
+    path = work_dir(spark, "report")
+    rows = _judged(spark, sf_dir)
+    reports.report_json(reports.qc_summary(rows), reports.pass_rate_by_category(rows), "judge").write.text(path)
+    schema = "judge string, total long, accepted long, rejected long, category string, accept long, reject long, pass_rate double"
+    return spark.read.schema(schema).json(path)
+
+
 def scan_tolerant(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = fx.table(spark, sf_dir, "documents")
     prompt = F.concat(F.lit("p"), "doc_id")
@@ -104,11 +129,14 @@ def public(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "s1_scan": scan,
     "s2_scan_tolerant": scan_tolerant,
+    "s3_scan_strict": scan_strict,
     "s4_roundtrip": roundtrip,
     "s5_merged": merged,
     "s6_rejects": rejects,
     "s7_overwrite": overwrite,
+    "s8_report": report,
     "s9_public": public,
+    "s10_load": load_one,
 }
 
 ORACLES = {
@@ -117,6 +145,7 @@ ORACLES = {
         SELECT 'p' || doc_id AS prompt, doc_id % 6 = 5 AS has_example,
                CASE WHEN doc_id % 6 = 5 THEN text END AS output, CASE WHEN doc_id % 6 = 5 THEN source END AS category
         FROM documents WHERE doc_id % 6 IN (2, 5)""",
+    "s3_scan_strict": "SELECT 'p' || doc_id AS prompt, source AS instruction, text AS output FROM documents",
     "s4_roundtrip": f"""WITH {JUDGED}
         SELECT source_file, count(*) AS n, sum(length(output))::BIGINT AS chars FROM judged
         WHERE verdict = 'accept' GROUP BY 1""",
@@ -128,5 +157,16 @@ ORACLES = {
         SELECT source AS call_id, CASE WHEN ascii(right(source, 1)) % 2 = 0 THEN 2 ELSE 1 END::BIGINT AS version,
                count(*) AS n, count(DISTINCT doc_id) AS distinct_docs
         FROM documents GROUP BY 1, 2""",
+    "s8_report": f"""WITH {JUDGED}
+        SELECT 'judge' AS judge, count(*) AS total, count(*) FILTER (verdict = 'accept') AS accepted,
+               count(*) FILTER (verdict = 'reject') AS rejected, NULL AS category, NULL::BIGINT AS accept, NULL::BIGINT AS reject,
+               NULL::DOUBLE AS pass_rate
+        FROM judged
+        UNION ALL
+        SELECT NULL, NULL, NULL, NULL, category, count(*) FILTER (verdict = 'accept'), count(*) FILTER (verdict = 'reject'),
+               round_even(count(*) FILTER (verdict = 'accept') / count(*)::DOUBLE * 100, 1)
+        FROM judged GROUP BY category""",
+    "s10_load": f"""WITH {EXAMPLES}
+        SELECT instruction, input, output, category, type FROM ex WHERE ascii(right(category, 1)) % 2 = 0""",
     "s9_public": f"WITH {EXAMPLES} SELECT doc_id, instruction, input, output, category, type, n_chars FROM ex",
 }

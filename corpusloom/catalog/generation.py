@@ -24,6 +24,15 @@ def sectioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return generation_flow.sectioned_results(plan, responses)
 
 
+def strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two attempts per page; odd pages lose their CSS marker in the first one."""
+    tries = fx.section_responses(spark, sf_dir).select("*", F.explode(F.sequence(F.lit(1), F.lit(2))).alias("attempt"))
+    lost = (F.col("attempt") == 1) & (F.col("page_id") % 2 == 1)
+    raw = F.when(lost, F.replace("raw", F.lit("=== CSS ==="), F.lit(""))).otherwise(F.col("raw"))
+    responses = tries.select(F.concat(F.lit("prompt "), "page_id").alias("prompt"), "attempt", raw.alias("raw"))
+    return generation_flow.strict_results(responses).drop("output")
+
+
 def batched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Six attempts in two stages to tagged records of the calls still to do."""
     calls = fx.json_attempts(spark, sf_dir)
@@ -31,7 +40,7 @@ def batched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return generation_flow.batch_results(planning.remaining_work(calls, finished, "call_id"), "migration").drop("record")
 
 
-QUERIES = {"e1_sectioned": sectioned, "e3_batched": batched}
+QUERIES = {"e1_sectioned": sectioned, "e1_strict": strict, "e3_batched": batched}
 
 ORACLES = {
     "e1_sectioned": f"""WITH {SECTIONS}
@@ -39,6 +48,10 @@ ORACLES = {
                'synthetic_lwc_master/part_' || page_id % 10 AS source, 'lwc' AS type, 'Part ' || page_id % 10 AS category,
                'Web' AS domain
         FROM built WHERE page_id % 4 <> 3 AND length(output) > 200""",
+    "e1_strict": f"""WITH {SECTIONS}
+        SELECT 'prompt ' || page_id AS plan_key, instruction, '' AS input, 'synthetic_graphql' AS source, 'lwc' AS type,
+               'GraphQL Wire Adapter' AS category
+        FROM built WHERE page_id % 3 <> 2 AND length(html) > 300""",
     "e3_batched": """
         SELECT 'MIG-' || doc_id AS call_id, 0::BIGINT AS pos, split_part(text, chr(10), 1) AS instruction, '' AS input,
                text AS output, 'MIG-' || doc_id AS category, 'migration' AS type

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom import fixtures as fx
 from corpusloom.catalog.sql import SECTIONS
+from corpusloom.functions.text import strip
 from corpusloom.operators import responses as R
 from corpusloom.operators import sections as S
 from corpusloom.plans import generation_flow
@@ -21,6 +22,35 @@ def json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.batch_records(fx.json_responses(spark, sf_dir), "call_id")
 
 
+def record_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outputs cut around the limit; input missing, null or given; an extra key."""
+    d = F.col("doc_id")
+    output = F.left("text", (190 + d % 20).cast("int"))
+    extra = F.struct(F.lit("i").alias("instruction"), output.alias("output"), F.lit("kept").alias("extra"))
+    given = F.struct(F.lit("i").alias("instruction"), F.col("lang").alias("input"), output.alias("output"))
+    raw = (
+        F.when(d % 3 == 0, F.to_json(F.array(extra)))
+        .when(d % 3 == 1, F.replace(F.to_json(F.array(given)), F.concat(F.lit('"input":"'), "lang", F.lit('"')), F.lit('"input":null')))
+        .otherwise(F.to_json(F.array(given)))
+    )
+    parsed = R.batch_attempts(fx.texts(spark, sf_dir).select("doc_id", raw.alias("raw")))
+    rows = R.explode_records(parsed, "doc_id")
+    tagged = R.open_record(F.col("record"), category=F.lit("C-1"))
+    return rows.select(
+        "doc_id", "input", "output",
+        F.get_json_object(tagged, "$.extra").alias("extra"), F.get_json_object(tagged, "$.category").alias("category"),
+    )
+
+
+def fences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fences of every language around and inside the text, or none at all."""
+    case = F.col("doc_id") % 6
+    language = F.element_at(F.array(*[F.lit(x) for x in S.FENCE_LANGUAGES]), (case + 1).cast("int"))
+    fenced = F.concat(F.lit("```"), language, F.lit("\n"), "text", F.lit("\n```js\nx\n```"), F.lit("\n```\n```\n"))
+    body = F.when(case == 5, F.col("text")).otherwise(strip(F.when(case < 5, fenced)))
+    return S.strip_fences(fx.texts(spark, sf_dir).select("doc_id", body.alias("body")), "body")
+
+
 def normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A list, a lone object, a blank output, no JSON, or a null output, by doc_id % 5."""
     docs = fx.texts(spark, sf_dir)
@@ -97,9 +127,11 @@ QUERIES = {
     "x1_think": reasoning,
     "x2_json_records": json_records,
     "x3_normalise": normalise,
+    "x5_record_gate": record_gate,
     "x4_escape": escapes,
     "x6_sections_strict": sections_strict,
     "x7_sections": sections,
+    "x8_fences": fences,
     "x9_names": names,
     "x10_assemble": assembled,
     "x11_gate": gate,
@@ -125,6 +157,12 @@ ORACLES = {
         SELECT doc_id, regexp_replace(replace(replace(text, 'e', '\s'), 'a', '\\'),
                  '\\([^"\\/bfnrtu0-9]|\z)', '\\\\\1', 'g') AS repaired
         FROM documents""",
+    "x5_record_gate": """
+        SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN '' WHEN 2 THEN lang END AS input, left(text, 190 + doc_id % 20) AS output,
+               CASE WHEN doc_id % 3 = 0 THEN 'kept' END AS extra, 'C-1' AS category
+        FROM documents WHERE length(left(text, 190 + doc_id % 20)) > 200""",
+    "x8_fences": """
+        SELECT doc_id, CASE WHEN doc_id % 6 = 5 THEN text ELSE text || chr(10) || 'x' END AS body FROM documents""",
     "x6_sections_strict": f"WITH {SECTIONS} SELECT page_id, instruction, strict_name AS name FROM sec WHERE page_id % 3 <> 2",
     "x7_sections": f"WITH {SECTIONS} SELECT page_id, instruction, html, js, css FROM sec",
     "x9_names": f"WITH {SECTIONS} SELECT page_id, name, file FROM built",

@@ -23,9 +23,11 @@ DOUBLE_HEADER = (
 TEST_CALL = rf"(?U)\b(?:describe|it|test){WS}*\("
 # Phrases that make an instruction one about tests.
 TEST_PHRASES = ("jest", "unit test", "test file", "write test", "tests for")
-# Provenance of sectioned records.
+# Provenance of sectioned records, lenient and strict.
 SECTION_SOURCE = "synthetic_lwc_master/"
 SECTION_TYPE = "lwc"
+STRICT_SOURCE = "synthetic_graphql"
+STRICT_CATEGORY = "GraphQL Wire Adapter"
 
 
 def _where(text: Column, literal: str, fixed: Column) -> Column:
@@ -103,6 +105,19 @@ def shape_sectioned(df: DataFrame, *keep: str) -> DataFrame:
     )
 
 
+def shape_strict(df: DataFrame, *keep: str) -> DataFrame:
+    """Constant provenance; instruction and output keep their names."""
+    return df.select(
+        *keep,
+        "instruction",
+        F.lit("").alias("input"),
+        "output",
+        F.lit(STRICT_SOURCE).alias("source"),
+        F.lit(SECTION_TYPE).alias("type"),
+        F.lit(STRICT_CATEGORY).alias("category"),
+    )
+
+
 def tag_by_call(df: DataFrame, type_name: str, call_id: str = "call_id") -> DataFrame:
     return df.withColumns({"category": F.col(call_id), "type": F.lit(type_name)})
 

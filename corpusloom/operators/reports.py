@@ -71,8 +71,12 @@ def shortfall(results: DataFrame, target: int = TARGET_PER_CATEGORY) -> DataFram
 
 
 def file_counts(records: DataFrame, file: str = "filename") -> DataFrame:
-    """Rows per file and, with a null file, of all files together."""
-    return records.rollup(file).agg(F.count(F.lit(1)).alias("n"), F.grouping(file).cast("long").alias("is_total"))
+    """Rows per file and, with a null file, of all files together.
+
+    The total is rolled up over the counts, not over the records.
+    """
+    counts = records.groupBy(file).agg(F.count(F.lit(1)).alias("n"))
+    return counts.rollup(file).agg(F.sum("n").alias("n"), F.grouping(file).cast("long").alias("is_total"))
 
 
 def planned_file_counts(plan: DataFrame, records: DataFrame) -> DataFrame:

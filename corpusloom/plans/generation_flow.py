@@ -14,19 +14,29 @@ from corpusloom.operators.sections import long_enough, section_attempts
 from corpusloom.operators.skew import spread_join
 
 
-def sectioned_results(plan: DataFrame, responses: DataFrame, key: str = "prompt", mode: str = "lenient") -> DataFrame:
-    """First acceptable sectioned response per plan row, repaired and shaped.
-
-    ``plan``: key, category, domain. The key stays as ``plan_key``.
-    """
+def _first_sectioned(responses: DataFrame, key: str, mode: str) -> DataFrame:
     tries = section_attempts(responses.where(F.col("attempt") <= R.SECTION_ATTEMPTS), mode=mode)
     ok = long_enough(F.col("example.output"))
     first = R.first_acceptable(tries, [key], F.col("attempt"), "example", ok)
-    parsed = first.select(key, "example.instruction", "example.output")
-    rows = spread_join(plan.select(key, "category", "domain"), parsed, key, "inner")
+    return first.select(key, "example.instruction", "example.output")
+
+
+def sectioned_results(plan: DataFrame, responses: DataFrame, key: str = "prompt") -> DataFrame:
+    """First acceptable lenient response per plan row, repaired and shaped.
+
+    ``plan``: key, category, domain. The key stays as ``plan_key``.
+    """
+    rows = spread_join(
+        plan.select(key, "category", "domain"), _first_sectioned(responses, key, "lenient"), key, "inner"
+    )
     fixed = cleaning.drop_bad_tests(cleaning.fix_examples(rows))
-    named = fixed.withColumnRenamed(key, "plan_key")
-    return cleaning.shape_sectioned(named, "plan_key")
+    return cleaning.shape_sectioned(fixed.withColumnRenamed(key, "plan_key"), "plan_key")
+
+
+def strict_results(responses: DataFrame, key: str = "prompt") -> DataFrame:
+    """First acceptable strict response per prompt, as it came, with constant provenance."""
+    first = _first_sectioned(responses, key, "strict")
+    return cleaning.shape_strict(first.withColumnRenamed(key, "plan_key"), "plan_key")
 
 
 def batch_results(responses: DataFrame, type_name: str, key: str = "call_id") -> DataFrame:

@@ -92,8 +92,8 @@ def write_by_origin(df: DataFrame, path: str) -> None:
 
 
 def write_merged(df: DataFrame, path: str) -> None:
-    """All rows as one JSON Lines data set (a folder; no single-task merge)."""
-    public_columns(df).hint("rebalance").write.mode("overwrite").json(path)
+    """All rows as one JSON Lines data set: a folder, written where the rows are."""
+    public_columns(df).write.mode("overwrite").json(path)
 
 
 def write_clean(judged: DataFrame, path: str) -> None:
@@ -104,7 +104,7 @@ def write_rejects(judged: DataFrame, path: str) -> None:
     """Rejected rows with their verdict nested under ``_qc``."""
     rows = nest_verdict(rejected(judged))
     public = [c for c in rows.columns if not c.startswith("_")]
-    rows.select(*public, "_qc").hint("rebalance").write.mode("overwrite").json(path)
+    rows.select(*public, "_qc").write.mode("overwrite").json(path)
 
 
 def overwrite_calls(records: DataFrame, path: str, call: str = "call_id") -> None:
