@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions.text import round_half_even
 from corpusloom.operators.planning import remaining_work
 from corpusloom.operators.responses import OBJECT_ATTEMPTS, SCORES, first_acceptable, verdict_attempts
-from corpusloom.operators.skew import HEAVY_ROWS, MAX_HEAVY_KEYS, spread_join
+from corpusloom.operators.skew import HEAVY_ROWS, spread_join, top_keys
 
 # The acceptance rule and the text of a missing verdict.
 MIN_SCORE = 3
@@ -90,8 +90,7 @@ def attach(
 
 def heavy_contents(work: DataFrame, min_rows: int = HEAVY_ROWS) -> DataFrame:
     """Heavy keys from the copy counts of :func:`judge_work`: no scan of the texts."""
-    top = work.where(F.col("copies") > min_rows).orderBy(F.desc("copies")).limit(MAX_HEAVY_KEYS)
-    return top.select("content_key", F.ceil(F.col("copies") / min_rows).cast("int").alias("_salts"))
+    return top_keys(work.select(F.xxhash64("content_key").alias("key_hash"), F.col("copies").alias("n")), min_rows)
 
 
 def resumable(verdicts: DataFrame) -> DataFrame:

@@ -14,16 +14,25 @@ from pyspark.sql import functions as F
 # beyond the list are joined as they are: each holds less than any listed one.
 HEAVY_ROWS = 1_000_000
 MAX_HEAVY_KEYS = 1_000
+# Rows without a key match nothing, so any spread will do.
+NULL_SALTS = 1_024
 
 
 def heavy_keys(df: DataFrame, key: str, min_rows: int = HEAVY_ROWS) -> DataFrame:
-    """(key, salts) of the most frequent keys, MAX_HEAVY_KEYS rows at most.
+    """(key_hash, salts) of the most frequent keys, MAX_HEAVY_KEYS rows at most.
 
-    Reads the key column alone; counts combine in each task ahead of the shuffle.
+    Reads the key column alone and counts hashes: eight bytes per key cross the
+    shuffle, however long the keys are. Two keys of one hash are merely salted
+    alike.
     """
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    top = counts.where(F.col("_n") > min_rows).orderBy(F.desc("_n")).limit(MAX_HEAVY_KEYS)
-    return top.select(key, F.ceil(F.col("_n") / min_rows).cast("int").alias("_salts"))
+    hashes = df.where(F.col(key).isNotNull()).select(F.xxhash64(key).alias("key_hash"))
+    return top_keys(hashes.groupBy("key_hash").agg(F.count(F.lit(1)).alias("n")), min_rows)
+
+
+def top_keys(counts: DataFrame, min_rows: int) -> DataFrame:
+    """Counted hashes (key_hash, n) cut to the heavy ones."""
+    top = counts.where(F.col("n") > min_rows).orderBy(F.desc("n")).limit(MAX_HEAVY_KEYS)
+    return top.select("key_hash", F.ceil(F.col("n") / min_rows).cast("int").alias("salts"))
 
 
 def spread_join(
@@ -33,21 +42,23 @@ def spread_join(
 
     Rows of a heavy key go to several tasks by a hash of the whole row, and its
     one lookup row is repeated for each. The hash makes a repeated task send
-    every row where it went before. The broadcast list is bounded by its limit.
+    every row where it went before. The broadcast list is at most
+    MAX_HEAVY_KEYS pairs of numbers.
     """
     if heavy is None:
         heavy = heavy_keys(rows, key, HEAVY_ROWS)
-    heavy = F.broadcast(heavy)
-    salted = rows.join(heavy, key, "left").withColumn(
-        "_salt",
-        F.when(F.col("_salts").isNull(), F.lit(0)).otherwise(
-            F.pmod(F.xxhash64(*[F.col(c) for c in _hashable(rows)]), F.col("_salts")).cast("int")
-        ),
+    heavy = F.broadcast(heavy.withColumnsRenamed({"key_hash": "_hash", "salts": "_salts"}))
+    salts = F.when(F.col(key).isNull(), NULL_SALTS).otherwise(F.coalesce("_salts", F.lit(1)))
+    place = F.pmod(F.xxhash64(*_hashable(rows)), F.col("_salts")).cast("int")
+    salted = (
+        rows.withColumn("_hash", F.xxhash64(key)).join(heavy, "_hash", "left").withColumn("_salts", salts)
+        .withColumn("_salt", F.when(F.col("_salts") == 1, F.lit(0)).otherwise(place))
     )
-    repeated = lookup.join(heavy, key, "left").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
+    repeated = (
+        lookup.withColumn("_hash", F.xxhash64(key)).join(heavy, "_hash", "left")
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)))
     )
-    joined = salted.drop("_salts").join(repeated.drop("_salts"), [key, "_salt"], how)
+    joined = salted.drop("_salts", "_hash").join(repeated.drop("_salts", "_hash"), [key, "_salt"], how)
     return joined.drop("_salt")
 
 

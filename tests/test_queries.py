@@ -21,7 +21,12 @@ def test_every_query_has_its_sql():
 
 @pytest.mark.parametrize("name", entry.queries())
 def test_query(spark, con, name):
-    assert differences(con, entry.queries()[name](spark, SF_DIR), entry.oracle_sql()[name]) == ""
+    df = entry.queries()[name](spark, SF_DIR)
+    assert differences(con, df, entry.oracle_sql()[name]) == ""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert bad not in plan
+    assert name == "u1_infer" or ("Python" not in plan and "Pandas" not in plan)
 
 
 def test_entry(spark):

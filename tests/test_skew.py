@@ -38,7 +38,8 @@ def biggest_task(df):
 
 def test_heavy_keys(rows):
     heavy = skew.heavy_keys(rows, "key", 100)
-    assert [tuple(r) for r in heavy.collect()] == [("hot", 30)]
+    hot = rows.where("key = 'hot'").select(F.xxhash64("key")).first()[0]
+    assert [tuple(r) for r in heavy.collect()] == [(hot, 30)]
 
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_anti", "left_semi"])
@@ -59,6 +60,23 @@ def test_hot_key_is_spread(spark, rows, fixed_partitions):
     assert spread.count() == 9000
 
 
+def test_rows_without_a_key_are_spread(spark, rows, fixed_partitions):
+    some = rows.withColumn("key", F.when(F.col("key") != "hot", F.col("key")))
+    lookup = some.where("key is not null").groupBy("key").agg(F.max("id").alias("v"))
+    spread = skew.spread_join(some, lookup, "key", "left", skew.heavy_keys(some, "key", 100))
+    assert spread.where("v is null").count() == 3000
+    assert biggest_task(spread) < 1500
+
+
+def test_wide_side_is_not_sorted(spark, rows, fixed_partitions):
+    lookup = rows.groupBy("key").agg(F.max("id").alias("v"))
+    joined = skew.spread_join(rows, lookup, "key", "left", skew.heavy_keys(rows, "key", 100))
+    joined.write.format("noop").mode("overwrite").save()
+    plan = joined._jdf.queryExecution()
+    joined.collect()
+    assert "ShuffledHashJoin" in plan.executedPlan().toString()
+
+
 def test_list_of_heavy_keys_is_bounded_and_the_rest_still_joins(spark, rows, monkeypatch):
     monkeypatch.setattr(skew, "MAX_HEAVY_KEYS", 3)
     heavy = skew.heavy_keys(rows, "key", 1)
