@@ -28,7 +28,7 @@ def arriving(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def parse_batch(batch: DataFrame) -> DataFrame:
-    rows = R.batch_records(batch, "call_id")
+    rows = R.batch_records(fx.spread(batch), "call_id")
     return rows.where("pos = 0").select(*RECORDS.names)
 
 

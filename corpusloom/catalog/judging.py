@@ -138,7 +138,7 @@ ORACLES = {
                CASE WHEN has THEN 'ok' ELSE 'Judge error after 4 attempts' END AS reason
         FROM m""",
     "j4_attach": f"""WITH {JUDGED}
-        SELECT doc_id, sha256(instruction || chr(31) || output) AS content_key, completeness, alignment, best_practices,
+        SELECT doc_id, sha256(length(instruction) || ':' || instruction || output) AS content_key, completeness, alignment, best_practices,
                code_quality, avg_score, verdict, reason FROM judged""",
     "j5_resume": f"""WITH {JUDGED}
         SELECT DISTINCT instruction, output FROM judged

@@ -73,8 +73,7 @@ def envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def progress(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plan = fx.document_plan(spark, sf_dir)
-    return P.progress(plan, P.remaining_work(plan, fx.done(spark, sf_dir), "doc_id"), "doc_id")
+    return P.progress(fx.document_plan(spark, sf_dir), fx.done(spark, sf_dir), "doc_id")
 
 
 def model_call(spark: SparkSession, sf_dir: str) -> DataFrame:

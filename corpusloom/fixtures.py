@@ -21,13 +21,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
-    """A table whose rows are costly to work on, on all cores.
+    """A table whose rows are costly to work on, on all cores."""
+    return spread(table(spark, sf_dir, name))
 
-    A table of fewer splits than cores is spread out once; any larger one is
-    left as it is scanned, without a shuffle.
+
+def spread(df: DataFrame) -> DataFrame:
+    """Fewer splits than cores are spread out once, by the first column.
+
+    Any larger table is left as it is scanned, without a shuffle.
     """
-    df = table(spark, sf_dir, name)
-    cores = spark.sparkContext.defaultParallelism
+    cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores, df.columns[0]) if df.rdd.getNumPartitions() < cores else df
 
 

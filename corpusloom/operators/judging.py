@@ -22,9 +22,13 @@ VERDICT_COLUMNS = (*SCORES, "avg_score", "verdict", "reason")
 
 
 def content_key(instruction: Column, output: Column) -> Column:
-    """Stable identity of an example; exact copies share it."""
+    """Stable identity of an example; exact copies share it.
+
+    The length tells where the instruction ends, so no two examples run together.
+    """
     blank = F.lit("")
-    return F.sha2(F.concat(F.coalesce(instruction, blank), F.lit("\x1f"), F.coalesce(output, blank)), 256)
+    asked, given = F.coalesce(instruction, blank), F.coalesce(output, blank)
+    return F.sha2(F.concat(F.length(asked).cast("string"), F.lit(":"), asked, given), 256)
 
 
 def with_content_key(df: DataFrame) -> DataFrame:

@@ -145,11 +145,15 @@ def plan_status(
     )
 
 
-def progress(plan: DataFrame, remaining: DataFrame, key: str) -> DataFrame:
-    """One row: total, to_do and done counts of a run."""
-    counts = plan.agg(F.count(F.lit(1)).alias("total"))
-    todo = remaining.agg(F.count(F.lit(1)).alias("to_do")).scalar()
-    return counts.select("total", todo.alias("to_do")).withColumn("done", F.col("total") - F.col("to_do"))
+def progress(plan: DataFrame, done: DataFrame, key: str) -> DataFrame:
+    """One row: planned rows, distinct finished keys, planned rows still to do.
+
+    Keys finished but no longer planned count as done, as in a resumed log.
+    """
+    finished = done.agg(F.countDistinct(key).alias("done")).scalar()
+    to_do = remaining_work(plan, done, key).agg(F.count(F.lit(1)).alias("to_do")).scalar()
+    total = plan.agg(F.count(F.lit(1)).alias("total"))
+    return total.select("total", finished.alias("done"), to_do.alias("to_do"))
 
 
 def force_one(prompt: Column) -> Column:

@@ -42,7 +42,8 @@ def spread_join(
 
     Rows of a heavy key go to several tasks by a hash of the whole row, and its
     one lookup row is repeated for each. The hash makes a repeated task send
-    every row where it went before. The broadcast list is at most
+    every row where it went before; rows need a column that tells copies apart,
+    an id or the file piece a scan adds. The broadcast list is at most
     MAX_HEAVY_KEYS pairs of numbers.
     """
     if heavy is None:
