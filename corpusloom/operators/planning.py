@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import render, render_each, strip
+from corpusloom.functions.text import WS, render, render_each, strip
 from corpusloom.operators.skew import spread_join
 
 # Sizes and texts that decide the rendered prompts.
@@ -158,7 +158,7 @@ def progress(plan: DataFrame, done: DataFrame, key: str) -> DataFrame:
 
 def force_one(prompt: Column) -> Column:
     """Ask for one example only."""
-    asked = F.regexp_replace(prompt, r"(?iU)\bGenerate\s+\d+\b", "Generate 1")
+    asked = F.regexp_replace(prompt, rf"(?iU)\bGenerate{WS}+\d+\b", "Generate 1")
     return F.concat(asked, F.lit(ONE_EXAMPLE_NOTE))
 
 

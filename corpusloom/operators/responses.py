@@ -111,7 +111,6 @@ def _parts(k: Column) -> Column:
         word.alias("word"),
         (F.map_contains_key(members, "instruction") & F.map_contains_key(members, "output")).alias("has_keys"),
         J.size_of(output).alias("length"),
-        J.as_text(output).alias("output"),
     )
 
 
@@ -130,37 +129,31 @@ def _voids(p: Column) -> Column:
     )
 
 
-def _record(p: Column, pos: Column) -> Column:
-    members = p["members"]
-    given = F.map_contains_key(members, "input")
-    return F.struct(
-        pos.cast("long").alias("pos"),
-        J.as_text(F.try_element_at(members, F.lit("instruction"))).alias("instruction"),
-        F.when(given, J.as_text(F.try_element_at(members, F.lit("input")))).otherwise("").alias("input"),
-        p["output"].alias("output"),
-        members.alias("record"),
-    )
-
-
 def batch_attempts(df: DataFrame, raw: str = "raw") -> DataFrame:
-    """Add ``records``: the valid records of a JSON-list response.
+    """Add ``records``: the valid records of a JSON-list response, with their place in it.
 
     Null when the attempt fails as a whole: no strict JSON, no list, or one
     element of a kind that cannot be tested. An element that merely lacks keys
-    or is too short is left out alone. ``pos`` is its place in the list.
+    or is too short is left out alone.
     """
     df = with_payload(df, raw, "batch", "_json")
     df = df.withColumn("_elems", F.transform(J.as_list(F.col("_json")), _kinds)).drop("_json")
     df = df.withColumn("_elems", F.transform("_elems", _parts))
-    numbered = F.transform("_elems", lambda p, i: F.struct(i.alias("pos"), p.alias("p")))
+    numbered = F.transform("_elems", lambda p, i: F.struct(i.cast("long").alias("pos"), p.alias("p")))
     valid = F.filter(numbered, lambda n: F.coalesce(n["p"]["has_keys"] & (n["p"]["length"] > MIN_OUTPUT_CHARS), F.lit(False)))
-    records = F.transform(valid, lambda n: _record(n["p"], n["pos"]))
+    records = F.transform(valid, lambda n: F.struct(n["pos"].alias("pos"), n["p"]["members"].alias("record")))
     return df.withColumn("records", F.when(~F.exists("_elems", _voids), records)).drop("_elems")
 
 
 def explode_records(df: DataFrame, *keep: str, records: str = "records") -> DataFrame:
-    """One row per record, next to the columns to keep."""
-    return df.select(*keep, F.inline(F.when(F.size(records) > 0, F.col(records))))
+    """One row per record: kept columns, pos, the typed texts and the open record.
+
+    Only the open record travels through a shuffle; the texts are taken out here.
+    """
+    rows = df.select(*keep, F.inline(F.when(F.size(records) > 0, F.col(records))))
+    member = {k: J.as_text(F.try_element_at("record", F.lit(k))) for k in ("instruction", "input", "output")}
+    member["input"] = F.when(F.map_contains_key("record", "input"), member["input"]).otherwise("")
+    return rows.select(*keep, "pos", *[v.alias(k) for k, v in member.items()], "record")
 
 
 def batch_records(df: DataFrame, *keep: str, raw: str = "raw") -> DataFrame:

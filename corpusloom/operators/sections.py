@@ -70,13 +70,16 @@ def split_sections(df: DataFrame, raw: str = "raw", mode: str = "lenient") -> Da
 
 
 def component_name(js: Column, mode: str = "lenient") -> Column:
-    """The exported class, else (lenient) the described tag, else a default."""
+    """The exported class, else (lenient) the described tag, else a default.
+
+    Blank for a tag without any letter or digit: such a response is no example.
+    """
     exported = F.regexp_extract(js, r"(?U)export default class (\w+)", 1)
     names = [F.when(exported != "", exported)]
     if mode == "lenient":
         tag = F.regexp_extract(js, r"(?U)describe\(['\"]c-([\w-]+)", 1)
         titled = F.replace(title_words(F.replace(tag, F.lit("-"), F.lit("_"))), F.lit("_"), F.lit(""))
-        names.append(F.when(titled != "", titled))
+        names.append(F.when(tag != "", titled))
     return F.coalesce(*names, F.lit(DEFAULT_NAME[mode]))
 
 
@@ -102,7 +105,7 @@ def section_attempts(df: DataFrame, raw: str = "raw", mode: str = "lenient") ->
     example = F.struct(
         F.col("instruction"), F.col("_output").alias("output"), F.col("_name").alias("name"), F.col("_file").alias("file")
     )
-    return df.withColumn("example", F.when(F.col("_output").isNotNull(), example)).drop(
+    return df.withColumn("example", F.when(F.col("_output").isNotNull() & (F.col("_name") != ""), example)).drop(
         "_name", "_file", "_output", "instruction", "html", "js", "css"
     )
 

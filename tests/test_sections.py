@@ -16,6 +16,7 @@ CASES = {
     "fences": (response(html="```html\n<a/>\n```", js="```javascript\nlet a;\n```\n"), "<!-- myComponent.html -->\n<a/>\n\n// myComponent.js\nlet a;"),
     "inner fences": (response(js="let a;\n```js\nlet b;\n```\nlet c;"), "<!-- myComponent.html -->\n<a/>\n\n// myComponent.js\nlet a;\nlet b;\nlet c;"),
     "described": (response(js="describe('c-form2x-list', f)"), "<!-- form2XList.html -->\n<a/>\n\n// form2XList.js\ndescribe('c-form2x-list', f)"),
+    "tag without letters": (response(js="describe('c--_', f)"), None),
     "unicode": (response(js="export default class Été {}"), "<!-- été.html -->\n<a/>\n\n// été.js\nexport default class Été {}"),
     "empty html": (response(html=""), "<!-- big.html -->\n\n\n// big.js\nexport default class Big {}"),
     "no html": ("=== INSTRUCTION ===\nx\n=== JS ===\ny", None),
