@@ -88,3 +88,20 @@ def test_shared_folder_comes_from_the_session(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     assert session.work_dir(spark, "x").startswith(root)
     assert session.work_dir(spark, "x") != session.work_dir(spark, "x")
+
+
+class Unset:
+    """A session that names no shared folder."""
+
+    def __init__(self, master):
+        self.sparkContext = type("Context", (), {"master": master})
+        self.conf = type("Conf", (), {"get": staticmethod(lambda key, default: default)})
+
+
+def test_local_session_without_the_setting():
+    assert session.shared_root(Unset("local[2]")) == session.shared_root(Unset("local[*]"))
+
+
+def test_cluster_without_the_setting_is_refused():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_root(Unset("spark://host:7077"))
