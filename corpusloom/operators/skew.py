@@ -40,17 +40,16 @@ def spread_join(
 ) -> DataFrame:
     """``rows`` joined with ``lookup``, which has one row per key.
 
-    Rows of a heavy key go to several tasks by a hash of the whole row, and its
-    one lookup row is repeated for each. The hash makes a repeated task send
-    every row where it went before; rows need a column that tells copies apart,
-    an id or the file piece a scan adds. The broadcast list is at most
-    MAX_HEAVY_KEYS pairs of numbers.
+    Rows of a heavy key go to several tasks by a hash of the row and of the
+    partition it is in, and its one lookup row is repeated for each. So even
+    rows equal in every column spread, and a repeated task sends every row where
+    it went before. The broadcast list is at most MAX_HEAVY_KEYS number pairs.
     """
     if heavy is None:
         heavy = heavy_keys(rows, key, HEAVY_ROWS)
     heavy = F.broadcast(heavy.withColumnsRenamed({"key_hash": "_hash", "salts": "_salts"}))
     salts = F.when(F.col(key).isNull(), NULL_SALTS).otherwise(F.coalesce("_salts", F.lit(1)))
-    place = F.pmod(F.xxhash64(*_hashable(rows)), F.col("_salts")).cast("int")
+    place = F.pmod(F.xxhash64(F.spark_partition_id(), *_hashable(rows)), F.col("_salts")).cast("int")
     salted = (
         rows.withColumn("_hash", F.xxhash64(key)).join(heavy, "_hash", "left").withColumn("_salts", salts)
         .withColumn("_salt", F.when(F.col("_salts") == 1, F.lit(0)).otherwise(place))

@@ -60,6 +60,14 @@ def test_hot_key_is_spread(spark, rows, fixed_partitions):
     assert spread.count() == 9000
 
 
+def test_copies_equal_in_every_column_are_spread(spark, fixed_partitions):
+    copies = spark.range(0, 9000, 1, 12).select(F.lit("hot").alias("key"), F.lit("x").alias("v"))
+    lookup = spark.createDataFrame([("hot", 1)], "key string, w int")
+    spread = skew.spread_join(copies, lookup, "key", "left", skew.heavy_keys(copies, "key", 100))
+    assert spread.where("w = 1").count() == 9000
+    assert biggest_task(spread) <= 3000
+
+
 def test_rows_without_a_key_are_spread(spark, rows, fixed_partitions):
     some = rows.withColumn("key", F.when(F.col("key") != "hot", F.col("key")))
     lookup = some.where("key is not null").groupBy("key").agg(F.max("id").alias("v"))
