@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusloom import fixtures as fx
 from corpusloom.catalog.sql import SECTIONS
 from corpusloom.operators import planning
+from corpusloom.operators import responses as R
 from corpusloom.plans import generation_flow
+from corpusloom.plans.calling import call_rounds
+from corpusloom.session import work_dir
 
 
 def sectioned(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,9 +47,32 @@ def batched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return generation_flow.batch_results(planning.remaining_work(calls, finished, "call_id"), "migration").drop("record")
 
 
-QUERIES = {"e1_sectioned": sectioned, "e1_strict": strict, "e3_batched": batched}
+def rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A full prompt, then the fallback; prompts of odd length fail in full."""
+    def model(prompts: pd.Series) -> pd.Series:
+        answers = prompts.map(lambda p: json.dumps([{"instruction": p, "output": p * 10}]))
+        return answers.where((prompts.str.len() % 2 == 0) | prompts.str.startswith("Generate 5"), "sorry")
+
+    prompt = F.concat(F.lit("Generate 10 training examples. Cover these 10 topics: "), fx.first_line(F.col("text")))
+    plan = planning.with_fallback(fx.table(spark, sf_dir, "documents").select("doc_id", prompt.alias("prompt")))
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("instruction", T.StringType()), T.StructField("output", T.StringType())])
+    log = call_rounds(
+        plan, model, lambda answers: R.batch_records(answers, "doc_id").select(*schema.names),
+        work_dir(spark, "rounds"), schema, "doc_id", ("prompt", "fallback_prompt"),
+    )
+    return log.select("doc_id", F.col("batch_id").alias("round"), "instruction", F.length("output").cast("long").alias("n"))
+
+
+QUERIES = {"e1_sectioned": sectioned, "e1_strict": strict, "e3_batched": batched, "u1_rounds": rounds}
 
 ORACLES = {
+    "u1_rounds": """
+        WITH p AS (SELECT doc_id, split_part(text, chr(10), 1) AS topic, 54 + length(split_part(text, chr(10), 1)) AS n FROM documents)
+        SELECT doc_id, (n % 2)::BIGINT AS round,
+               CASE WHEN n % 2 = 0 THEN 'Generate 10 training examples. Cover these 10 topics: '
+                    ELSE 'Generate 5 training examples. Cover 5 of these topics: ' END || topic AS instruction,
+               10 * (n + CASE WHEN n % 2 = 0 THEN 0 ELSE 1 END) AS n
+        FROM p""",
     "e1_sectioned": f"""WITH {SECTIONS}
         SELECT 'prompt ' || page_id AS plan_key, instruction AS prompt, output AS completion, '' AS input,
                'synthetic_lwc_master/part_' || page_id % 10 AS source, 'lwc' AS type, 'Part ' || page_id % 10 AS category,

@@ -4,11 +4,13 @@ import pandas as pd
 import pytest
 from helpers import frame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusloom.catalog.incremental import RECORDS, VERDICTS
 from corpusloom.inference import infer
 from corpusloom.operators import judging
 from corpusloom.operators import responses as R
+from corpusloom.plans.calling import call_rounds
 from corpusloom.session import work_dir
 from corpusloom.streaming import incremental as I
 
@@ -86,6 +88,22 @@ def test_running_report_covers_all_batches(spark):
     assert run() == {("a", 1, 1, 50.0), ("unknown", 0, 1, 0.0)}
 
 
+def test_rounds_ask_only_for_open_keys(spark):
+    def model(prompts):
+        return prompts.map(lambda p: None if p == "fail" else f"{p} x{len(prompts)}" if p != "late" else "short")
+
+    plan = frame(spark, "k int, p string, q string", (1, "good", "again"), (2, "late", "second"), (3, "fail", "fail")).coalesce(1)
+    schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("raw", T.StringType())])
+    path = work_dir(spark, "rounds")
+    log = call_rounds(plan, model, lambda a: a.where("raw like '% x%'"), path, schema, "k", ("p", "q", "q"))
+    # the second round asks for two keys, the third for one more and gets nothing
+    assert sorted((r["k"], r["batch_id"], r["raw"][-2:]) for r in log.collect()) == [(1, 0, "x3"), (2, 1, "x2")]
+    # a later run goes on where this one ended
+    plan = plan.withColumn("q", F.lit("third"))
+    log = call_rounds(plan, model, lambda a: a.where("raw like '% x%'"), path, schema, "k", ("q",))
+    assert sorted((r["k"], r["batch_id"], r["raw"]) for r in log.where("k = 3").collect()) == [(3, 2, "third x1")]
+
+
 def test_infer(spark):
     def model(prompts: pd.Series) -> pd.Series:
         return prompts.map(lambda p: None if p == "fail" else p + "!")
