@@ -65,6 +65,16 @@ def drop_line_end_fences(text: Column) -> Column:
     return F.array_join(F.transform(pieces, lambda p: F.rtrim(p, F.lit(SPACE_CHARS))), "")
 
 
+def cut_front(text: Column, fence: str) -> Column:
+    """A trimmed text without the fence it starts with."""
+    return F.when(F.startswith(text, F.lit(fence)), strip(F.substr(text, F.lit(len(fence) + 1)))).otherwise(text)
+
+
+def cut_back(text: Column, fence: str = FENCE) -> Column:
+    """A trimmed text without the fence it ends with."""
+    return F.when(F.endswith(text, F.lit(fence)), strip(F.left(text, F.length(text) - len(fence)))).otherwise(text)
+
+
 def with_clean_json(df: DataFrame, raw: str, out: str, family: str, escapes: str = "faithful") -> DataFrame:
     """Add ``out``: the JSON text inside a response; the three families differ.
 
@@ -74,14 +84,11 @@ def with_clean_json(df: DataFrame, raw: str, out: str, family: str, escapes: str
     """
     text = F.col(out)
     if family == "batch":
+        # a staged column per step: each looks at the trimmed text more than once
         df = df.withColumn(out, strip_reasoning(F.col(raw)))
-        for opening in (f"{FENCE}json", None, FENCE):
-            cut = (
-                F.when(F.endswith(text, F.lit(FENCE)), strip(F.left(text, F.length(text) - len(FENCE))))
-                if opening is None
-                else F.when(F.startswith(text, F.lit(opening)), strip(F.substr(text, F.lit(len(opening) + 1))))
-            )
-            df = df.withColumn(out, cut.otherwise(text))
+        df = df.withColumn(out, cut_front(text, f"{FENCE}json"))
+        df = df.withColumn(out, cut_back(text))
+        df = df.withColumn(out, cut_front(text, FENCE))
         return with_widest_span(df, out, "[", "]")
     cleaned = drop_line_end_fences(F.regexp_replace(strip(F.col(raw)), open_fence("(?:json)?"), ""))
     if family == "object":

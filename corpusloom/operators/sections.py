@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import after_first, before_first, strip, title_words
-from corpusloom.operators.responses import FENCE, MIN_OUTPUT_CHARS, open_fence, strip_reasoning
+from corpusloom.operators.responses import FENCE, MIN_OUTPUT_CHARS, cut_back, open_fence, strip_reasoning
 
 # Markers, fence languages in their order, default names.
 INSTRUCTION, HTML, JS, CSS = (f"=== {name} ===" for name in ("INSTRUCTION", "HTML", "JS", "CSS"))
@@ -27,13 +27,7 @@ def strip_fences(df: DataFrame, *cols: str) -> DataFrame:
             ).otherwise(F.col(c))
             for c in cols
         }
-        closed = {
-            c: F.when(
-                F.endswith(F.col(c), F.lit(FENCE)), strip(F.left(F.col(c), F.length(c) - len(FENCE)))
-            ).otherwise(F.col(c))
-            for c in cols
-        }
-        df = df.withColumns(opened).withColumns(closed)
+        df = df.withColumns(opened).withColumns({c: cut_back(F.col(c)) for c in cols})
     return df
 
 
