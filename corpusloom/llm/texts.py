@@ -35,12 +35,12 @@ def map_texts(docs: DataFrame, work: Callable, schema: str, extra: tuple[str, ..
     return rows.mapInArrow(run, schema)
 
 
-def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], text: str = TEXT) -> Iterator[pa.RecordBatch]:
     """The same rows in slices of about SLICE_BYTES of text, one row at least."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = pc.binary_length(batch.column(TEXT)).to_numpy(zero_copy_only=False).astype(np.int64)
+        sizes = pc.binary_length(batch.column(text)).to_numpy(zero_copy_only=False).astype(np.int64)
         part = (np.cumsum(sizes) - sizes) // SLICE_BYTES
         cuts = np.flatnonzero(np.diff(part)) + 1
         for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
@@ -135,6 +135,16 @@ def _words(raw: np.ndarray, bounds: np.ndarray, inside: np.ndarray, shift: int):
     return start + shift, end + shift, hashed
 
 
+def stems(raw: np.ndarray, w: Words, n: int) -> np.ndarray:
+    """Hash of the first n bytes of each word; a shorter word's own bytes."""
+    total = np.full(len(w.start), n, np.uint64)
+    powers, size = np.multiply.accumulate(np.full(n, _STEP, np.uint64)), w.end - w.start
+    for k in range(n):
+        here = np.flatnonzero(size > k)
+        total[here] += _BYTE_VALUES[raw[w.start[here] + k]] * powers[k]
+    return mix(total)
+
+
 def runs(w: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
     """(text number, hash) of every run of n successive words of a text."""
     if len(w.doc) < n:
