@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import bpe, leaks, licenses, quality, toxicity, wordpiece
+from corpusloom.llm import bpe, leaks, licenses, quality, sentences, toxicity, voronoi, wordpiece
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,16 +38,42 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wordpiece.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op8_voronoi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return voronoi.knn_join(table(spark, sf_dir, "embeddings"))
+
+
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op10_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentences.removed_stretches(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_spaced_seeds": op2_spaced_seeds,
     "op3_quality": op3_quality,
     "op4_toxicity": op4_toxicity,
     "op5_bpe": op5_bpe,
     "op7_token_counts": op7_token_counts,
+    "op8_voronoi": op8_voronoi,
     "op9_licenses": op9_licenses,
+    "op10_sentence_spans": op10_sentence_spans,
+}
+ORACLES = {
+    "op8_voronoi": """
+        WITH v AS (
+            SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, d.vec_id,
+                   CAST(list_sum(list_transform(list_zip(q.v, d.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+            FROM v q JOIN v d ON d.vec_id <> q.vec_id WHERE q.vec_id % 20 = 0
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+        )
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
+    """,
 }
-ORACLES: dict[str, str] = {}
