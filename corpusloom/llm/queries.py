@@ -6,13 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import bpe, leaks, licenses, quality, sentences, toxicity, voronoi, wordpiece
+from corpusloom.llm import bpe, leaks, licenses, pii, quality, sentences, toxicity, voronoi, wordpiece
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 def op2_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -51,6 +55,7 @@ def op10_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_pii": op1_pii,
     "op2_spaced_seeds": op2_spaced_seeds,
     "op3_quality": op3_quality,
     "op4_toxicity": op4_toxicity,
