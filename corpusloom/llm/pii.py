@@ -76,21 +76,28 @@ ACCEPTED = 0.5
 _BLOCK = 256
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, also where a nested lambda uses it for every element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _total(part: Column) -> Column:
+    return F.aggregate(part, F.lit(0), lambda a, b: a + b)
+
+
 def _starts(sizes: Column) -> Column:
     """Sums of all earlier entries; entries are summed in blocks, so that long arrays stay cheap."""
 
-    def total(part: Column) -> Column:
-        return F.aggregate(part, F.lit(0), lambda a, b: a + b)
-
-    n_blocks = F.ceil(F.size(sizes) / _BLOCK).cast("int")
-    blocks = F.transform(F.sequence(F.lit(0), F.greatest(n_blocks - 1, F.lit(0))), lambda b: total(F.slice(sizes, b * _BLOCK + 1, F.lit(_BLOCK))))
-    before = F.aggregate(blocks, F.array(F.lit(0)), lambda a, b: F.concat(a, F.array(F.element_at(a, -1) + b)))
+    def before(z: Column) -> Column:
+        n_blocks = F.greatest(F.ceil(F.size(z) / _BLOCK).cast("int"), F.lit(1))
+        blocks = F.transform(F.sequence(F.lit(0), n_blocks - 1), lambda b: _total(F.slice(z, b * _BLOCK + 1, F.lit(_BLOCK))))
+        return F.aggregate(blocks, F.array(F.lit(0)), lambda a, b: F.concat(a, F.array(F.element_at(a, -1) + b)))
 
-    def start(_, i: Column) -> Column:
+    def start(z: Column, sums: Column, i: Column) -> Column:
         block = F.floor(i / _BLOCK).cast("int")
-        return F.get(before, block) + total(F.slice(sizes, block * _BLOCK + 1, i - block * _BLOCK))
+        return F.get(sums, block) + _total(F.slice(z, block * _BLOCK + 1, i - block * _BLOCK))
 
-    return F.transform(sizes, start)
+    return _let(sizes, lambda z: _let(before(z), lambda sums: F.transform(z, lambda _, i: start(z, sums, i))))
 
 
 def _digits(text: Column) -> Column:
@@ -98,13 +105,14 @@ def _digits(text: Column) -> Column:
 
 
 def _luhn(text: Column) -> Column:
-    back = F.reverse(_digits(text))
+    def total(back: Column) -> Column:
+        def add(sofar: Column, i: Column) -> Column:
+            d = F.substring(back, i, F.lit(1)).cast("int")
+            return sofar + F.when(i % 2 == 1, d).otherwise(2 * d - F.when(d > 4, 9).otherwise(0))
 
-    def add(total: Column, i: Column) -> Column:
-        d = F.substring(back, i, F.lit(1)).cast("int")
-        return total + F.when(i % 2 == 1, d).otherwise(2 * d - F.when(d > 4, 9).otherwise(0))
+        return F.aggregate(F.sequence(F.lit(1), F.length(back)), F.lit(0), add)
 
-    return F.aggregate(F.sequence(F.lit(1), F.length(back)), F.lit(0), add) % 10 == 0
+    return _let(F.reverse(_digits(text)), total) % 10 == 0
 
 
 def _between(n: Column, low: int, high: int) -> Column:
