@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import bpe, leaks, licenses, pii, quality, sentences, toxicity, voronoi, wordpiece
+from corpusloom.llm import bpe, jaccard, leaks, licenses, pii, quality, sentences, toxicity, voronoi, wordpiece
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +38,10 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_components(table(spark, sf_dir, "documents"), k=3, percent=90)
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wordpiece.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -60,6 +64,7 @@ QUERIES = {
     "op3_quality": op3_quality,
     "op4_toxicity": op4_toxicity,
     "op5_bpe": op5_bpe,
+    "op6_jaccard": op6_jaccard,
     "op7_token_counts": op7_token_counts,
     "op8_voronoi": op8_voronoi,
     "op9_licenses": op9_licenses,
