@@ -27,7 +27,7 @@ FACTORS = 4
 STEM_BYTES = (4, 5, 6, 7)
 THRESHOLD = 0.7
 ROUNDS = 20
-MIN_TEXTS, MIN_CHI_SQUARE = 4, 25.0
+MIN_TEXTS, MIN_CHI_SQUARE = 4, 14.0
 
 SCHEMA = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
 
