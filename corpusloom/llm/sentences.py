@@ -32,6 +32,7 @@ SPAN_DDL = "hash long, doc_id long, begin int, finish int, n_words int"
 SPAN_SCHEMA = pa.schema([
     ("hash", pa.int64()), ("doc_id", pa.int64()), ("begin", pa.int32()), ("finish", pa.int32()), ("n_words", pa.int32()),
 ])
+_STEP = 0x9E3779B97F4A7C15
 _STOP = texts.byte_class(b".!?")
 
 
@@ -57,12 +58,13 @@ def spans_of(column: pa.Array, min_words: int = MIN_WORDS, min_sentences: int =
     k = np.maximum(np.searchsorted(ends, begins + min_words, "left"), np.arange(len(begins)) + min_sentences - 1)
     alone = line_ends[ends - 1] & ((begins == 0) | line_ends[begins - 1]) & (ends - begins >= min_words)
     ok = (k < len(begins)) & (doc[np.minimum(k, len(begins) - 1)] == doc)
-    # prefix sums of hash * step^place make every span's hash one subtraction
-    powers = np.multiply.accumulate(np.full(n, np.uint64(0x9E3779B97F4A7C15), np.uint64))
+    # prefix sums of hash * step^place, times step^-begin, give every span's hash wherever it stands
+    powers = np.multiply.accumulate(np.full(n, np.uint64(_STEP), np.uint64))
+    back = np.multiply.accumulate(np.full(n, np.uint64(pow(_STEP, -1, 1 << 64)), np.uint64))
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(w.hash * powers, dtype=np.uint64)])
     out = []
     for first, close in ((begins[ok], ends[k[ok]]), (begins[alone], ends[alone])):
-        value = (sums[close] - sums[first]) * powers[n - 1 - first]
+        value = (sums[close] - sums[first]) * back[first]
         out.append((w.doc[first], texts.mix(value ^ (close - first).astype(np.uint64)), w.start[first] - at[w.doc[first]],
                     w.end[close - 1] - at[w.doc[first]], close - first))
     return tuple(np.concatenate(x) for x in zip(*out))

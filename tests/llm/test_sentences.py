@@ -1,0 +1,112 @@
+"""Operator 10 against spans cut text by text."""
+
+import random
+import re
+
+import odd
+
+from corpusloom.llm import sentences
+
+
+def spans(text, min_words=sentences.MIN_WORDS, min_sentences=sentences.MIN_SENTENCES):
+    """(words, begin, finish) of every span; places in bytes."""
+    raw = (text or "").encode()
+    words = [(m.start(), m.end()) for m in re.finditer(rb"[^ \t\n\x0b\x0c\r]+", raw)]
+    ends, line_ends = [], set()
+    for k, (_, b) in enumerate(words):
+        gap = raw[b : words[k + 1][0]] if k + 1 < len(words) else b"\n"
+        if b"\n" in gap:
+            line_ends.add(k)
+        if raw[b - 1 : b] in (b".", b"!", b"?") or b"\n" in gap:
+            ends.append(k)
+    begins = [0, *(e + 1 for e in ends[:-1])][: len(ends)]
+    out = []
+
+    def add(a, e):
+        folded = re.sub(rb"[A-Z]", lambda m: m.group().lower(), raw[words[a][0] : words[e][1]])
+        out.append((tuple(folded.split()), words[a][0], words[e][1]))
+
+    for s, a in enumerate(begins):
+        for e in range(s + min_sentences - 1, len(ends)):
+            if ends[e] - a + 1 >= min_words:
+                add(a, ends[e])
+                break
+        if ends[s] - a + 1 >= min_words and ends[s] in line_ends and (a == 0 or a - 1 in line_ends):
+            add(a, ends[s])
+    return out
+
+
+def brute(docs):
+    first, cut = {}, {}
+    for i, text in sorted(docs.items()):
+        for words, a, b in sorted(spans(text), key=lambda x: x[1:]):
+            if first.setdefault(words, (i, a)) != (i, a):
+                cut.setdefault(i, set()).add((a, b))
+    out = {}
+    for i, mine in cut.items():
+        united = []
+        for a, b in sorted(mine):
+            if united and a <= united[-1][1] + 1:
+                united[-1][1] = max(b, united[-1][1])
+            else:
+                united.append([a, b])
+        out[i] = [tuple(x) for x in united]
+    return out
+
+
+def got(docs):
+    found = {}
+    for r in sentences.removed_stretches(docs).collect():
+        found.setdefault(r["doc_id"], []).append((r["begin"], r["finish"]))
+    return {i: sorted(v) for i, v in found.items()}
+
+
+def make(seed):
+    random.seed(seed)
+    vocabulary = [f"w{i}é" if i % 5 == 0 else f"w{i}" for i in range(4000)]
+    sentence = lambda: " ".join(random.choices(vocabulary, k=random.randint(1, 30))).capitalize() + random.choice([".", "!", "?"])
+    shared = [[sentence() for _ in range(random.randint(1, 6))] for _ in range(6)]
+    docs = {}
+    for i in range(80):
+        body = [[sentence() for _ in range(random.randint(1, 5))] for _ in range(random.randint(1, 4))]
+        if i % 3 == 0:
+            body.insert(random.randrange(len(body) + 1), random.choice(shared))
+        docs[i] = "\n".join(" ".join(x) for x in body)
+    return docs
+
+
+def test_random_documents(spark):
+    docs = make(5)
+    found = got(odd.documents(spark, list(docs.items())))
+    assert found == brute(docs) and found
+
+
+def test_planted_passages_are_found(spark):
+    random.seed(9)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    passage = ". ".join(" ".join(random.choices(vocabulary, k=14)) for _ in range(5)) + "."
+    filler = lambda: " ".join(random.choices(vocabulary, k=60)) + "."
+    docs = {i: f"{filler()}\n{passage}\n{filler()}" for i in range(20)} | {i: f"{filler()}\n{filler()}" for i in range(20, 40)}
+    found = sentences.removed_stretches(odd.documents(spark, list(docs.items()))).collect()
+    assert {r["doc_id"] for r in found} == set(range(1, 20)) and {r["first_doc_id"] for r in found} == {0}
+
+
+def test_odd_documents(spark):
+    rows = [(i, t) for i, t in odd.ROWS if i is not None]
+    assert got(odd.documents(spark, odd.ROWS)) == brute(dict(rows))
+    assert sentences.removed_stretches(odd.empty(spark)).count() == 0
+
+
+def test_deduplicated(spark):
+    docs = make(7)
+    table = odd.documents(spark, [*docs.items(), (None, "x"), (1000, None)])
+    kept = sentences.deduplicated(table)
+    assert kept.columns == table.columns and kept.count() == len(docs) + 2
+    cut = brute(docs)
+    for r in kept.collect():
+        if r["doc_id"] in docs:
+            raw, at, parts = docs[r["doc_id"]].encode(), 0, []
+            for a, b in cut.get(r["doc_id"], []):
+                parts.append(raw[at:a])
+                at = b
+            assert r["text"] == b"".join([*parts, raw[at:]]).decode()
