@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from corpusloom import fixtures as fx
 from corpusloom.catalog.sql import EXAMPLES, JUDGED
 from corpusloom.operators import judging, reports
+from corpusloom.operators.responses import OBJECT_ATTEMPTS
 from corpusloom.session import work_dir
 from corpusloom.sources import jsonl
 
@@ -17,7 +18,7 @@ SCHEMA = jsonl.GENERATED
 
 def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
     ex = judging.with_content_key(fx.examples(spark, sf_dir))
-    verdicts = judging.verdicts_from_responses(fx.judge_responses(spark, sf_dir))
+    verdicts = judging.verdicts_from_responses(fx.judge_responses(spark, sf_dir), max_attempts=OBJECT_ATTEMPTS)
     return judging.attach(ex, verdicts)
 
 

@@ -29,14 +29,14 @@ def _line(messages: Column) -> Column:
 
 def chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = formats.assemble_chat(fx.table(spark, sf_dir, "conversations"))
-    return rows.select("conv_id", "part", F.size("messages").cast("long").alias("n"), _line(F.col("messages")).alias("chat"))
+    return rows.select("conv_id", F.size("messages").cast("long").alias("n"), _line(F.col("messages")).alias("chat"))
 
 
 def chat_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Some turns get an unknown role, a blank text or the system role."""
+    """Some turns get an unknown role, none at all, a blank text or the system role."""
     turns = fx.table(spark, sf_dir, "conversations")
     mark = (F.col("conv_id") * 5 + F.col("turn") * 3) % 11
-    role = F.when(mark == 1, "tool").when(mark == 2, "system").otherwise(F.col("role"))
+    role = F.when(mark == 1, "tool").when(mark == 2, "system").when(mark != 4, F.col("role"))
     text = F.when(mark == 3, " \n").otherwise(F.col("text"))
     return formats.check_chat(turns.select("conv_id", "turn", role.alias("role"), text.alias("text")))
 
@@ -94,13 +94,17 @@ _CASES = """VALUES ('placeholder', [0]), ('missing_sharing', [1]), ('no_security
                  ('trivial_assert', [6]), ('deprecated_if', [7]), ('inline_style', [8])"""
 
 
-def _found(rule: str, _literal: str, present: str, absent: str | None) -> str:
-    def matches(pattern: str) -> str:
-        return "regexp_matches(html, '%s')" % pattern.replace("'", "''")
-
-    hit = matches(present) + (f" AND NOT {matches(absent)}" if absent else "")
-    return f"SELECT '{rule}' AS rule, count(*) AS n, count(*) FILTER ({hit}) AS hits FROM pages"
-
+_POLICIES = """
+        SELECT 'placeholder' AS rule, regexp_matches(html, '(?i)//\\s*(?:todo|implement|add logic here)') AS hit FROM pages
+        UNION ALL SELECT 'missing_sharing', regexp_matches(html, '\\bclass\\s+\\w+')
+          AND NOT regexp_matches(html, '(?i)\\b(?:with|without|inherited)\\s+sharing\\b') FROM pages
+        UNION ALL SELECT 'no_security', regexp_matches(html, '(?i)\\[\\s*select\\s')
+          AND NOT regexp_matches(html, '(?i)\\bwith\\s+security_enforced\\b') FROM pages
+        UNION ALL SELECT 'hardcoded_id',
+          regexp_matches(html, '''(?:001|003|005|006|500|a0[0-9A-Za-z])[0-9A-Za-z]{12}(?:[0-9A-Za-z]{3})?''') FROM pages
+        UNION ALL SELECT 'trivial_assert', regexp_matches(html, '(?i)\\bSystem\\.assert\\s*\\(\\s*true\\s*\\)') FROM pages
+        UNION ALL SELECT 'deprecated_if', regexp_matches(html, '\\bif:(?:true|false)\\s*=') FROM pages
+        UNION ALL SELECT 'inline_style', regexp_matches(html, '\\sstyle\\s*=\\s*["'']') FROM pages"""
 
 ORACLES = {
     "f1_validate": """
@@ -111,16 +115,16 @@ ORACLES = {
                 CASE WHEN doc_id % 3 = 0 THEN 'unknown difficulty' END], lambda x: x IS NOT NULL) AS v
               FROM documents)""",
     "f2_chat": """
-        SELECT conv_id, turn // 1024 AS part, count(*) AS n, string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS chat
-        FROM conversations GROUP BY 1, 2""",
+        SELECT conv_id, count(*) AS n, string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS chat
+        FROM conversations GROUP BY 1""",
     "f3_chat_check": """
         WITH t AS (
-          SELECT conv_id, turn, CASE m WHEN 1 THEN 'tool' WHEN 2 THEN 'system' ELSE role END AS role, m = 3 AS blank
+          SELECT conv_id, turn, CASE m WHEN 1 THEN 'tool' WHEN 2 THEN 'system' WHEN 4 THEN NULL ELSE role END AS role, m = 3 AS blank
           FROM (SELECT *, (conv_id * 5 + turn * 3) % 11 AS m FROM conversations)),
         l AS (SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS before,
                      row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k FROM t),
         c AS (
-          SELECT conv_id, count(*) AS turns, count(*) FILTER (role = 'tool') AS bad_roles, count(*) FILTER (blank) AS blank_turns,
+          SELECT conv_id, count(*) AS turns, count(*) FILTER (role IS NULL OR role = 'tool') AS bad_roles, count(*) FILTER (blank) AS blank_turns,
                  count(*) FILTER (role = 'system' AND k > 1) AS late_systems, count(*) FILTER (role = before) AS repeats
           FROM l GROUP BY 1)
         SELECT *, bad_roles + blank_turns + late_systems + repeats = 0 AS ok FROM c""",
@@ -144,5 +148,5 @@ ORACLES = {
     "f8_lint": f"""
         WITH cases(rule, ks) AS ({_CASES})
         SELECT doc_id, rule, list_contains(ks, doc_id % 9) AS hit FROM documents, cases""",
-    "f8_lint_counts": "\nUNION ALL ".join(_found(*rule) for rule in lint.RULES),
+    "f8_lint_counts": f"SELECT rule, count(*) AS n, count(*) FILTER (hit) AS hits FROM ({_POLICIES}) GROUP BY 1",
 }

@@ -28,7 +28,7 @@ def sectioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     tries = fx.section_responses(spark, sf_dir).select("*", F.explode(F.sequence(F.lit(1), F.lit(4))).alias("attempt"))
     raw = F.when(F.col("attempt") <= F.col("page_id") % 4, F.replace("raw", F.lit("=== JS ==="), F.lit("=== J ==="))).otherwise(F.col("raw"))
     responses = tries.select(F.concat(F.lit("prompt "), "page_id").alias("prompt"), "attempt", raw.alias("raw"))
-    return generation_flow.sectioned_results(plan, responses)
+    return generation_flow.sectioned_results(plan, responses, max_attempts=R.SECTION_ATTEMPTS)
 
 
 def strict(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,14 +37,15 @@ def strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     lost = (F.col("attempt") == 1) & (F.col("page_id") % 2 == 1)
     raw = F.when(lost, F.replace("raw", F.lit("=== CSS ==="), F.lit(""))).otherwise(F.col("raw"))
     responses = tries.select(F.concat(F.lit("prompt "), "page_id").alias("prompt"), "attempt", raw.alias("raw"))
-    return generation_flow.strict_results(responses).drop("output")
+    return generation_flow.strict_results(responses, max_attempts=R.SECTION_ATTEMPTS).drop("output")
 
 
 def batched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Six attempts in two stages to tagged records of the calls still to do."""
     calls = fx.json_attempts(spark, sf_dir)
     finished = fx.done(spark, sf_dir).select(F.concat(F.lit("MIG-"), "doc_id").alias("call_id"))
-    return generation_flow.batch_results(planning.remaining_work(calls, finished, "call_id"), "migration").drop("record")
+    todo = planning.remaining_work(calls, finished, "call_id")
+    return generation_flow.batch_results(todo, "migration", max_attempts=R.BATCH_ATTEMPTS).drop("record")
 
 
 def rounds(spark: SparkSession, sf_dir: str) -> DataFrame:

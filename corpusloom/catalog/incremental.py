@@ -7,13 +7,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom import fixtures as fx
-from corpusloom.catalog.sql import EXAMPLES, JUDGED
-from corpusloom.operators import judging, responses as R
+from corpusloom.catalog.sql import JUDGED
+from corpusloom.operators import judging
+from corpusloom.operators.responses import OBJECT_ATTEMPTS
 from corpusloom.session import work_dir
 from corpusloom.streaming import incremental as I
 
 RECORDS = T.StructType(
-    [T.StructField("call_id", T.StringType()), T.StructField("instruction", T.StringType()), T.StructField("output", T.StringType())]
+    [T.StructField("call_id", T.StringType()), T.StructField("pos", T.LongType())]
+    + [T.StructField(c, T.StringType()) for c in ("instruction", "input", "output", "record")]
 )
 VERDICTS = T.StructType(
     [T.StructField("content_key", T.StringType())]
@@ -27,16 +29,26 @@ def arriving(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
-def parse_batch(batch: DataFrame) -> DataFrame:
-    rows = R.batch_records(fx.spread(batch), "call_id")
-    return rows.where("pos = 0").select(*RECORDS.names)
+def as_answers(documents: DataFrame) -> DataFrame:
+    """Two answers per call, the first one broken for every fourth; three records each, the middle one too short."""
+    line = fx.first_line(F.col("text"))
+    records = F.array(
+        F.struct(line.alias("instruction"), F.col("text").alias("output"), F.col("lang").alias("extra")),
+        F.struct(line.alias("instruction"), F.lit("short").alias("output"), F.lit("x").alias("extra")),
+        F.struct(line.alias("instruction"), F.concat("text", F.lit(" "), "text").alias("output"), F.lit("two").alias("extra")),
+    )
+    raw = F.concat(F.lit(f"{fx.FENCE}json\n"), F.to_json(records), F.lit(f"\n{fx.FENCE}"))
+    tries = documents.select("doc_id", F.concat(F.lit("MIG-"), "doc_id").alias("call_id"), raw.alias("raw"), F.explode(F.array(F.lit(1), F.lit(2))).alias("attempt"))
+    broken = (F.col("attempt") == 1) & (F.col("doc_id") % 4 == 0)
+    return tries.withColumn("raw", F.when(broken, F.left("raw", F.length("raw") - 20)).otherwise(F.col("raw")))
 
 
 def stream_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, checkpoint = work_dir(spark, "generation"), work_dir(spark, "generation-checkpoint")
-    arrivals = fx.as_json_responses(arriving(spark, sf_dir, "documents"))
-    I.run_generation(arrivals, parse_batch, path, checkpoint, RECORDS, "call_id").awaitTermination()
-    return I.read_log(spark, path, RECORDS).drop(I.BATCH)
+    arrivals = as_answers(arriving(spark, sf_dir, "documents"))
+    I.run_generation(arrivals, I.first_records, path, checkpoint, RECORDS, "call_id").awaitTermination()
+    log = I.read_log(spark, path, RECORDS)
+    return log.select("call_id", "pos", "instruction", "input", "output", F.get_json_object("record", "$.extra").alias("extra"))
 
 
 def stream_judge(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,22 +57,22 @@ def stream_judge(spark: SparkSession, sf_dir: str) -> DataFrame:
     answers = fx.judge_responses(spark, sf_dir)
     answers.repartition(4, "content_key").write.parquet(source)
     arrivals = spark.readStream.schema(answers.schema).option("maxFilesPerTrigger", 2).parquet(source)
-    I.run_judging(arrivals, path, checkpoint, VERDICTS).awaitTermination()
-    verdicts = I.read_log(spark, path, VERDICTS).drop(I.BATCH)
+    I.run_judging(arrivals, path, checkpoint, VERDICTS, OBJECT_ATTEMPTS).awaitTermination()
+    verdicts = I.settled_verdicts(I.read_log(spark, path, VERDICTS))
     ex = judging.with_content_key(fx.examples(spark, sf_dir))
     return ex.join(verdicts, "content_key").select("doc_id", *judging.VERDICT_COLUMNS)
 
 
 def idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Batch 0 runs twice, batch 1 brings everything again: one row per key stays."""
+    """Batch 0 runs twice, batch 1 of another run brings everything again: each key's records stay once."""
     path = work_dir(spark, "replayed")
-    rows = parse_batch(fx.json_responses(spark, sf_dir))
-    half = rows.where(F.length("output") % 2 == 0)
+    docs = fx.table(spark, sf_dir, "documents")
+    rows, half = (I.first_records(as_answers(d)) for d in (docs, docs.where("doc_id % 2 = 0")))
     I.open_log(spark, path, RECORDS)
-    for batch_id, batch in ((0, half), (0, half), (1, rows), (1, rows)):
-        I.append_batch(batch, batch_id, path, RECORDS, "call_id")
+    for run, batch_id, batch in (("a", 0, half), ("a", 0, half), ("b", 0, rows), ("b", 0, rows), ("b", 1, half)):
+        I.append_batch(batch, batch_id, path, RECORDS, "call_id", run=run)
     log = I.read_log(spark, path, RECORDS)
-    return log.groupBy("call_id").agg(F.count(F.lit(1)).alias("n"), F.min(I.BATCH).alias("batch"))
+    return log.groupBy("call_id").agg(F.count(F.lit(1)).alias("n"), F.max(I.RUN).alias("run"), F.max(I.BATCH).alias("batch"))
 
 
 def running(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,13 +91,17 @@ QUERIES = {
 
 ORACLES = {
     "i1_stream_parse": """
-        SELECT 'MIG-' || doc_id AS call_id, split_part(text, chr(10), 1) AS instruction, text AS output
-        FROM documents WHERE n_chars > 200""",
+        SELECT 'MIG-' || doc_id AS call_id, pos, split_part(text, chr(10), 1) AS instruction, '' AS input, output, extra
+        FROM (SELECT doc_id, text, 0::BIGINT AS pos, text AS output, lang AS extra FROM documents
+              UNION ALL SELECT doc_id, text, 2, text || ' ' || text, 'two' FROM documents)
+        WHERE length(output) > 200""",
     "i2_stream_judge": f"""WITH {JUDGED}
         SELECT doc_id, completeness, alignment, best_practices, code_quality, avg_score, verdict, reason
         FROM judged WHERE avg_score > 0""",
-    "i3_idempotent": f"""WITH {EXAMPLES}
-        SELECT 'MIG-' || doc_id AS call_id, 1::BIGINT AS n, (length(output) % 2)::BIGINT AS batch FROM ex WHERE n_chars > 200""",
+    "i3_idempotent": """
+        SELECT 'MIG-' || doc_id AS call_id, (CASE WHEN n_chars > 200 THEN 2 ELSE 1 END)::BIGINT AS n,
+               CASE WHEN doc_id % 2 = 0 THEN 'a' ELSE 'b' END AS run, 0::BIGINT AS batch
+        FROM documents WHERE 2 * n_chars + 1 > 200""",
     "i4_running": """
         WITH m AS (
           SELECT source AS category, 2 + (doc_id * 7 + n_chars) % 4 AS a, 2 + (doc_id * 3 + n_chars * 5) % 4 AS b,

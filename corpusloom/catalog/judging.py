@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 from corpusloom import fixtures as fx
 from corpusloom.catalog.sql import JUDGED
 from corpusloom.operators import judging, reports
+from corpusloom.operators.responses import OBJECT_ATTEMPTS
 from corpusloom.plans import judging_flow
 from corpusloom.session import work_dir
 
 
 def judged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judging_flow.judged_examples(fx.examples(spark, sf_dir), fx.judge_responses(spark, sf_dir))
+    return judging_flow.judged_examples(
+        fx.examples(spark, sf_dir), fx.judge_responses(spark, sf_dir), max_attempts=OBJECT_ATTEMPTS
+    )
 
 
 def enforced(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,7 +70,8 @@ def worst(spark: SparkSession, sf_dir: str) -> DataFrame:
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole judging job with all its sinks; the report table is the result."""
     done = judging_flow.judge_corpus(
-        fx.examples(spark, sf_dir), fx.judge_responses(spark, sf_dir), work_dir(spark, "corpus"), "judge"
+        fx.examples(spark, sf_dir), fx.judge_responses(spark, sf_dir), work_dir(spark, "corpus"), "judge",
+        max_attempts=OBJECT_ATTEMPTS,
     )
     return done.by_category
 

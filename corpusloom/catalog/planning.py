@@ -13,8 +13,8 @@ from corpusloom.operators import planning as P
 TEMPLATE = "Rate this.\n{instruction}\n---\n{output}\nAnswer as {{json}}."
 
 
-def _grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.prompt_grid(fx.plan_categories(spark, sf_dir), fx.plan_domains(spark, sf_dir), "position")
+def _grid(spark: SparkSession, sf_dir: str, per_category: int | None = None) -> DataFrame:
+    return P.prompt_grid(fx.plan_categories(spark, sf_dir), fx.plan_domains(spark, sf_dir), "position", per_category)
 
 
 def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,7 +29,8 @@ def render(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.cap_per_category(_grid(spark, sf_dir)).select("category", F.col("ordinal").cast("long").alias("ordinal"), "domain", "prompt")
+    capped = P.cap_per_category(_grid(spark, sf_dir, P.TARGET_PER_CATEGORY))
+    return capped.select("category", F.col("ordinal").cast("long").alias("ordinal"), "domain", "prompt")
 
 
 def remaining(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,7 +59,7 @@ def fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def judge_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
     ex = fx.examples(spark, sf_dir)
-    return ex.select("doc_id", P.judge_prompt(TEMPLATE, F.col("output"), F.col("output")).alias("prompt"))
+    return ex.select("doc_id", P.judge_prompt(TEMPLATE, F.col("output"), F.col("output"), 800, 3000).alias("prompt"))
 
 
 def envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,11 +98,9 @@ QUERIES = {
 }
 
 _PLAN = "plan AS (SELECT doc_id, doc_id AS ordinal, source AS category, lang AS domain, split_part(text, chr(10), 1) AS prompt FROM documents)"
-_REMINDER = " || ".join(
-    part if part == "chr(10)" else f"'{part}'"
-    for line in P.FORMAT_REMINDER.split("\n")
-    for part in ([line] if line else []) + ["chr(10)"]
-).removesuffix(" || chr(10)")
+_REMINDER = """chr(10) || chr(10) || 'Respond using EXACTLY this format — no prose before or after:' || chr(10)
+                 || '=== INSTRUCTION ===' || chr(10) || '<one sentence>' || chr(10) || '=== HTML ===' || chr(10) || '<html>' || chr(10)
+                 || '=== JS ===' || chr(10) || '<js>' || chr(10) || '=== CSS ===' || chr(10) || '<css or NONE>'"""
 
 ORACLES = {
     "p1_grid": f"WITH {GRID} SELECT category, max_tokens, ordinal, prompt, domain FROM grid",

@@ -102,7 +102,7 @@ def gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def first_ok(spark: SparkSession, sf_dir: str) -> DataFrame:
     tries = R.batch_attempts(fx.json_attempts(spark, sf_dir))
     order = R.attempt_order(F.col("stage"), F.col("attempt"))
-    tries = tries.withColumn("won", F.struct(order.alias("position"), F.size("records").alias("n")))
+    tries = tries.withColumn("won", F.struct((F.col("stage") * 10 + F.col("attempt")).alias("position"), F.size("records").alias("n")))
     won = R.first_acceptable(tries, ["call_id"], order, "won", F.size("records") > 0)
     return won.select("call_id", F.col("won.position").cast("long").alias("position"), F.col("won.n").cast("long").alias("n"))
 

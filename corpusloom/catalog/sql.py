@@ -21,7 +21,7 @@ judged AS (
   FROM ex LEFT JOIN marks USING (output))"""
 
 GRID = """kinds AS (SELECT event_type AS variation, row_number() OVER (ORDER BY event_type) - 1 AS v
-  FROM (SELECT DISTINCT event_type FROM events WHERE event_type <> 'error')),
+  FROM (SELECT DISTINCT event_type FROM events)),
 cats AS (SELECT DISTINCT source AS category FROM documents),
 grid AS (
   SELECT category, 7000::BIGINT AS max_tokens, k AS ordinal,

@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.operators.judging import with_content_key
-from corpusloom.operators.planning import dimension
 from corpusloom.sources.jsonl import ORIGIN
 
 FENCE = "```"
@@ -21,17 +20,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
-    """A table whose rows are costly to work on, on all cores."""
-    return spread(table(spark, sf_dir, name))
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Fewer splits than cores are spread out once, by the first column.
-
-    Any larger table is left as it is scanned, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, df.columns[0]) if df.rdd.getNumPartitions() < cores else df
+    """A table of texts, as it is scanned."""
+    return table(spark, sf_dir, name)
 
 
 def first_line(text: Column) -> Column:
@@ -174,9 +164,9 @@ def components(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def plan_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One category per source; its variations are the event types but errors."""
-    kinds = table(spark, sf_dir, "events").where("event_type <> 'error'").select("event_type").distinct()
-    variations = dimension(kinds, "event_type", order="event_type").getField("event_type")
+    """One category per source; its variations are the event types."""
+    # as many as there are types
+    variations = table(spark, sf_dir, "events").agg(F.sort_array(F.collect_set("event_type"))).scalar()
     generic = F.transform(
         F.sequence(F.lit(0), F.lit(7)), lambda k: F.concat(F.lit("Describe "), F.col("category"), F.lit(" part "), k)
     )

@@ -15,7 +15,7 @@ CATEGORIES = ("apex", "lwc", "integrations", "architecture")
 DIFFICULTIES = ("beginner", "intermediate", "advanced")
 ROLES = ("system", "user", "assistant")
 
-# Turns per chat row and per check window; longer conversations span several.
+# Turns per check window; longer conversations span several.
 PART_TURNS = 1024
 
 
@@ -33,15 +33,10 @@ def with_violations(
 
 
 def assemble_chat(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", text: str = "text") -> DataFrame:
-    """Turns to ordered message lists, PART_TURNS turn numbers per row.
-
-    A usual conversation is one row, part 0. A very long one continues in
-    further parts, so no group grows without bound and no turn is lost.
-    """
-    part = F.floor(F.col(turn) / PART_TURNS).alias("part")
+    """Turns to one ordered message list per conversation: a record holds its conversation whole."""
     rows = F.sort_array(F.collect_list(F.struct(F.col(turn).alias("t"), "role", F.col(text).alias("content"))))
     messages = F.transform(rows, lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")))
-    return turns.groupBy(conv, part).agg(messages.alias("messages"))
+    return turns.groupBy(conv).agg(messages.alias("messages"))
 
 
 def check_chat(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", text: str = "text") -> DataFrame:
@@ -54,12 +49,14 @@ def check_chat(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", text
     part = F.floor(F.col(turn) / PART_TURNS)
     inside = Window.partitionBy(conv, "part").orderBy(turn)
     rows = turns.select(conv, turn, "role", is_blank(F.coalesce(text, F.lit(""))).alias("blank"), part.alias("part"))
-    rows = rows.withColumns({"before": F.lag("role").over(inside), "after": F.lead(turn).over(inside)})
+    rows = rows.withColumns({
+        "before": F.lag("role").over(inside), "opens": F.lag(turn).over(inside).isNull(), "closes": F.lead(turn).over(inside).isNull()
+    })
 
     def total(cond: Column) -> Column:
         return F.sum(F.when(cond, F.lit(1).cast("long")).otherwise(F.lit(0).cast("long")))
 
-    opens, closes = F.col("before").isNull(), F.col("after").isNull()
+    opens, closes = F.col("opens"), F.col("closes")
     parts = rows.groupBy(conv, "part").agg(
         F.count(F.lit(1)).alias("turns"),
         total(~F.coalesce(F.col("role").isin(*ROLES), F.lit(False))).alias("bad_roles"),
@@ -70,8 +67,8 @@ def check_chat(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", text
         F.max(F.when(closes, F.col("role"))).alias("last_role"),
     )
     along = Window.partitionBy(conv).orderBy("part")
-    parts = parts.withColumn("last_before", F.lag("last_role").over(along))
-    later = F.col("last_before").isNotNull()
+    parts = parts.withColumns({"last_before": F.lag("last_role").over(along), "later": F.lag("part").over(along).isNotNull()})
+    later = F.col("later")
     checks = parts.groupBy(conv).agg(
         F.sum("turns").alias("turns"),
         F.sum("bad_roles").alias("bad_roles"),

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.text import round_half_even
 from corpusloom.operators.planning import remaining_work
-from corpusloom.operators.responses import OBJECT_ATTEMPTS, SCORES, first_acceptable, verdict_attempts
-from corpusloom.operators.skew import HEAVY_ROWS, spread_join, top_keys
+from corpusloom.operators.responses import OBJECT_ATTEMPTS, SCORES, first_acceptable, up_to, verdict_attempts
+from corpusloom.operators.skew import lookup_join
 
 # The acceptance rule and the text of a missing verdict.
 MIN_SCORE = 3
@@ -57,12 +57,14 @@ def enforce(df: DataFrame) -> DataFrame:
     return df.withColumn("verdict", F.when(passed, ACCEPT).otherwise(REJECT))
 
 
-def verdicts_from_responses(responses: DataFrame, key: str = "content_key", attempt: str = "attempt") -> DataFrame:
+def verdicts_from_responses(
+    responses: DataFrame, key: str = "content_key", attempt: str = "attempt", max_attempts: int | None = None
+) -> DataFrame:
     """Judge responses to one enforced verdict per key.
 
-    The first valid attempt counts; later ones and those over the limit do not.
+    The first valid attempt counts; later ones and those over a limit do not.
     """
-    tries = verdict_attempts(responses.where(F.col(attempt) <= OBJECT_ATTEMPTS))
+    tries = verdict_attempts(up_to(responses, max_attempts, attempt))
     first = first_acceptable(tries, [key], F.col(attempt), "verdict", F.col("verdict").isNotNull())
     scores = first.select(key, *[F.col(f"verdict.{s}").alias(s) for s in SCORES], F.col("verdict.reason").alias("reason"))
     return enforce(scores).select(key, *VERDICT_COLUMNS)
@@ -80,21 +82,13 @@ def with_default(df: DataFrame) -> DataFrame:
     )
 
 
-def attach(
-    examples: DataFrame, verdicts: DataFrame, key: str = "content_key", heavy: DataFrame | None = None
-) -> DataFrame:
+def attach(examples: DataFrame, verdicts: DataFrame, key: str = "content_key") -> DataFrame:
     """Every example with its verdict, copies alike, defaults filled in.
 
-    ``verdicts`` has one row per key, so the join never multiplies rows. A text
-    with very many copies is spread over several tasks; ``heavy`` may bring its
-    keys along, as :func:`heavy_contents` takes them from the work table.
+    ``verdicts`` has one row per key, so the join never multiplies rows; a text
+    with very many copies is split over several tasks.
     """
-    return with_default(spread_join(examples, verdicts, key, "left", heavy))
-
-
-def heavy_contents(work: DataFrame, min_rows: int = HEAVY_ROWS) -> DataFrame:
-    """Heavy keys from the copy counts of :func:`judge_work`: no scan of the texts."""
-    return top_keys(work.select(F.xxhash64("content_key").alias("key_hash"), F.col("copies").alias("n")), min_rows)
+    return with_default(lookup_join(examples, verdicts, key, "left"))
 
 
 def resumable(verdicts: DataFrame) -> DataFrame:

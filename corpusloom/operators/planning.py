@@ -6,12 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import WS, render, render_each, strip
-from corpusloom.operators.skew import spread_join
+from corpusloom.operators.skew import lookup_join
+from corpusloom.session import stage, work_dir
 
 # Sizes and texts that decide the rendered prompts.
 TARGET_PER_CATEGORY = 40
-INSTRUCTION_CHARS = 800
-OUTPUT_CHARS = 3000
 ONE_EXAMPLE_NOTE = (
     "\n\nIMPORTANT: Output EXACTLY 1 example (JSON array with ONE object). "
     "100% complete, compilable, no truncation."
@@ -24,60 +23,66 @@ FORMAT_REMINDER = (
     "=== CSS ===\n<css or NONE>"
 )
 
-MAX_DIMENSION_ROWS = 10_000
 CAP_SALTS = 64
 
 
-def dimension(df: DataFrame, *cols: str, order: str) -> Column:
-    """A small table as one sorted array of structs, read by a scalar subquery.
+def numbered(df: DataFrame, order: str, name: str = "position") -> DataFrame:
+    """Rows numbered from 0 in the order of a column, without gathering them.
 
-    At most MAX_DIMENSION_ROWS rows ever leave the table; a bigger one is an
-    error, so what every task receives is bounded.
+    The table is written in ranges; numbers inside a range are added to the
+    sizes of the ranges before it, of which there are as many as tasks.
     """
-    row = F.struct(F.col(order).alias("_order"), *[F.col(c) for c in cols])
-    rows = df.limit(MAX_DIMENSION_ROWS + 1).agg(
-        F.when(
-            F.count(F.lit(1)) > MAX_DIMENSION_ROWS,
-            F.raise_error(F.lit(f"dimension has more than {MAX_DIMENSION_ROWS} rows")).cast(
-                f"array<struct<{', '.join(f'`{f.name}`:{f.dataType.simpleString()}' for f in df.select(row.alias('r')).schema[0].dataType)}>>"
-            ),
-        )
-        .otherwise(F.sort_array(F.collect_list(row)))
-        .alias("rows")
-    )
-    return rows.scalar()
+    spark = df.sparkSession
+    ranges = stage(df.repartitionByRange(order).withColumn("_range", F.spark_partition_id()), work_dir(spark, "numbered"))
+    inside = ranges.withColumn("_row", F.row_number().over(Window.partitionBy("_range").orderBy(order, *df.columns)) - 1)
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranges.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    return inside.join(offsets, "_range").withColumn(name, F.col("_offset") + F.col("_row")).drop("_range", "_row", "_offset")
 
 
-def prompt_grid(categories: DataFrame, domains: DataFrame, domain_order: str = "name") -> DataFrame:
-    """All prompts of every category, numbered in plan order.
+def prompt_grid(
+    categories: DataFrame, domains: DataFrame, domain_order: str = "name", per_category: int | None = None
+) -> DataFrame:
+    """All prompts of every category, numbered in plan order, or the first ``per_category`` of each.
 
     ``categories``: category, max_tokens, generic_prompts, domain_template,
     variations. A category without variations has its generic prompts only.
-    ``domains``: name, objects, context, examples. Each category row unfolds
-    into its own prompts, so the grid grows row by row without a join.
+    ``domains``: name, objects, context, examples. Of the domains only their
+    number reaches a category row; it unfolds into places, and each place looks
+    up its domain by position. Places beyond the cap never come into being.
     """
-    base = F.size("generic_prompts")
+    base = F.size("generic_prompts").cast("long")
     generic = categories.select(
         "category",
         "max_tokens",
         F.posexplode("generic_prompts").alias("ordinal", "prompt"),
         F.lit("Generic").alias("domain"),
+    ).withColumn("ordinal", F.col("ordinal").cast("long"))
+    if per_category is not None:
+        generic = generic.where(F.col("ordinal") < per_category)
+    kinds = F.size("variations").cast("long")
+    places = domains.agg(F.count(F.lit(1)).alias("n")).scalar() * kinds
+    if per_category is not None:
+        places = F.least(places, F.lit(per_category) - base)
+    unfolded = categories.where(F.size("variations") > 0).select(
+        "category", "max_tokens", "domain_template", "variations", base.alias("base"),
+        F.explode(F.when(places > 0, F.sequence(F.lit(0).cast("long"), places - 1))).alias("place"),
     )
-    per_domain = (
-        categories.where(F.size("variations") > 0)
-        .select(
-            "category", "max_tokens", "domain_template", "variations", base.alias("base"),
-            F.posexplode(dimension(domains, "name", "objects", "context", "examples", order=domain_order))
-            .alias("domain_pos", "dom"),
-        )
-        .select("*", F.posexplode("variations").alias("variation_pos", "variation"))
-        .select(
-            "category",
-            "max_tokens",
-            (F.col("base") + F.col("domain_pos") * F.size("variations") + F.col("variation_pos")).alias("ordinal"),
-            render_domain_prompt(F.col("domain_template"), F.col("dom"), F.col("variation")).alias("prompt"),
-            F.col("dom.name").alias("domain"),
-        )
+    unfolded = unfolded.select(
+        "category", "max_tokens", "domain_template", (F.col("base") + F.col("place")).alias("ordinal"),
+        F.floor(F.col("place") / kinds).cast("long").alias("position"),
+        F.get("variations", (F.col("place") % kinds).cast("int")).alias("variation"),
+    )
+    dom = F.struct("name", "objects", "context", "examples").alias("dom")
+    placed = numbered(domains.select(*dict.fromkeys((domain_order, "name", "objects", "context", "examples"))), domain_order, "_place")
+    placed = placed.select(F.col("_place").alias("position"), dom)
+    per_domain = unfolded.join(placed, "position").select(
+        "category",
+        "max_tokens",
+        "ordinal",
+        render_domain_prompt(F.col("domain_template"), F.col("dom"), F.col("variation")).alias("prompt"),
+        F.col("dom.name").alias("domain"),
     )
     return generic.unionByName(per_domain)
 
@@ -96,19 +101,16 @@ def render_domain_prompt(template: Column, dom: Column, variation: Column) -> Co
 
 
 def cap_per_category(
-    plan: DataFrame, n: int = TARGET_PER_CATEGORY, by: str = "category", order: str = "ordinal"
+    plan: DataFrame, n: int = TARGET_PER_CATEGORY, by: str = "category", order: str = "ordinal", salts: int = CAP_SALTS
 ) -> DataFrame:
     """The first ``n`` rows of each category in plan order.
 
-    Up to the group-limit threshold Spark itself keeps only ``n`` rows per
-    category and task ahead of the shuffle. For a larger ``n`` a salted first
-    round does the same, so no category reaches one task whole.
+    A salted first round keeps ``n`` rows of every part of a category, so no
+    category reaches one task whole, however large ``n`` is.
     """
-    limit = int(plan.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if n > limit:
-        salt = F.pmod(F.xxhash64(order), F.lit(CAP_SALTS))
-        first = Window.partitionBy(by, salt).orderBy(order)
-        plan = plan.withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") <= n).drop("_rank")
+    salt = F.pmod(F.xxhash64(order), F.lit(salts))
+    first = Window.partitionBy(by, salt).orderBy(order)
+    plan = plan.withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") <= n).drop("_rank")
     rank = F.row_number().over(Window.partitionBy(by).orderBy(order))
     return plan.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
 
@@ -118,10 +120,11 @@ def remaining_work(plan: DataFrame, done: DataFrame, key: str, unique: bool = Fa
 
     The done keys are made distinct first: a key finished many times crosses
     the shuffle once per task. ``unique`` says that no key repeats in the plan;
-    otherwise a prompt planned very often is spread over several tasks.
+    otherwise the distinct keys are written out, so that a prompt planned very
+    often can be split.
     """
     finished = done.select(key).distinct()
-    return plan.join(finished, key, "left_anti") if unique else spread_join(plan, finished, key, "left_anti")
+    return plan.join(finished, key, "left_anti") if unique else lookup_join(plan, finished, key, "left_anti")
 
 
 def plan_status(
@@ -178,13 +181,16 @@ def with_fallback(plan: DataFrame, prompt: str = "prompt") -> DataFrame:
     )
 
 
-def judge_prompt(template: str, instruction: Column, output: Column) -> Column:
-    """The template with instruction and output cut to what a judge is shown."""
-    return render(
-        template,
-        instruction=F.left(F.coalesce(instruction, F.lit("")), F.lit(INSTRUCTION_CHARS)),
-        output=F.left(F.coalesce(output, F.lit("")), F.lit(OUTPUT_CHARS)),
-    )
+def judge_prompt(
+    template: str, instruction: Column, output: Column, instruction_chars: int | None = None, output_chars: int | None = None
+) -> Column:
+    """The template with the whole instruction and output, or as much of them as a judge is to be shown."""
+
+    def shown(text: Column, chars: int | None) -> Column:
+        text = F.coalesce(text, F.lit(""))
+        return text if chars is None else F.left(text, F.lit(chars))
+
+    return render(template, instruction=shown(instruction, instruction_chars), output=shown(output, output_chars))
 
 
 def envelope(system: str | Column, prompt: Column, suffix: str = "", strip_prompt: bool = False) -> Column:

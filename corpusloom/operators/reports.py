@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions.text import line_count, round_half_even
 from corpusloom.operators.judging import ACCEPT, REJECT
 from corpusloom.operators.planning import TARGET_PER_CATEGORY
-from corpusloom.operators.skew import spread_join
+from corpusloom.operators.skew import lookup_join
 
 UNKNOWN = "unknown"
 
@@ -86,7 +86,7 @@ def planned_file_counts(plan: DataFrame, records: DataFrame) -> DataFrame:
     it, and counts as often in the total.
     """
     counts = records.groupBy("filename").agg(F.count(F.lit(1)).alias("n"))
-    listed = spread_join(plan, counts, "filename", "inner").select(F.struct("ordinal", "filename").alias("file"), "n")
+    listed = lookup_join(plan, counts, "filename", "inner").select(F.struct("ordinal", "filename").alias("file"), "n")
     totals = listed.rollup("file").agg(F.sum("n").alias("n"), F.grouping("file").cast("long").alias("is_total"))
     return totals.select("file.ordinal", "file.filename", "n", "is_total")
 

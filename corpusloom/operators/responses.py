@@ -19,7 +19,6 @@ MIN_OUTPUT_CHARS = 200
 SECTION_ATTEMPTS = 3
 OBJECT_ATTEMPTS = 4
 BATCH_ATTEMPTS = 3
-STAGE_WIDTH = 10  # attempt order = stage * STAGE_WIDTH + attempt
 
 SCORES = ("completeness", "alignment", "best_practices", "code_quality")
 VERDICT_KEYS = (*SCORES, "verdict", "reason")
@@ -171,6 +170,8 @@ def batch_records(df: DataFrame, *keep: str, raw: str = "raw") -> DataFrame:
 
 def open_record(record: Column, **overrides: Column) -> Column:
     """The whole record as JSON, extra keys included, with some keys set."""
+    if not overrides:
+        return F.to_json(record)
     names = F.array(*[F.lit(k) for k in overrides])
     kept = F.map_filter(record, lambda k, _: ~F.array_contains(names, k))
     pairs = [part for k, v in overrides.items() for part in (F.lit(k), v.cast("variant"))]
@@ -246,7 +247,12 @@ def verdict_attempts(df: DataFrame, raw: str = "raw") -> DataFrame:
 
 
 def attempt_order(stage: Column, attempt: Column) -> Column:
-    return stage * STAGE_WIDTH + attempt
+    return F.struct(stage.alias("stage"), attempt.alias("attempt"))
+
+
+def up_to(attempts: DataFrame, most: int | None, attempt: str = "attempt") -> DataFrame:
+    """All attempts, or those a run with a limit would have made."""
+    return attempts if most is None else attempts.where(F.col(attempt) <= most)
 
 
 def first_acceptable(attempts: DataFrame, keys: list[str], order: Column, value: str, ok: Column) -> DataFrame:

@@ -1,67 +1,18 @@
-"""Joins that stay even when one key holds a large share of all rows.
-
-The adaptive skew join helps only where both sides of a join come straight from
-a shuffle; below an aggregation, as verdicts and finished keys are, it does not
-apply. So heavy keys are found by an exact count and salted.
-"""
+"""Lookups that stay even when one key holds a large share of all rows."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# Rows of one key that a task may well hold, and how many keys get salted. Keys
-# beyond the list are joined as they are: each holds less than any listed one.
-HEAVY_ROWS = 1_000_000
-MAX_HEAVY_KEYS = 1_000
-# Rows without a key match nothing, so any spread will do.
-NULL_SALTS = 1_024
-
 
-def heavy_keys(df: DataFrame, key: str, min_rows: int = HEAVY_ROWS) -> DataFrame:
-    """(key_hash, salts) of the most frequent keys, MAX_HEAVY_KEYS rows at most.
-
-    Reads the key column alone and counts hashes: eight bytes per key cross the
-    shuffle, however long the keys are. Two keys of one hash are merely salted
-    alike.
-    """
-    hashes = df.where(F.col(key).isNotNull()).select(F.xxhash64(key).alias("key_hash"))
-    return top_keys(hashes.groupBy("key_hash").agg(F.count(F.lit(1)).alias("n")), min_rows)
+from corpusloom.session import stage, work_dir
 
 
-def top_keys(counts: DataFrame, min_rows: int) -> DataFrame:
-    """Counted hashes (key_hash, n) cut to the heavy ones."""
-    top = counts.where(F.col("n") > min_rows).orderBy(F.desc("n")).limit(MAX_HEAVY_KEYS)
-    return top.select("key_hash", F.ceil(F.col("n") / min_rows).cast("int").alias("salts"))
-
-
-def spread_join(
-    rows: DataFrame, lookup: DataFrame, key: str, how: str = "left", heavy: DataFrame | None = None
-) -> DataFrame:
+def lookup_join(rows: DataFrame, lookup: DataFrame, key: str, how: str = "left") -> DataFrame:
     """``rows`` joined with ``lookup``, which has one row per key.
 
-    Rows of a heavy key go to several tasks by a hash of the row and of the
-    partition it is in, and its one lookup row is repeated for each. So even
-    rows equal in every column spread, and a repeated task sends every row where
-    it went before. The broadcast list is at most MAX_HEAVY_KEYS number pairs.
+    The narrow lookup is written out first. So both sides of the join come
+    straight from a shuffle, and the adaptive skew join splits the rows of a hot
+    key by their bytes; below an aggregation, as lookups usually are, it could not.
+    Nothing is counted beforehand and no column of ``rows`` is read for it.
     """
-    if heavy is None:
-        heavy = heavy_keys(rows, key, HEAVY_ROWS)
-    heavy = F.broadcast(heavy.withColumnsRenamed({"key_hash": "_hash", "salts": "_salts"}))
-    salts = F.when(F.col(key).isNull(), NULL_SALTS).otherwise(F.coalesce("_salts", F.lit(1)))
-    place = F.pmod(F.xxhash64(F.spark_partition_id(), *_hashable(rows)), F.col("_salts")).cast("int")
-    salted = (
-        rows.withColumn("_hash", F.xxhash64(key)).join(heavy, "_hash", "left").withColumn("_salts", salts)
-        .withColumn("_salt", F.when(F.col("_salts") == 1, F.lit(0)).otherwise(place))
-    )
-    repeated = (
-        lookup.withColumn("_hash", F.xxhash64(key)).join(heavy, "_hash", "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)))
-    )
-    joined = salted.drop("_salts", "_hash").join(repeated.drop("_salts", "_hash"), [key, "_salt"], how)
-    return joined.drop("_salt")
-
-
-def _hashable(df: DataFrame) -> list[str]:
-    """Columns the hash accepts: all but those with maps or variants inside."""
-    return [f.name for f in df.schema if not any(t in f.dataType.simpleString() for t in ("map<", "variant"))]
+    return rows.join(stage(lookup, work_dir(rows.sparkSession, "lookup")), key, how)

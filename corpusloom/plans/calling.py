@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,21 +25,48 @@ def call_rounds(
     key: str,
     prompts: Sequence[str],
     tasks: int | None = None,
+    slices: int = 8,
 ) -> DataFrame:
     """Ask once per round for the keys still open; return the log of results.
 
     ``plan`` has one row per key and the prompt columns; ``prompts`` names the
     column of each round, so a retry repeats a name and a fallback brings
     another. ``accept`` maps (key, raw) to rows of ``schema``, none for an answer
-    that fails. Answers are stored before they are parsed: a lost executor costs
-    calls of the running round only, and no finished key is asked for again, in
-    this run or when the job is started anew on the same path.
+    that fails. Answers are stored before they are parsed, a round in ``slices`` of
+    its keys: what a stopped job has stored of a round is read when it is started
+    anew on the same path, and only the slice it stopped in is asked again.
     """
-    log = open_log(plan.sparkSession, f"{path}/results", schema)
-    first = log.agg(F.coalesce(F.max("batch_id"), F.lit(-1)) + 1).first()[0]
+    open_log(plan.sparkSession, f"{path}/results", schema)
+    first = _next_round(plan.sparkSession, path)
     for number, prompt in enumerate(prompts, first):
         log = read_log(plan.sparkSession, f"{path}/results", schema)
-        todo = remaining_work(plan, log.where(f"batch_id < {number}"), key, unique=True)
-        answers = stage(infer(todo, fn, key, prompt, tasks), f"{path}/answers/round={number}")
-        append_batch(accept(answers), number, f"{path}/results", schema, key)
+        todo = remaining_work(plan, log, key, unique=True)
+        answers = _answers(todo, fn, key, prompt, tasks, f"{path}/answers/round={number}", slices)
+        append_batch(accept(answers), number, f"{path}/results", schema, key, run="rounds")
+        plan.sparkSession.range(number, number + 1, 1, 1).write.mode("append").parquet(f"{path}/rounds")
     return read_log(plan.sparkSession, f"{path}/results", schema)
+
+
+def _next_round(spark: SparkSession, path: str) -> int:
+    """The round to go on with: the one behind the last that was finished, with results or without."""
+    try:
+        return spark.read.parquet(f"{path}/rounds").agg(F.max("id")).first()[0] + 1
+    except AnalysisException:
+        return 0
+
+
+def _answers(
+    todo: DataFrame, fn: Callable[[pd.Series], pd.Series], key: str, prompt: str, tasks: int | None, path: str, slices: int
+) -> DataFrame:
+    """(key, raw) of a round, slice by slice; slices that were written whole are not asked for again."""
+    spark = todo.sparkSession
+    part = F.pmod(F.xxhash64(key), F.lit(slices))
+    done = None
+    for k in range(slices):
+        place = f"{path}/slice={k}"
+        try:
+            stored = spark.read.parquet(f"{place}/whole")
+        except AnalysisException:  # not asked yet, or stopped on the way
+            stored = stage(infer(todo.where(part == k), fn, key, prompt, tasks), f"{place}/whole")
+        done = stored if done is None else done.unionByName(stored)
+    return done

@@ -13,26 +13,29 @@ from corpusloom.session import stage
 from corpusloom.sources import jsonl
 
 
-def judge_requests(examples: DataFrame, system: str, template: str, judged: DataFrame | None = None) -> DataFrame:
-    """Content keys still to judge, each with its request messages."""
+def judge_requests(
+    examples: DataFrame, system: str, template: str, judged: DataFrame | None = None,
+    instruction_chars: int | None = None, output_chars: int | None = None,
+) -> DataFrame:
+    """Content keys still to judge, each with its request messages; whole texts unless a length is given."""
     work = judging.judge_work(judging.with_content_key(examples), judged)
-    prompt = judge_prompt(template, F.col("instruction"), F.col("output"))
+    prompt = judge_prompt(template, F.col("instruction"), F.col("output"), instruction_chars, output_chars)
     return work.select("content_key", envelope(system, prompt).alias("messages"))
 
 
 def judged_examples(
-    examples: DataFrame, responses: DataFrame, earlier: DataFrame | None = None, heavy: DataFrame | None = None
+    examples: DataFrame, responses: DataFrame, earlier: DataFrame | None = None, max_attempts: int | None = None
 ) -> DataFrame:
     """Every example with its enforced verdict.
 
     ``responses``: content_key, attempt, raw. ``earlier``: verdicts of former
-    runs; usable ones win over new responses. ``heavy``: see judging.attach.
+    runs; usable ones win over new responses. All attempts count unless limited.
     """
-    verdicts = judging.verdicts_from_responses(responses)
+    verdicts = judging.verdicts_from_responses(responses, max_attempts=max_attempts)
     if earlier is not None:
         kept = judging.resumable(earlier).select("content_key", *judging.VERDICT_COLUMNS)
         verdicts = kept.unionByName(remaining_work(verdicts, kept, "content_key", unique=True))
-    return judging.attach(judging.with_content_key(examples), verdicts, heavy=heavy)
+    return judging.attach(judging.with_content_key(examples), verdicts)
 
 
 @dataclass
@@ -49,14 +52,14 @@ def judge_corpus(
     out: str,
     judge: str,
     earlier: DataFrame | None = None,
-    heavy: DataFrame | None = None,
+    max_attempts: int | None = None,
 ) -> JudgedCorpus:
     """Write judged, clean, rejected, final and report data sets below ``out``.
 
     The join runs once. Its result is a table partitioned by verdict: each sink
     reads its own partition and the reports read three narrow columns.
     """
-    judged = stage(judged_examples(examples, responses, earlier, heavy), f"{out}/judged", "verdict")
+    judged = stage(judged_examples(examples, responses, earlier, max_attempts), f"{out}/judged", "verdict")
     jsonl.write_clean(judged, f"{out}/clean")
     jsonl.write_rejects(judged, f"{out}/rejected")
     jsonl.write_merged(judging.without_verdict(judging.accepted(judged)), f"{out}/final")

@@ -83,13 +83,13 @@ def write_by_origin(df: DataFrame, path: str) -> None:
     (
         df.select(*public, ORIGIN)
         .hint("rebalance", ORIGIN)
-        .write.mode("overwrite").partitionBy(ORIGIN).json(path)
+        .write.mode("overwrite").partitionBy(ORIGIN).json(path, ignoreNullFields=False)
     )
 
 
 def write_merged(df: DataFrame, path: str) -> None:
     """All rows as one JSON Lines data set: a folder, written where the rows are."""
-    public_columns(df).write.mode("overwrite").json(path)
+    public_columns(df).write.mode("overwrite").json(path, ignoreNullFields=False)
 
 
 def write_clean(judged: DataFrame, path: str) -> None:
@@ -100,7 +100,7 @@ def write_rejects(judged: DataFrame, path: str) -> None:
     """Rejected rows with their verdict nested under ``_qc``."""
     rows = nest_verdict(rejected(judged))
     public = [c for c in rows.columns if not c.startswith("_")]
-    rows.select(*public, "_qc").write.mode("overwrite").json(path)
+    rows.select(*public, "_qc").write.mode("overwrite").json(path, ignoreNullFields=False)
 
 
 def overwrite_calls(records: DataFrame, path: str, call: str = "call_id") -> None:

@@ -6,39 +6,58 @@ a failure replaces itself, and the checkpoint remembers what was read.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from corpusloom.operators.judging import resumable, verdicts_from_responses
 from corpusloom.operators.planning import remaining_work
 from corpusloom.operators.reports import pass_rate_by_category
+from corpusloom.operators.responses import batch_attempts, explode_records, first_acceptable, open_record
 
-BATCH = "batch_id"
+RUN, BATCH = "run_id", "batch_id"
 
 
 def open_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The log at ``path``, created empty when it is new."""
-    spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{path}/{BATCH}=-1")
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{path}/{RUN}=none/{BATCH}=-1")
     return read_log(spark, path, schema)
 
 
 def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])).parquet(path)
+    own = [T.StructField(RUN, T.StringType()), T.StructField(BATCH, T.LongType())]
+    return spark.read.schema(T.StructType([*schema.fields, *own])).parquet(path)
 
 
-def append_batch(new: DataFrame, batch_id: int, path: str, schema: T.StructType, key: str, done: Callable | None = None) -> None:
-    """Write one batch of a log, leaving out keys that earlier batches finished.
+def run_of(spark: SparkSession, checkpoint: str) -> str:
+    """The name of the run that a checkpoint belongs to; it is kept beside the checkpoint."""
+    place = f"{checkpoint.rstrip('/')}-run"
+    try:
+        return spark.read.schema("value string").text(place).first()["value"]
+    except AnalysisException:  # a new run
+        name = uuid.uuid4().hex
+        spark.createDataFrame([(name,)], "value string").coalesce(1).write.text(place)
+        return name
 
-    Only earlier batches are looked at, and the batch overwrites its own folder:
-    running it twice gives the same log. Of the log the key column alone is read.
+
+def append_batch(
+    new: DataFrame, batch_id: int, path: str, schema: T.StructType, key: str, done: Callable | None = None, run: str = "main"
+) -> None:
+    """Write one batch of a log, leaving out keys that other batches finished.
+
+    A batch owns the folder of its run and number and looks at all others: run
+    again it replaces itself, and no run writes over the batches of another. All
+    rows of a key go together. Of the log the key column alone is read.
     """
-    earlier = read_log(new.sparkSession, path, schema).where(f"{BATCH} < {batch_id}")
-    finished = done(earlier) if done else earlier
+    others = read_log(new.sparkSession, path, schema).where(~((F.col(RUN) == run) & (F.col(BATCH) == batch_id)))
+    finished = done(others) if done else others
     fresh = remaining_work(new, finished, key, unique=True)
-    fresh.select(*schema.names).write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+    fresh.select(*schema.names).write.mode("overwrite").parquet(f"{path}/{RUN}={run}/{BATCH}={batch_id}")
 
 
 def run_generation(
@@ -49,14 +68,17 @@ def run_generation(
     schema: T.StructType,
     key: str,
 ) -> StreamingQuery:
-    """Parse arriving responses and log one result per key; failures stay open.
+    """Parse arriving responses and log the records of each key once; failures stay open.
 
-    ``parse`` maps raw attempts to rows of ``schema``, at most one per key.
+    ``parse`` maps raw attempts to rows of ``schema``: of each key the records of
+    one answer, however many they are (:func:`first_records`).
     """
-    open_log(responses.sparkSession, path, schema)
+    spark = responses.sparkSession
+    open_log(spark, path, schema)
+    run = run_of(spark, checkpoint)
     return (
         responses.writeStream.foreachBatch(
-            lambda batch, batch_id: append_batch(parse(batch), batch_id, path, schema, key)
+            lambda batch, batch_id: append_batch(parse(batch), batch_id, path, schema, key, run=run)
         )
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -64,12 +86,24 @@ def run_generation(
     )
 
 
-def run_judging(responses: DataFrame, path: str, checkpoint: str, schema: T.StructType) -> StreamingQuery:
+def first_records(batch: DataFrame, key: str = "call_id", attempt: str = "attempt") -> DataFrame:
+    """All records of the first acceptable answer per key: (key, pos, texts, the open record as JSON)."""
+    first = first_acceptable(batch_attempts(batch), [key], F.col(attempt), "records", F.size("records") > 0)
+    rows = explode_records(first, key)
+    return rows.withColumn("record", open_record(F.col("record")))
+
+
+def run_judging(
+    responses: DataFrame, path: str, checkpoint: str, schema: T.StructType, max_attempts: int | None = None
+) -> StreamingQuery:
     """Log a verdict per content key; keys with a usable verdict are settled."""
-    open_log(responses.sparkSession, path, schema)
+    spark = responses.sparkSession
+    open_log(spark, path, schema)
+    run = run_of(spark, checkpoint)
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        append_batch(verdicts_from_responses(batch), batch_id, path, schema, "content_key", done=resumable)
+        verdicts = verdicts_from_responses(batch, max_attempts=max_attempts)
+        append_batch(verdicts, batch_id, path, schema, "content_key", done=resumable, run=run)
 
     return (
         responses.writeStream.foreachBatch(step)
@@ -79,6 +113,14 @@ def run_judging(responses: DataFrame, path: str, checkpoint: str, schema: T.Stru
     )
 
 
+def settled_verdicts(log: DataFrame, key: str = "content_key") -> DataFrame:
+    """One verdict per key of a log: a usable one before one of a failed judge call, then the latest."""
+    order = F.struct((F.col("avg_score") > 0).alias("usable"), BATCH, RUN)
+    names = [c for c in log.columns if c not in (key, RUN, BATCH)]
+    best = log.groupBy(key).agg(F.max_by(F.struct(*names), order).alias("best"))
+    return best.select(key, "best.*")
+
+
 def run_report(judged: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Pass rate by category, rewritten as rows arrive.
 

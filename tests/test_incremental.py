@@ -15,15 +15,15 @@ from corpusloom.session import work_dir
 from corpusloom.streaming import incremental as I
 
 LONG = "x" * 201
-RAW = "call_id string, raw string"
+RAW = "call_id string, raw string, attempt int"
 
 
-def answer(text):
-    return json.dumps([{"instruction": text, "output": LONG}])
+def flat(log):
+    return sorted((r["call_id"], r["pos"], r["instruction"]) for r in log.collect())
 
 
-def parse(batch):
-    return R.batch_records(batch, "call_id").dropDuplicates(["call_id"]).select(*RECORDS.names)
+def answer(text):
+    return json.dumps([{"instruction": text, "output": LONG}])
 
 
 @pytest.fixture
@@ -36,30 +36,52 @@ def inbox(spark):
     return path, deliver
 
 
+def both(text):
+    return json.dumps([{"instruction": text, "output": LONG}, {"instruction": "x", "output": "short"}, {"instruction": text + "2", "output": LONG}])
+
+
+def run(spark, path, log, checkpoint):
+    arriving = spark.readStream.schema(RAW).json(path)
+    I.run_generation(arriving, I.first_records, log, checkpoint, RECORDS, "call_id").awaitTermination()
+    return I.read_log(spark, log, RECORDS)
+
+
 def test_resume_reads_new_files_only(spark, inbox):
     path, deliver = inbox
     log, checkpoint = work_dir(spark, "log"), work_dir(spark, "checkpoint")
+    deliver(("a", both("first"), 1), ("b", "broken", 1))
+    assert flat(run(spark, path, log, checkpoint)) == [("a", 0, "first"), ("a", 2, "first2")]
+    # a failed call is tried again, a finished one is not replaced
+    deliver(("a", answer("second"), 2), ("b", answer("late"), 2))
+    want = [("a", 0, "first"), ("a", 2, "first2"), ("b", 0, "late")]
+    assert flat(run(spark, path, log, checkpoint)) == want
+    assert flat(run(spark, path, log, checkpoint)) == want
 
-    def run():
-        arriving = spark.readStream.schema(RAW).json(path)
-        I.run_generation(arriving, parse, log, checkpoint, RECORDS, "call_id").awaitTermination()
-        return {r["call_id"]: (r["instruction"], r["batch_id"]) for r in I.read_log(spark, log, RECORDS).collect()}
 
-    deliver(("a", answer("first")), ("b", "broken"))
-    assert run() == {"a": ("first", 0)}
-    # a failed call is tried again, a finished one is not replaced
-    deliver(("a", answer("second")), ("b", answer("late")))
-    assert run() == {"a": ("first", 0), "b": ("late", 1)}
-    assert run() == {"a": ("first", 0), "b": ("late", 1)}
+def test_a_new_checkpoint_keeps_the_old_log(spark, inbox):
+    path, deliver = inbox
+    log = work_dir(spark, "log")
+    deliver(("a", both("first"), 1), ("b", answer("b"), 1))
+    first = flat(run(spark, path, log, work_dir(spark, "checkpoint")))
+    deliver(("a", answer("again"), 1), ("c", answer("c"), 1))
+    assert flat(run(spark, path, log, work_dir(spark, "checkpoint"))) == sorted([*first, ("c", 0, "c")])
+
+
+def test_two_answers_in_one_batch(spark, inbox):
+    path, deliver = inbox
+    deliver(("a", answer("second"), 2), ("a", both("first"), 1), ("b", "broken", 1), ("b", answer("later"), 2))
+    got = flat(run(spark, path, work_dir(spark, "log"), work_dir(spark, "checkpoint")))
+    assert got == [("a", 0, "first"), ("a", 2, "first2"), ("b", 0, "later")]
 
 
 def test_replayed_batch_changes_nothing(spark):
     log = work_dir(spark, "log")
     I.open_log(spark, log, RECORDS)
-    rows = frame(spark, "call_id string, instruction string, output string", ("a", "i", "o"), ("b", "i", "o"))
-    for batch_id in (0, 0, 1, 1, 0):
-        I.append_batch(rows, batch_id, log, RECORDS, "call_id")
-    assert sorted((r["call_id"], r["batch_id"]) for r in I.read_log(spark, log, RECORDS).collect()) == [("a", 0), ("b", 0)]
+    rows = frame(spark, RECORDS, ("a", 0, "i", "", "o", "{}"), ("a", 1, "i", "", "o", "{}"), ("b", 0, "i", "", "o", "{}"))
+    for run_id, batch_id in (("r", 0), ("r", 0), ("r", 1), ("s", 0), ("s", 0), ("r", 0)):
+        I.append_batch(rows, batch_id, log, RECORDS, "call_id", run=run_id)
+    got = I.read_log(spark, log, RECORDS).collect()
+    assert sorted((r["call_id"], r["pos"], r["run_id"], r["batch_id"]) for r in got) == [("a", 0, "r", 0), ("a", 1, "r", 0), ("b", 0, "r", 0)]
 
 
 def test_judge_errors_stay_open(spark):
@@ -71,7 +93,8 @@ def test_judge_errors_stay_open(spark):
     good = failed.withColumn("avg_score", F.lit(4.0))
     for batch_id in (1, 2):
         I.append_batch(good, batch_id, log, VERDICTS, "content_key", done=judging.resumable)
-    assert sorted(r["batch_id"] for r in I.read_log(spark, log, VERDICTS).collect()) == [0, 1]
+    rows = I.settled_verdicts(I.read_log(spark, log, VERDICTS)).collect()
+    assert [(r["content_key"], r["avg_score"]) for r in rows] == [("k", 4.0)]
 
 
 def test_running_report_covers_all_batches(spark):
@@ -95,13 +118,35 @@ def test_rounds_ask_only_for_open_keys(spark):
     plan = frame(spark, "k int, p string, q string", (1, "good", "again"), (2, "late", "second"), (3, "fail", "fail")).coalesce(1)
     schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("raw", T.StringType())])
     path = work_dir(spark, "rounds")
-    log = call_rounds(plan, model, lambda a: a.where("raw like '% x%'"), path, schema, "k", ("p", "q", "q"))
+    log = call_rounds(plan, model, lambda a: a.where("raw like '% x%'"), path, schema, "k", ("p", "q", "q"), slices=1)
     # the second round asks for two keys, the third for one more and gets nothing
     assert sorted((r["k"], r["batch_id"], r["raw"][-2:]) for r in log.collect()) == [(1, 0, "x3"), (2, 1, "x2")]
     # a later run goes on where this one ended
     plan = plan.withColumn("q", F.lit("third"))
-    log = call_rounds(plan, model, lambda a: a.where("raw like '% x%'"), path, schema, "k", ("q",))
-    assert sorted((r["k"], r["batch_id"], r["raw"]) for r in log.where("k = 3").collect()) == [(3, 2, "third x1")]
+    log = call_rounds(plan, model, lambda a: a.where("raw like '% x%'"), path, schema, "k", ("q",), slices=1)
+    assert sorted((r["k"], r["batch_id"], r["raw"]) for r in log.where("k = 3").collect()) == [(3, 3, "third x1")]
+
+
+def test_a_stopped_round_asks_no_stored_key_again(spark):
+    plan = spark.range(40).select(F.col("id").alias("k"), F.concat(F.lit("p"), "id").alias("p"))
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("raw", T.StringType())])
+    path, asked = work_dir(spark, "rounds"), work_dir(spark, "asked")
+
+    def model(name, stop=None):
+        def call(prompts):
+            if stop and stop in set(prompts):
+                raise RuntimeError("stopped")
+            return prompts.map(lambda p: f"{name} {p}")
+
+        return call
+
+    with pytest.raises(Exception, match="stopped"):
+        call_rounds(plan, model("one", "p7"), lambda a: a, path, schema, "k", ("p",), slices=8)
+    log = call_rounds(plan, model("two"), lambda a: a, path, schema, "k", ("p",), slices=8).collect()
+    by = {r["k"]: r["raw"].split()[0] for r in log}
+    assert len(log) == 40 and by[7] == "two"
+    where = {r["k"]: r["s"] for r in plan.select("k", F.pmod(F.xxhash64("k"), F.lit(8)).alias("s")).collect()}
+    assert all((by[k] == "one") == (where[k] < where[7]) for k in by)
 
 
 def test_infer(spark):

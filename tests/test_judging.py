@@ -46,7 +46,7 @@ def responses(spark):
 
 def test_flow(spark, examples, responses):
     out = work_dir(spark, "flow")
-    done = judging_flow.judge_corpus(examples, responses, out, "someone")
+    done = judging_flow.judge_corpus(examples, responses, out, "someone", max_attempts=4)
     got = sorted((r["instruction"], r["category"] or "", r["avg_score"], r["verdict"], r["reason"]) for r in done.judged.collect())
     assert got == [
         ("i1", "A", 4.0, "accept", "r"), ("i1", "B", 4.0, "accept", "r"), ("i2", "A", 4.0, "reject", "r"),
@@ -66,12 +66,12 @@ def test_flow(spark, examples, responses):
 
 
 def test_earlier_verdicts_win_and_errors_are_judged_again(spark, examples, responses):
-    first = judging_flow.judged_examples(examples, responses)
+    first = judging_flow.judged_examples(examples, responses, max_attempts=4)
     earlier = first.select("content_key", *G.VERDICT_COLUMNS).distinct()
     left = G.judge_work(G.with_content_key(examples), earlier)
     assert [(r["instruction"], r["copies"]) for r in left.collect()] == [("i3", 1)]
     better = responses.withColumn("raw", F.lit(raw(3, 3, 4, 4))).withColumn("attempt", F.lit(1))
-    again = {r["instruction"]: r["avg_score"] for r in judging_flow.judged_examples(examples, better, earlier).collect()}
+    again = {r["instruction"]: r["avg_score"] for r in judging_flow.judged_examples(examples, better, earlier, 4).collect()}
     assert again == {"i1": 4.0, "i2": 4.0, "i3": 3.5, "i4": 5.0}
 
 
@@ -81,7 +81,7 @@ def test_requests(spark, examples):
 
 
 def test_split_is_a_partition(spark, examples, responses):
-    judged = judging_flow.judged_examples(examples, responses)
+    judged = judging_flow.judged_examples(examples, responses, max_attempts=4)
     assert G.accepted(judged).count() + G.rejected(judged).count() == judged.count() == 5
 
 

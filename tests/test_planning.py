@@ -44,13 +44,26 @@ def test_grid_size_of_a_full_corpus(spark):
 
 def test_no_cross_join(spark):
     plan = P.prompt_grid(templates(spark), domains(spark), "pos")._jdf.queryExecution().toString()
-    assert "Join" not in plan and "Cartesian" not in plan
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
-def test_oversized_dimension_is_an_error(spark, monkeypatch):
-    monkeypatch.setattr(P, "MAX_DIMENSION_ROWS", 1)
-    with pytest.raises(Exception, match="more than 1 rows"):
-        P.prompt_grid(templates(spark), domains(spark), "pos").collect()
+def test_many_domains_and_a_cap_ahead_of_the_grid(spark):
+    many = spark.range(10_001).select(
+        F.col("id").alias("pos"), *[F.concat(F.lit(f"{c}-"), F.lpad("id", 5, "0")).alias(c) for c in ("name", "objects", "context", "examples")]
+    )
+    grid = P.prompt_grid(templates(spark), many, "pos")
+    kinds = templates(spark).agg(F.sum(F.size("variations")), F.sum(F.size("generic_prompts"))).first()
+    assert grid.count() == 10_001 * kinds[0] + kinds[1]
+    capped = P.prompt_grid(templates(spark), many, "pos", 5_000)
+    want = grid.where("ordinal < 5000")
+    assert capped.exceptAll(want).count() == 0 and want.exceptAll(capped).count() == 0
+    assert P.cap_per_category(grid, 5_000).count() == capped.count()
+
+
+def test_numbered(spark):
+    df = spark.range(1000).select((F.col("id") * 7919 % 1009).alias("k"))
+    rows = P.numbered(df, "k").orderBy("k").collect()
+    assert [r["position"] for r in rows] == list(range(1000))
 
 
 @pytest.mark.parametrize("threshold", ["1000", "3"])
@@ -111,7 +124,7 @@ def test_fallback(spark):
 
 
 def test_judge_prompt_cuts_by_characters(spark):
-    got = evaluate(spark, ["😀" * 4000, None], lambda c: P.judge_prompt("{instruction}|{output}", c, c))
+    got = evaluate(spark, ["😀" * 4000, None], lambda c: P.judge_prompt("{instruction}|{output}", c, c, 800, 3000))
     assert got == ["😀" * 800 + "|" + "😀" * 3000, "|"]
 
 

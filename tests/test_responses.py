@@ -122,7 +122,7 @@ def test_object_family(spark):
     ]
     tries = spark.createDataFrame(rows, "call_id string, attempt int, raw string")
     got = {(r["call_id"], r["pos"]): (r["instruction"], r["input"], r["output"], r["category"], r["type"])
-           for r in generation_flow.object_results(tries).collect()}
+           for r in generation_flow.object_results(tries, max_attempts=4).collect()}
     assert got == {
         ("ap-domain-1", 0): ("i", "", "o", "ap", "domain"),
         ("ap-2", 0): ("i", "", "o", "ap", "generic"),
