@@ -10,7 +10,7 @@ from corpusloom import fixtures as fx
 from corpusloom.catalog.sql import EXAMPLES, JUDGED
 from corpusloom.operators import judging, reports
 from corpusloom.operators.responses import OBJECT_ATTEMPTS
-from corpusloom.session import work_dir
+from corpusloom.session import stage, work_dir
 from corpusloom.sources import jsonl
 
 SCHEMA = jsonl.GENERATED
@@ -52,7 +52,7 @@ def scan_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
 def report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report as written, read back as numbers."""
     path = work_dir(spark, "report")
-    rows = _judged(spark, sf_dir)
+    rows = stage(_judged(spark, sf_dir).select("category", "verdict", "avg_score"), work_dir(spark, "judged"))
     reports.report_json(reports.qc_summary(rows), reports.pass_rate_by_category(rows), "judge").write.text(path)
     schema = "judge string, total long, accepted long, rejected long, category string, accept long, reject long, pass_rate double"
     return spark.read.schema(schema).json(path)
@@ -112,15 +112,13 @@ def rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 def overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Written once, rewritten for half of the calls, the second write run twice."""
     path = work_dir(spark, "calls")
-    rows = fx.examples(spark, sf_dir).select("doc_id", F.col("category").alias("call_id"), F.lit(1).alias("version"))
+    rows = fx.examples(spark, sf_dir).select("doc_id", F.concat(F.lit("MIG-"), "doc_id").alias("call_id"), F.lit(1).alias("version"))
     jsonl.overwrite_calls(rows, path)
-    again = rows.where(F.ascii(F.right("call_id", F.lit(1))) % 2 == 0).withColumn("version", F.lit(2))
+    again = rows.where("doc_id % 2 = 0").withColumn("version", F.lit(2))
     jsonl.overwrite_calls(again, path)
     jsonl.overwrite_calls(again, path)
     stored = spark.read.schema("doc_id long, version int, call_id string").parquet(path)
-    return stored.groupBy("call_id", F.col("version").cast("long").alias("version")).agg(
-        F.count(F.lit(1)).alias("n"), F.countDistinct("doc_id").alias("distinct_docs")
-    )
+    return stored.groupBy("call_id").agg(F.count(F.lit(1)).alias("n"), F.max("version").cast("long").alias("version"))
 
 
 def public(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,9 +153,8 @@ ORACLES = {
         SELECT doc_id, category, completeness, alignment, best_practices, code_quality, avg_score, verdict, reason
         FROM judged WHERE verdict = 'reject'""",
     "s7_overwrite": """
-        SELECT source AS call_id, CASE WHEN ascii(right(source, 1)) % 2 = 0 THEN 2 ELSE 1 END::BIGINT AS version,
-               count(*) AS n, count(DISTINCT doc_id) AS distinct_docs
-        FROM documents GROUP BY 1, 2""",
+        SELECT 'MIG-' || doc_id AS call_id, 1::BIGINT AS n, CASE WHEN doc_id % 2 = 0 THEN 2 ELSE 1 END::BIGINT AS version
+        FROM documents""",
     "s8_report": f"""WITH {JUDGED}
         SELECT 'judge' AS judge, count(*) AS total, count(*) FILTER (verdict = 'accept') AS accepted,
                count(*) FILTER (verdict = 'reject') AS rejected, NULL AS category, NULL::BIGINT AS accept, NULL::BIGINT AS reject,

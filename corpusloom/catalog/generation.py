@@ -37,7 +37,7 @@ def strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     lost = (F.col("attempt") == 1) & (F.col("page_id") % 2 == 1)
     raw = F.when(lost, F.replace("raw", F.lit("=== CSS ==="), F.lit(""))).otherwise(F.col("raw"))
     responses = tries.select(F.concat(F.lit("prompt "), "page_id").alias("prompt"), "attempt", raw.alias("raw"))
-    return generation_flow.strict_results(responses, max_attempts=R.SECTION_ATTEMPTS).drop("output")
+    return generation_flow.strict_results(responses, max_attempts=R.SECTION_ATTEMPTS)
 
 
 def batched(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,10 +51,10 @@ def batched(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A full prompt, then the fallback; prompts of odd length fail in full."""
     def model(prompts: pd.Series) -> pd.Series:
-        answers = prompts.map(lambda p: json.dumps([{"instruction": p, "output": p * 10}]))
+        answers = prompts.map(lambda p: json.dumps([{"instruction": p, "output": p * 4}]))
         return answers.where((prompts.str.len() % 2 == 0) | prompts.str.startswith("Generate 5"), "sorry")
 
-    prompt = F.concat(F.lit("Generate 10 training examples. Cover these 10 topics: "), fx.first_line(F.col("text")))
+    prompt = F.concat(F.lit("Generate 10 training examples. Cover these 10 topics: "), "text")
     plan = planning.with_fallback(fx.table(spark, sf_dir, "documents").select("doc_id", prompt.alias("prompt")))
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("instruction", T.StringType()), T.StructField("output", T.StringType())])
     log = call_rounds(
@@ -68,11 +68,11 @@ QUERIES = {"e1_sectioned": sectioned, "e1_strict": strict, "e3_batched": batched
 
 ORACLES = {
     "u1_rounds": """
-        WITH p AS (SELECT doc_id, split_part(text, chr(10), 1) AS topic, 54 + length(split_part(text, chr(10), 1)) AS n FROM documents)
+        WITH p AS (SELECT doc_id, text AS topic, 54 + length(text) AS n FROM documents)
         SELECT doc_id, (n % 2)::BIGINT AS round,
                CASE WHEN n % 2 = 0 THEN 'Generate 10 training examples. Cover these 10 topics: '
                     ELSE 'Generate 5 training examples. Cover 5 of these topics: ' END || topic AS instruction,
-               10 * (n + CASE WHEN n % 2 = 0 THEN 0 ELSE 1 END) AS n
+               4 * (n + CASE WHEN n % 2 = 0 THEN 0 ELSE 1 END) AS n
         FROM p""",
     "e1_sectioned": f"""WITH {SECTIONS}
         SELECT 'prompt ' || page_id AS plan_key, instruction AS prompt, output AS completion, '' AS input,
@@ -80,9 +80,9 @@ ORACLES = {
                'Web' AS domain
         FROM built WHERE page_id % 4 <> 3 AND length(output) > 200""",
     "e1_strict": f"""WITH {SECTIONS}
-        SELECT 'prompt ' || page_id AS plan_key, instruction, '' AS input, 'synthetic_graphql' AS source, 'lwc' AS type,
+        SELECT 'prompt ' || page_id AS plan_key, instruction, strict_output AS output, '' AS input, 'synthetic_graphql' AS source, 'lwc' AS type,
                'GraphQL Wire Adapter' AS category
-        FROM built WHERE page_id % 3 <> 2 AND length(html) > 300""",
+        FROM built WHERE page_id % 3 <> 2 AND length(strict_output) > 200""",
     "e3_batched": """
         SELECT 'MIG-' || doc_id AS call_id, 0::BIGINT AS pos, split_part(text, chr(10), 1) AS instruction, '' AS input,
                text AS output, 'MIG-' || doc_id AS category, 'migration' AS type

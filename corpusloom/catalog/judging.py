@@ -48,9 +48,8 @@ def resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = judged(spark, sf_dir)
-    yes = judging.accepted(rows).select("doc_id", F.lit("clean").alias("part"))
-    return yes.unionByName(judging.rejected(rows).select("doc_id", F.lit("rejected").alias("part")))
+    part = F.when(F.col("verdict") == judging.ACCEPT, "clean").otherwise("rejected")
+    return judged(spark, sf_dir).select("doc_id", part.alias("part"))
 
 
 def summary(spark: SparkSession, sf_dir: str) -> DataFrame:

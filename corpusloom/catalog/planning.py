@@ -97,7 +97,7 @@ QUERIES = {
     "u1_infer": model_call,
 }
 
-_PLAN = "plan AS (SELECT doc_id, doc_id AS ordinal, source AS category, lang AS domain, split_part(text, chr(10), 1) AS prompt FROM documents)"
+_PLAN = "plan AS (SELECT doc_id, doc_id AS ordinal, source AS category, lang AS domain, text AS prompt FROM documents)"
 _REMINDER = """chr(10) || chr(10) || 'Respond using EXACTLY this format — no prose before or after:' || chr(10)
                  || '=== INSTRUCTION ===' || chr(10) || '<one sentence>' || chr(10) || '=== HTML ===' || chr(10) || '<html>' || chr(10)
                  || '=== JS ===' || chr(10) || '<js>' || chr(10) || '=== CSS ===' || chr(10) || '<css or NONE>'"""
@@ -134,6 +134,6 @@ ORACLES = {
         SELECT count(*) AS total, count(*) - count(l.doc_id) AS to_do, count(l.doc_id) AS done
         FROM documents LEFT JOIN labels l USING (doc_id)""",
     "u1_infer": """
-        SELECT doc_id, 'echo ' || split_part(text, chr(10), 1) AS raw FROM documents
+        SELECT doc_id, 'echo ' || text AS raw FROM documents
         WHERE doc_id NOT IN (SELECT doc_id FROM labels)""",
 }

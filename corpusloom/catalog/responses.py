@@ -23,9 +23,10 @@ def json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def record_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Outputs cut around the limit; input missing, null or given; an extra key."""
+    """Whole outputs and such cut around the limit; input missing, null or given; an extra key."""
     d = F.col("doc_id")
-    output = F.left("text", (190 + d % 20).cast("int"))
+    docs = fx.texts(spark, sf_dir).select("doc_id", "lang", F.explode(F.array("text", F.left("text", (190 + d % 20).cast("int")))).alias("text"))
+    output = F.col("text")
     extra = F.struct(F.lit("i").alias("instruction"), output.alias("output"), F.lit("kept").alias("extra"))
     given = F.struct(F.lit("i").alias("instruction"), F.col("lang").alias("input"), output.alias("output"))
     raw = (
@@ -33,7 +34,7 @@ def record_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(d % 3 == 1, F.replace(F.to_json(F.array(given)), F.concat(F.lit('"input":"'), "lang", F.lit('"')), F.lit('"input":null')))
         .otherwise(F.to_json(F.array(given)))
     )
-    parsed = R.batch_attempts(fx.texts(spark, sf_dir).select("doc_id", raw.alias("raw")))
+    parsed = R.batch_attempts(docs.select("doc_id", raw.alias("raw")))
     rows = R.explode_records(parsed, "doc_id")
     tagged = R.open_record(F.col("record"), category=F.lit("C-1"))
     return rows.select(
@@ -76,7 +77,7 @@ def escapes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sections_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = S.section_records(fx.section_responses(spark, sf_dir), "page_id", mode="strict")
-    return rows.select("page_id", "instruction", "name")
+    return rows.select("page_id", "instruction", "name", "output")
 
 
 def sections(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,8 +94,9 @@ def assembled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages cut to lengths around the limit."""
-    cut = fx.texts(spark, sf_dir, "pages").withColumn("html", F.left("html", (F.col("page_id") * 37 % 200).cast("int") + 1))
+    """Whole pages and such cut to lengths around the limit."""
+    short = F.left("html", (F.col("page_id") * 37 % 200).cast("int") + 1)
+    cut = fx.texts(spark, sf_dir, "pages").withColumn("html", F.explode(F.array("html", short)))
     rows = S.section_records(fx.as_section_responses(cut), "page_id")
     return rows.where(S.long_enough(F.col("output"))).select("page_id", F.length("output").cast("long").alias("n"))
 
@@ -158,18 +160,18 @@ ORACLES = {
                  '\\([^"\\/bfnrtu0-9]|\z)', '\\\\\1', 'g') AS repaired
         FROM documents""",
     "x5_record_gate": """
-        SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN '' WHEN 2 THEN lang END AS input, left(text, 190 + doc_id % 20) AS output,
+        SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN '' WHEN 2 THEN lang END AS input, text AS output,
                CASE WHEN doc_id % 3 = 0 THEN 'kept' END AS extra, 'C-1' AS category
-        FROM documents WHERE length(left(text, 190 + doc_id % 20)) > 200""",
+        FROM (SELECT doc_id, lang, unnest([text, left(text, 190 + doc_id % 20)]) AS text FROM documents) WHERE length(text) > 200""",
     "x8_fences": """
         SELECT doc_id, CASE WHEN doc_id % 6 = 5 THEN text ELSE text || chr(10) || 'x' END AS body FROM documents""",
-    "x6_sections_strict": f"WITH {SECTIONS} SELECT page_id, instruction, strict_name AS name FROM sec WHERE page_id % 3 <> 2",
+    "x6_sections_strict": f"WITH {SECTIONS} SELECT page_id, instruction, strict_name AS name, strict_output AS output FROM built WHERE page_id % 3 <> 2",
     "x7_sections": f"WITH {SECTIONS} SELECT page_id, instruction, html, js, css FROM sec",
     "x9_names": f"WITH {SECTIONS} SELECT page_id, name, file FROM built",
     "x10_assemble": f"WITH {SECTIONS} SELECT page_id, output FROM built",
     "x11_gate": f"""WITH {SECTIONS}
         SELECT page_id, length(output) - length(html) + length(cut) AS n
-        FROM (SELECT *, rtrim(left(html, page_id * 37 % 200 + 1)) AS cut FROM built)
+        FROM (SELECT *, rtrim(unnest([html, left(html, page_id * 37 % 200 + 1)])) AS cut FROM built)
         WHERE length(output) - length(html) + length(cut) > 200""",
     "x12_first_ok": """
         SELECT 'MIG-' || doc_id AS call_id, ((doc_id % 7) // 3) * 10 + (doc_id % 7) % 3 + 1 AS position, 1::BIGINT AS n

@@ -63,5 +63,10 @@ built AS (
     '<!-- ' || lower(name[1]) || name[2:] || '.html -->' || chr(10) || html || chr(10) || chr(10)
     || '// ' || lower(name[1]) || name[2:] || '.js' || chr(10) || js
     || CASE WHEN css <> '' THEN chr(10) || chr(10) || '/* ' || lower(name[1]) || name[2:] || '.css */' || chr(10) || css
-       ELSE '' END AS output
+       ELSE '' END AS output,
+    '<!-- ' || lower(strict_name[1]) || strict_name[2:] || '.html -->' || chr(10) || html || chr(10) || chr(10)
+    || '// ' || lower(strict_name[1]) || strict_name[2:] || '.js' || chr(10) || js
+    || CASE WHEN css <> '' THEN chr(10) || chr(10) || '/* ' || lower(strict_name[1]) || strict_name[2:] || '.css */' || chr(10)
+              || '```css' || chr(10) || css || chr(10) || '```'
+       ELSE '' END AS strict_output
   FROM sec)"""

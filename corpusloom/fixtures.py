@@ -193,13 +193,13 @@ def plan_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A plan row per document: its prompt is the first line."""
+    """A plan row per document: its prompt is the whole text."""
     return table(spark, sf_dir, "documents").select(
         "doc_id",
         F.col("doc_id").alias("ordinal"),
         F.col("source").alias("category"),
         F.col("lang").alias("domain"),
-        first_line(F.col("text")).alias("prompt"),
+        F.col("text").alias("prompt"),
     )
 
 
