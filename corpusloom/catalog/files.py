@@ -10,6 +10,7 @@ from corpusloom import fixtures as fx
 from corpusloom.catalog.sql import EXAMPLES, JUDGED
 from corpusloom.operators import judging, reports
 from corpusloom.operators.responses import OBJECT_ATTEMPTS
+from corpusloom.plans import judging_flow
 from corpusloom.session import stage, work_dir
 from corpusloom.sources import jsonl
 
@@ -33,6 +34,41 @@ def scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("instruction", "input", "output", "category", "type", F.col(jsonl.ORIGIN).alias("source_file"))
 
 
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as JSON lines with an extra key and one that is null, by origin."""
+    record = F.struct("instruction", "input", "output", "category", F.col("doc_id").alias("extra"), F.lit(None).cast("string").alias("none"))
+    lines = F.to_json(record, {"ignoreNullFields": "false"})
+    return fx.examples(spark, sf_dir).select(lines.alias("record"), jsonl.ORIGIN)
+
+
+def scan_open(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_dir(spark, "open")
+    jsonl.write_records(_lines(spark, sf_dir), path, jsonl.ORIGIN)
+    rows = jsonl.scan_records(spark, path, glob="*.txt")
+    return rows.select(
+        F.get_json_object("record", "$.extra").cast("long").alias("doc_id"), "instruction", "output", "category",
+        F.contains("record", F.lit('"none":null')).alias("keeps_null"), F.col(jsonl.ORIGIN).alias("source_file"),
+    )
+
+
+def corpus_open(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scan, judge and write records of open shape; all three sinks read back."""
+    path, out = work_dir(spark, "open"), work_dir(spark, "open-corpus")
+    jsonl.write_records(_lines(spark, sf_dir), path, jsonl.ORIGIN)
+    records = jsonl.scan_records(spark, path, glob="*.txt")
+    judging_flow.judge_records(records, fx.judge_responses(spark, sf_dir), out, "judge", max_attempts=OBJECT_ATTEMPTS)
+    parts = [
+        spark.read.text(f"{out}/{name}").select(F.lit(name).alias("part"), F.col("value").alias("record"))
+        for name in ("clean", "final", "rejected")
+    ]
+    rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return rows.select(
+        "part", F.get_json_object("record", "$.extra").cast("long").alias("doc_id"), F.get_json_object("record", "$.output").alias("output"),
+        F.contains("record", F.lit('"none":null')).alias("keeps_null"),
+        F.get_json_object("record", "$._qc.avg_score").cast("double").alias("avg_score"), F.get_json_object("record", "$._qc.reason").alias("reason"),
+    )
+
+
 def load_one(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A glob over the folders of a few origins; the others are never listed."""
     path = work_dir(spark, "load")
@@ -136,9 +172,18 @@ QUERIES = {
     "s8_report": report,
     "s9_public": public,
     "s10_load": load_one,
+    "s1_open": scan_open,
+    "e2_open": corpus_open,
 }
 
 ORACLES = {
+    "s1_open": f"""WITH {EXAMPLES}
+        SELECT doc_id, instruction, output, category, true AS keeps_null, source_file FROM ex""",
+    "e2_open": f"""WITH {JUDGED}
+        SELECT unnest(CASE verdict WHEN 'accept' THEN ['clean', 'final'] ELSE ['rejected'] END) AS part, doc_id, output, true AS keeps_null,
+               CASE verdict WHEN 'accept' THEN NULL ELSE avg_score END AS avg_score,
+               CASE verdict WHEN 'accept' THEN NULL ELSE reason END AS reason
+        FROM judged""",
     "s1_scan": f"WITH {EXAMPLES} SELECT instruction, input, output, category, type, source_file FROM ex",
     "s2_scan_tolerant": """
         SELECT 'p' || doc_id AS prompt, doc_id % 6 = 5 AS has_example,

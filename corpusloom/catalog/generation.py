@@ -16,6 +16,7 @@ from corpusloom.operators import responses as R
 from corpusloom.plans import generation_flow
 from corpusloom.plans.calling import call_rounds
 from corpusloom.session import work_dir
+from corpusloom.sources import jsonl
 
 
 def sectioned(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,6 +49,25 @@ def batched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return generation_flow.batch_results(todo, "migration", max_attempts=R.BATCH_ATTEMPTS).drop("record")
 
 
+def batched_open(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch records with an extra and a null key, tagged by call, to their sink and back."""
+    docs = fx.table(spark, sf_dir, "documents")
+    record = F.struct(
+        fx.first_line(F.col("text")).alias("instruction"), F.col("text").alias("output"), F.col("lang").alias("extra"),
+        F.lit(None).cast("string").alias("none"), F.lit("theirs").alias("category"),
+    )
+    raw = F.to_json(F.array(record), {"ignoreNullFields": "false"})
+    calls = docs.select(F.concat(F.lit("MIG-"), "doc_id").alias("call_id"), F.lit(0).alias("stage"), F.lit(1).alias("attempt"), raw.alias("raw"))
+    found = generation_flow.batch_results(calls, "migration")
+    path = work_dir(spark, "batch-records")
+    jsonl.write_records(found.select(R.open_record(F.col("record"), category=F.col("category"), type=F.col("type")).alias("record")), path)
+    line = F.col("value")
+    return spark.read.text(path).select(
+        *[F.get_json_object(line, f"$.{k}").alias(k) for k in ("instruction", "output", "category", "type", "extra")],
+        F.contains(line, F.lit('"none":null')).alias("keeps_null"),
+    )
+
+
 def rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A full prompt, then the fallback; prompts of odd length fail in full."""
     def model(prompts: pd.Series) -> pd.Series:
@@ -64,9 +84,13 @@ def rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.select("doc_id", F.col("batch_id").alias("round"), "instruction", F.length("output").cast("long").alias("n"))
 
 
-QUERIES = {"e1_sectioned": sectioned, "e1_strict": strict, "e3_batched": batched, "u1_rounds": rounds}
+QUERIES = {"e1_sectioned": sectioned, "e1_strict": strict, "e3_batched": batched, "e3_open": batched_open, "u1_rounds": rounds}
 
 ORACLES = {
+    "e3_open": """
+        SELECT split_part(text, chr(10), 1) AS instruction, text AS output, 'MIG-' || doc_id AS category, 'migration' AS type,
+               lang AS extra, true AS keeps_null
+        FROM documents WHERE n_chars > 200""",
     "u1_rounds": """
         WITH p AS (SELECT doc_id, text AS topic, 54 + length(text) AS n FROM documents)
         SELECT doc_id, (n % 2)::BIGINT AS round,

@@ -66,3 +66,30 @@ def judge_corpus(
     summary, by_category = reports.qc_summary(judged), reports.pass_rate_by_category(judged)
     reports.report_json(summary, by_category, judge).write.mode("overwrite").text(f"{out}/report")
     return JudgedCorpus(judged, summary, by_category, reports.worst_categories(by_category))
+
+
+def judge_records(
+    records: DataFrame,
+    responses: DataFrame,
+    out: str,
+    judge: str,
+    earlier: DataFrame | None = None,
+    max_attempts: int | None = None,
+) -> JudgedCorpus:
+    """As :func:`judge_corpus` for records of open shape (jsonl.scan_records): all keys reach every sink.
+
+    Rejected records carry their verdict under ``_qc``.
+    """
+    rows = judged_examples(records, responses, earlier, max_attempts).drop("instruction", "input", "output", "content_key")
+    judged = stage(rows, f"{out}/judged", "verdict")
+    jsonl.write_records(judging.accepted(judged), f"{out}/clean", jsonl.ORIGIN)
+    jsonl.write_records(judging.accepted(judged), f"{out}/final")
+    members = F.try_variant_get(F.parse_json("record"), "$", "map<string,variant>")
+    with_verdict = F.map_concat(
+        F.map_filter(members, lambda k, _: k != "_qc"),
+        F.create_map(F.lit("_qc"), F.to_variant_object(F.struct(*judging.VERDICT_COLUMNS))),
+    )
+    jsonl.write_records(judging.rejected(judged).withColumn("record", F.to_json(with_verdict)), f"{out}/rejected")
+    summary, by_category = reports.qc_summary(judged), reports.pass_rate_by_category(judged)
+    reports.report_json(summary, by_category, judge).write.mode("overwrite").text(f"{out}/report")
+    return JudgedCorpus(judged, summary, by_category, reports.worst_categories(by_category))

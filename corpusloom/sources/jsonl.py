@@ -71,6 +71,31 @@ def tolerant_log(lines: DataFrame, line: str = "value") -> DataFrame:
     return parsed.select(F.inline(F.when(F.map_contains_key("_members", "prompt"), F.array(row))))
 
 
+def scan_records(spark: SparkSession, path: str, glob: str = "*.jsonl") -> DataFrame:
+    """Records of any shape: what the jobs look at as columns, and the whole ``record`` as its JSON.
+
+    No key of a record is lost, null or not. A missing text is an empty one.
+    """
+    lines = spark.read.option("pathGlobFilter", glob).text(path)
+    if ORIGIN not in lines.columns:
+        lines = lines.withColumn(ORIGIN, F.col("_metadata.file_name"))
+    parsed = J.with_json(lines.where(~is_blank(F.col("value"))), "value", "_json").withColumn("_members", J.as_object(F.col("_json")))
+    malformed = F.raise_error(F.concat(F.lit("malformed line in "), F.col(ORIGIN))).cast("string")
+    texts = {k: F.coalesce(J.as_text(F.try_element_at("_members", F.lit(k))), F.lit("")) for k in ("instruction", "input", "output")}
+    return parsed.select(
+        *[v.alias(k) for k, v in texts.items()], J.as_text(F.try_element_at("_members", F.lit("category"))).alias("category"),
+        F.when(F.col("_members").isNull(), malformed).otherwise(F.to_json("_json")).alias("record"), ORIGIN,
+    )
+
+
+def write_records(df: DataFrame, path: str, *partition_by: str) -> None:
+    """The ``record`` column as JSON Lines, every key as it is; in folders by origin if asked for."""
+    rows = df.select("record", *partition_by)
+    if partition_by:
+        rows = rows.hint("rebalance", *partition_by)
+    rows.write.mode("overwrite").partitionBy(*partition_by).text(path)
+
+
 def public_columns(df: DataFrame) -> DataFrame:
     """Without the private columns, those named ``_...``."""
     return df.select(*[c for c in df.columns if not c.startswith("_")])
