@@ -22,7 +22,7 @@ without an id has a null component; rows of one id are one node.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +40,8 @@ LONG_LIST, MAX_LONG = 64, 1 << 16
 MAX_SENT_IDS = 1_000_000
 
 _SETS = "doc_id long, n int, hash1 long, hash2 long, low array<long>"
-_LISTED = "doc_id long, n int, parts long, listed array<long>"
+_BITS = ("bits0", "bits1", "bits2", "bits3")
+_LISTED = f"doc_id long, n int, {' long, '.join(_BITS)} long, listed array<long>"
 
 
 def shingle_sets(column: pa.Array, k: int) -> list[np.ndarray]:
@@ -71,7 +72,7 @@ def _signatures(docs: DataFrame, k: int, percent: int) -> DataFrame:
     def work(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         sets = shingle_sets(part.column("text"), k)
         sums = [(int(s.sum(dtype=np.uint64)), int(texts.mix(s ^ np.uint64(k)).sum(dtype=np.uint64))) for s in sets]
-        low = [s[: 2 * listed_size(len(s), percent)].view(np.int64) if len(s) else s.view(np.int64) for s in sets]
+        low = [s[: 3 * listed_size(len(s), percent) // 2].view(np.int64) if len(s) else s.view(np.int64) for s in sets]
         one, two = (np.array([x[j] for x in sums], np.uint64).view(np.int64) for j in (0, 1))
         yield texts.record(schema, part.column("doc_id"), [len(s) for s in sets], one, two, pa.array(low, pa.list_(pa.int64())))
 
@@ -88,8 +89,8 @@ def _long(signatures: DataFrame) -> np.ndarray:
 
 
 def _lists(docs: DataFrame, long: np.ndarray, k: int, percent: int) -> DataFrame:
-    """(doc_id, n, parts, listed): a set's first shingles, those of long lists last; parts counts its shingles by their top bits."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("parts", pa.int64()), ("listed", pa.list_(pa.int64()))])
+    """(doc_id, n, bits, listed): a set's first shingles, those of long lists last; each shingle turns one of 256 bits over."""
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), *((b, pa.int64()) for b in _BITS), ("listed", pa.list_(pa.int64()))])
 
     def is_long(s: np.ndarray) -> np.ndarray:
         if not len(long):
@@ -108,11 +109,10 @@ def _lists(docs: DataFrame, long: np.ndarray, k: int, percent: int) -> DataFrame
     def work(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         sets = shingle_sets(part.column("text"), k)
         kept = [i for i, s in enumerate(sets) if len(s)]
-        parts = [
-            np.bincount((sets[i] >> np.uint64(61)).astype(np.int64), minlength=8).astype(np.uint8).view(np.int64)[0] for i in kept
-        ]
+        odd = np.array([np.bincount((sets[i] >> np.uint64(56)).astype(np.int64), minlength=256) % 2 for i in kept]).reshape(-1, 256)
+        bits = np.packbits(odd.astype(np.uint8), axis=1).view(np.int64)
         listed = pa.array([first(sets[i]).view(np.int64) for i in kept], pa.list_(pa.int64()))
-        yield texts.record(schema, part.column("doc_id").take(pa.array(kept, pa.int64())), [len(sets[i]) for i in kept], parts, listed)
+        yield texts.record(schema, part.column("doc_id").take(pa.array(kept, pa.int64())), [len(sets[i]) for i in kept], *bits.T, listed)
 
     return texts.map_texts(docs, work, _LISTED)
 
@@ -122,14 +122,19 @@ def _common_least(a: Column, b: Column, percent: int) -> Column:
     return F.ceil(percent * (a + b) / F.lit(100 + percent)).cast("int")
 
 
-def _may_link(n1: Column, n2: Column, parts1: Column, parts2: Column, percent: int) -> Column:
-    """Sizes and part counts allow the similarity: differing counts are differing shingles, at least as many."""
+def _may_link(one: Callable[[str], Column], two: Callable[[str], Column], percent: int) -> Column:
+    """Whether sizes, shingles of their own and bits of two sets allow the similarity.
+
+    Listed shingles that no other set lists, and bits that differ, are differing
+    shingles, at least as many.
+    """
+    n1, n2 = one("n"), two("n")
     apart = F.lit(0)
-    for k in range(8):
-        d = F.abs(F.shiftrightunsigned(parts1, 8 * k).bitwiseAND(255) - F.shiftrightunsigned(parts2, 8 * k).bitwiseAND(255))
-        apart = apart + F.least(d, 256 - d)
-    sizes = (100 * F.least(n1, n2) >= percent * F.greatest(n1, n2))
-    return sizes & (apart <= n1 + n2 - 2 * _common_least(n1, n2, percent))
+    for b in _BITS:
+        apart = apart + F.bit_count(one(b).bitwiseXOR(two(b)))
+    sizes = 100 * F.least(n1, n2) >= percent * F.greatest(n1, n2)
+    most = n1 + n2 - 2 * _common_least(n1, n2, percent)
+    return sizes & (one("single") + two("single") <= most) & (apart <= most)
 
 
 def overlaps(query: np.ndarray, sets: list[np.ndarray], need: np.ndarray) -> np.ndarray:
@@ -200,13 +205,10 @@ def near_components(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = PERC
 
     lists = _lists(docs.where(F.col("doc_id").isNotNull()), long, k, percent)
     mine = classes.select(F.col("one").alias("doc_id"))
-    entries = lists.join(mine, "doc_id", "left_semi").select(F.explode("listed").alias("shingle"), "doc_id", "n", "parts")
-    entries = stage(entries, work_dir(spark, "entries"))
-    heads = entries.groupBy("shingle").agg(F.min(F.struct("n", "doc_id", "parts")).alias("head"), F.max("doc_id").alias("last"), F.min("doc_id").alias("least"))
-    heads = stage(heads.where("last <> least").select("shingle", "head"), work_dir(spark, "heads"))
-    shared = stage(entries.join(heads, "shingle"), work_dir(spark, "shared"))
+    lists = stage(lists.join(mine, "doc_id", "left_semi"), work_dir(spark, "lists"))
+    shared = _shared(lists)
 
-    ok = _may_link(F.col("n"), F.col("head.n"), F.col("parts"), F.col("head.parts"), percent)
+    ok = _may_link(F.col, lambda c: F.col(f"head.{c}"), percent)
     sure = shared.where(F.col("doc_id") != F.col("head.doc_id")).where(ok)
     sure = _verified(docs, sure.select(F.col("head.doc_id").alias("a"), F.col("doc_id").alias("b")).distinct(), k, percent)
     sure = stage(sure, work_dir(spark, "sure-links"))
@@ -227,6 +229,26 @@ def near_components(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = PERC
     )
 
 
+def _shared(lists: DataFrame) -> DataFrame:
+    """(shingle, doc_id, n, bits, single, head) of all listed shingles that two sets or more list.
+
+    ``single`` counts the listed shingles a set shares with none. The head of a
+    list is the set with the fewest of these: the one most like all others.
+    """
+    spark = lists.sparkSession
+    entries = lists.select(F.explode("listed").alias("shingle"), "doc_id")
+    often = entries.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("shingle")
+    often = stage(often, work_dir(spark, "often"))
+    entries = stage(entries.join(often, "shingle"), work_dir(spark, "entries"))
+    counts = entries.groupBy("doc_id").agg(F.count(F.lit(1)).alias("common"))
+    facts = lists.select("doc_id", "n", *_BITS, F.size("listed").alias("listed")).join(counts, "doc_id")
+    facts = facts.select("doc_id", "n", *_BITS, (F.col("listed") - F.col("common")).cast("int").alias("single"))
+    facts = stage(facts, work_dir(spark, "facts"))
+    entries = stage(entries.join(facts, "doc_id"), work_dir(spark, "known-entries"))
+    heads = entries.groupBy("shingle").agg(F.min(F.struct("single", "n", "doc_id", *_BITS)).alias("head"))
+    return stage(entries.join(stage(heads, work_dir(spark, "heads")), "shingle"), work_dir(spark, "shared"))
+
+
 def _across(shared: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of different known components that meet on lists often enough.
 
@@ -237,18 +259,19 @@ def _across(shared: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     of = lambda c: known.select(F.col("node").alias(c), F.col("component").alias(f"{c}_in"))
     rows = shared.withColumn("first", F.col("head.doc_id")).join(of("doc_id"), "doc_id", "left").join(of("first"), "first", "left")
     rows = rows.select(
-        "shingle", "doc_id", "n", "parts", F.coalesce("doc_id_in", "doc_id").alias("inside"),
+        "shingle", "doc_id", "n", *_BITS, "single", F.coalesce("doc_id_in", "doc_id").alias("inside"),
         F.coalesce("first_in", "first").alias("first_inside"),
     )
     rows = stage(rows, work_dir(spark, "placed-lists"))
-    other = stage(rows.where("inside <> first_inside").drop("first_inside"), work_dir(spark, "other-lists"))
-    other = other.toDF("shingle", "a", "n_a", "parts_a", "in_a")
-    rows = rows.withColumnsRenamed({"doc_id": "b", "n": "n_b", "parts": "parts_b", "inside": "in_b"})
-    met = other.join(rows, "shingle").where("in_a <> in_b and (in_b = first_inside or a < b)")
-    met = met.where(_may_link(F.col("n_a"), F.col("n_b"), F.col("parts_a"), F.col("parts_b"), percent))
-    met = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
-                     F.when(F.col("a") < F.col("b"), F.struct("n_a", "n_b")).otherwise(F.struct(F.col("n_b").alias("n_a"), F.col("n_a").alias("n_b"))).alias("n"))
-    counted = met.groupBy("a", "b", "n.n_a", "n.n_b").agg(F.count(F.lit(1)).alias("met"))
+    one = F.struct("doc_id", "n", *_BITS, "single", "inside")
+    other = stage(rows.where("inside <> first_inside").select("shingle", one.alias("a")), work_dir(spark, "other-lists"))
+    met = other.join(rows.select("shingle", one.alias("b"), "first_inside"), "shingle")
+    met = met.where("a.inside <> b.inside and (b.inside = first_inside or a.doc_id < b.doc_id)")
+    met = met.where(_may_link(lambda c: F.col(f"a.{c}"), lambda c: F.col(f"b.{c}"), percent))
+    lower = F.col("a.doc_id") < F.col("b.doc_id")
+    met = met.select(F.when(lower, F.col("a")).otherwise(F.col("b")).alias("a"), F.when(lower, F.col("b")).otherwise(F.col("a")).alias("b"))
+    met = met.select(F.col("a.doc_id").alias("a"), F.col("b.doc_id").alias("b"), F.col("a.n").alias("n_a"), F.col("b.n").alias("n_b"))
+    counted = met.groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("met"))
     least = _common_least(F.col("n_a"), F.col("n_b"), percent)
 
     def spared(n: Column) -> Column:
