@@ -206,7 +206,7 @@ def near_components(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = PERC
     lists = _lists(docs.where(F.col("doc_id").isNotNull()), long, k, percent)
     mine = classes.select(F.col("one").alias("doc_id"))
     lists = stage(lists.join(mine, "doc_id", "left_semi"), work_dir(spark, "lists"))
-    shared = _shared(lists)
+    shared = _shared(lists, percent)
 
     ok = _may_link(F.col, lambda c: F.col(f"head.{c}"), percent)
     sure = shared.where(F.col("doc_id") != F.col("head.doc_id")).where(ok)
@@ -229,7 +229,7 @@ def near_components(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = PERC
     )
 
 
-def _shared(lists: DataFrame) -> DataFrame:
+def _shared(lists: DataFrame, percent: int) -> DataFrame:
     """(shingle, doc_id, n, bits, single, head) of all listed shingles that two sets or more list.
 
     ``single`` counts the listed shingles a set shares with none. The head of a
@@ -244,7 +244,12 @@ def _shared(lists: DataFrame) -> DataFrame:
     facts = lists.select("doc_id", "n", *_BITS, F.size("listed").alias("listed")).join(counts, "doc_id")
     facts = facts.select("doc_id", "n", *_BITS, (F.col("listed") - F.col("common")).cast("int").alias("single"))
     facts = stage(facts, work_dir(spark, "facts"))
-    entries = stage(entries.join(facts, "doc_id"), work_dir(spark, "known-entries"))
+    # a partner has at least the fewest shingles of its own on the list: most rows of chance meetings end here
+    entries = stage(entries.join(facts.select("doc_id", "n", "single"), "doc_id"), work_dir(spark, "known-entries"))
+    least = stage(entries.groupBy("shingle").agg(F.min("single").alias("least")), work_dir(spark, "least"))
+    hopeful = entries.join(least, "shingle").where(percent * (F.col("single") + F.col("least")) <= (100 - percent) * F.col("n"))
+    hopeful = stage(hopeful.select("shingle", "doc_id"), work_dir(spark, "hopeful-entries"))
+    entries = stage(hopeful.join(facts, "doc_id"), work_dir(spark, "hopeful-facts"))
     heads = entries.groupBy("shingle").agg(F.min(F.struct("single", "n", "doc_id", *_BITS)).alias("head"))
     return stage(entries.join(stage(heads, work_dir(spark, "heads")), "shingle"), work_dir(spark, "shared"))
 
