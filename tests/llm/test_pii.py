@@ -56,3 +56,16 @@ def test_labelers_are_weighed():
     good, bad = (1, 1, 1, 1, -1), (0, -1, -1, 0, 0)
     prior, chances, belief = pii.reliabilities({good: 60, bad: 40, (1, -1, -1, -1, 0): 5})
     assert belief[good] > 0.95 and belief[bad] < 0.05 and 0.3 < prior < 0.8 and len(chances) == len(pii.LABELERS)
+
+
+def test_addresses_with_zero_parts(spark):
+    random.seed(4)
+    parts = ["0", "00", "000", "0000", "1", "010", "255", "0255", "256", "0256", "99"]
+    texts = ["192.168.0.1", "10.0.0.1 and 127.0.0.1.", "0.0.0.0", "000.00.0.00", "10.0.0", "0.0.0.256", "0" * 3000 + ".0.0.0"]
+    texts += [" ".join(".".join(random.choices(parts, k=random.randint(3, 6))) for _ in range(3)) for _ in range(300)]
+    rows = list(enumerate(texts))
+    got = rows_of(spark, rows)
+    agree(got, rows)
+    assert [got[i]["n_ip"] for i in range(7)] == [1, 2, 1, 1, 0, 0, 1]
+    masked = {r["doc_id"]: r["text"] for r in pii.masked(odd.documents(spark, rows)).collect()}
+    assert masked[0] == "[ip]" and masked[1] == "[ip] and [ip]."
