@@ -41,7 +41,9 @@ MAX_SENT_IDS = 1_000_000
 
 _SETS = "doc_id long, n int, hash1 long, hash2 long, low array<long>"
 _BITS = ("bits0", "bits1", "bits2", "bits3")
-_LISTED = f"doc_id long, n int, {' long, '.join(_BITS)} long, listed array<long>"
+# What is known of a set on every list: its bits, and where its own list ends in the order of all shingles.
+_FACTS = (*_BITS, "ending")
+_LISTED = f"doc_id long, n int, {' long, '.join(_FACTS)} long, listed array<long>"
 
 
 def shingle_sets(column: pa.Array, k: int) -> list[np.ndarray]:
@@ -89,8 +91,11 @@ def _long(signatures: DataFrame) -> np.ndarray:
 
 
 def _lists(docs: DataFrame, long: np.ndarray, k: int, percent: int) -> DataFrame:
-    """(doc_id, n, bits, listed): a set's first shingles, those of long lists last; each shingle turns one of 256 bits over."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), *((b, pa.int64()) for b in _BITS), ("listed", pa.list_(pa.int64()))])
+    """(doc_id, n, bits, ending, listed): a set's first shingles, those of long lists last; each shingle turns one of 256 bits over.
+
+    ``ending`` is the place of the last listed one in that order; its lowest bits are left out.
+    """
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), *((b, pa.int64()) for b in _FACTS), ("listed", pa.list_(pa.int64()))])
 
     def is_long(s: np.ndarray) -> np.ndarray:
         if not len(long):
@@ -111,8 +116,11 @@ def _lists(docs: DataFrame, long: np.ndarray, k: int, percent: int) -> DataFrame
         kept = [i for i, s in enumerate(sets) if len(s)]
         odd = np.array([np.bincount((sets[i] >> np.uint64(56)).astype(np.int64), minlength=256) % 2 for i in kept]).reshape(-1, 256)
         bits = np.packbits(odd.astype(np.uint8), axis=1).view(np.int64)
-        listed = pa.array([first(sets[i]).view(np.int64) for i in kept], pa.list_(pa.int64()))
-        yield texts.record(schema, part.column("doc_id").take(pa.array(kept, pa.int64())), [len(sets[i]) for i in kept], *bits.T, listed)
+        listed = [first(sets[i]) for i in kept]
+        last = np.array([x[-1] for x in listed], np.uint64)
+        ending = ((last >> np.uint64(2)) | (is_long(last).astype(np.uint64) << np.uint64(62))).view(np.int64)
+        listed = pa.array([x.view(np.int64) for x in listed], pa.list_(pa.int64()))
+        yield texts.record(schema, part.column("doc_id").take(pa.array(kept, pa.int64())), [len(sets[i]) for i in kept], *bits.T, ending, listed)
 
     return texts.map_texts(docs, work, _LISTED)
 
@@ -125,8 +133,9 @@ def _common_least(a: Column, b: Column, percent: int) -> Column:
 def _may_link(one: Callable[[str], Column], two: Callable[[str], Column], percent: int) -> Column:
     """Whether sizes, shingles of their own and bits of two sets allow the similarity.
 
-    Listed shingles that no other set lists, and bits that differ, are differing
-    shingles, at least as many.
+    Bits that differ are differing shingles, at least as many. So are the listed
+    shingles that no other set lists, of the set whose list ends first: its partner
+    would list them as well. Those of the other set may stand behind that end, in both.
     """
     n1, n2 = one("n"), two("n")
     apart = F.lit(0)
@@ -134,7 +143,8 @@ def _may_link(one: Callable[[str], Column], two: Callable[[str], Column], percen
         apart = apart + F.bit_count(one(b).bitwiseXOR(two(b)))
     sizes = 100 * F.least(n1, n2) >= percent * F.greatest(n1, n2)
     most = n1 + n2 - 2 * _common_least(n1, n2, percent)
-    return sizes & (one("single") + two("single") <= most) & (apart <= most)
+    own = F.when(one("ending") < two("ending"), one("single")).when(two("ending") < one("ending"), two("single"))
+    return sizes & (own.otherwise(F.least(one("single"), two("single"))) <= most) & (apart <= most)
 
 
 def overlaps(query: np.ndarray, sets: list[np.ndarray], need: np.ndarray) -> np.ndarray:
@@ -230,7 +240,7 @@ def near_components(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = PERC
 
 
 def _shared(lists: DataFrame) -> DataFrame:
-    """(shingle, doc_id, n, bits, single, head) of all listed shingles that two sets or more list.
+    """(shingle, doc_id, n, bits, ending, single, head) of all listed shingles that two sets or more list.
 
     ``single`` counts the listed shingles a set shares with none. The head of a
     list is the set with the fewest of these: the one most like all others.
@@ -241,11 +251,11 @@ def _shared(lists: DataFrame) -> DataFrame:
     often = stage(often, work_dir(spark, "often"))
     entries = stage(entries.join(often, "shingle"), work_dir(spark, "entries"))
     counts = entries.groupBy("doc_id").agg(F.count(F.lit(1)).alias("common"))
-    facts = lists.select("doc_id", "n", *_BITS, F.size("listed").alias("listed")).join(counts, "doc_id")
-    facts = facts.select("doc_id", "n", *_BITS, (F.col("listed") - F.col("common")).cast("int").alias("single"))
+    facts = lists.select("doc_id", "n", *_FACTS, F.size("listed").alias("listed")).join(counts, "doc_id")
+    facts = facts.select("doc_id", "n", *_FACTS, (F.col("listed") - F.col("common")).cast("int").alias("single"))
     facts = stage(facts, work_dir(spark, "facts"))
     entries = stage(entries.join(facts, "doc_id"), work_dir(spark, "known-entries"))
-    heads = entries.groupBy("shingle").agg(F.min(F.struct("single", "n", "doc_id", *_BITS)).alias("head"))
+    heads = entries.groupBy("shingle").agg(F.min(F.struct("single", "n", "doc_id", *_FACTS)).alias("head"))
     return stage(entries.join(stage(heads, work_dir(spark, "heads")), "shingle"), work_dir(spark, "shared"))
 
 
@@ -259,11 +269,11 @@ def _across(shared: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     of = lambda c: known.select(F.col("node").alias(c), F.col("component").alias(f"{c}_in"))
     rows = shared.withColumn("first", F.col("head.doc_id")).join(of("doc_id"), "doc_id", "left").join(of("first"), "first", "left")
     rows = rows.select(
-        "shingle", "doc_id", "n", *_BITS, "single", F.coalesce("doc_id_in", "doc_id").alias("inside"),
+        "shingle", "doc_id", "n", *_FACTS, "single", F.coalesce("doc_id_in", "doc_id").alias("inside"),
         F.coalesce("first_in", "first").alias("first_inside"),
     )
     rows = stage(rows, work_dir(spark, "placed-lists"))
-    one = F.struct("doc_id", "n", *_BITS, "single", "inside")
+    one = F.struct("doc_id", "n", *_FACTS, "single", "inside")
     other = stage(rows.where("inside <> first_inside").select("shingle", one.alias("a")), work_dir(spark, "other-lists"))
     met = other.join(rows.select("shingle", one.alias("b"), "first_inside"), "shingle")
     met = met.where("a.inside <> b.inside and (b.inside = first_inside or a.doc_id < b.doc_id)")

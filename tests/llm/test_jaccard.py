@@ -70,3 +70,19 @@ def test_components(spark):
     found = {r["node"]: r["component"] for r in graph.components(links).collect()}
     assert found == {**{i: 0 for i in range(41)}, 100: 90, 90: 90, 95: 90}
     assert graph.components(links.where("a < 0")).count() == 0
+
+
+@pytest.mark.parametrize("k, percent", [(3, 90), (5, 80)])
+def test_short_texts_with_a_few_words_added(spark, k, percent):
+    """One set inside the other, and no third text like them: what only one of them lists the other may hold."""
+    texts = {}
+    for n in range(6, 41):
+        for _ in range(6):
+            at = len(texts)
+            base = [f"p{at}w{j}" for j in range(n + k - 1)]
+            added = [f"p{at}x{j}" for j in range(n * (100 - percent) // percent)]
+            texts[at] = " ".join(base)
+            texts[at + 1] = " ".join(base + added if at % 4 else added + base)
+    want = brute_jaccard.components(texts, k, percent)
+    assert sum(c != i for i, (_, c) in want.items()) == 35 * 6
+    assert got(odd.documents(spark, list(texts.items())), k, percent) == want
