@@ -2,8 +2,10 @@
 
 A sentence ends with a line, or with . ! or ? before white space. From every
 sentence of a text the span of the fewest successive sentences (MIN_SENTENCES at
-least) that holds MIN_WORDS words is hashed; one sentence of MIN_WORDS words that
-fills its whole line counts as well, since nothing longer may repeat around it.
+least) that holds MIN_WORDS words is hashed, and so is the one that ends with it:
+together these cover every sentence of any longer run that repeats. One sentence
+of MIN_WORDS words that fills its whole line counts as well, since nothing longer
+may repeat around it.
 All spans are joined by hash over the whole corpus. The first occurrence, by
 document id and place, stays; sentences covered by any other are removed. Words
 are compared as they are but for white space and the case of A-Z.
@@ -58,12 +60,16 @@ def spans_of(column: pa.Array, min_words: int = MIN_WORDS, min_sentences: int =
     k = np.maximum(np.searchsorted(ends, begins + min_words, "left"), np.arange(len(begins)) + min_sentences - 1)
     alone = line_ends[ends - 1] & ((begins == 0) | line_ends[begins - 1]) & (ends - begins >= min_words)
     ok = (k < len(begins)) & (doc[np.minimum(k, len(begins) - 1)] == doc)
+    # the sentence that opens a span: the last with enough words and enough sentences up to the end; not if it is a span already
+    i = np.arange(len(ends))
+    j = np.minimum(np.searchsorted(begins, ends - min_words, "right") - 1, i - min_sentences + 1)
+    back_ok = (j >= 0) & (doc[np.maximum(j, 0)] == doc) & (k[np.maximum(j, 0)] != i)
     # prefix sums of hash * step^place, times step^-begin, give every span's hash wherever it stands
     powers = np.multiply.accumulate(np.full(n, np.uint64(_STEP), np.uint64))
     back = np.multiply.accumulate(np.full(n, np.uint64(pow(_STEP, -1, 1 << 64)), np.uint64))
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(w.hash * powers, dtype=np.uint64)])
     out = []
-    for first, close in ((begins[ok], ends[k[ok]]), (begins[alone], ends[alone])):
+    for first, close in ((begins[ok], ends[k[ok]]), (begins[j[back_ok]], ends[back_ok]), (begins[alone], ends[alone])):
         value = (sums[close] - sums[first]) * back[first]
         out.append((w.doc[first], texts.mix(value ^ (close - first).astype(np.uint64)), w.start[first] - at[w.doc[first]],
                     w.end[close - 1] - at[w.doc[first]], close - first))
