@@ -6,9 +6,13 @@ alike, the other positions may differ. Around each such hit the document is
 compared with the whole item along the hit's diagonal, and the longest stretch
 that includes the hit with at least IDENTITY of its words equal is kept. A
 document leaks an item when that stretch holds MIN_WORDS equal words, or
-IDENTITY of the item's words if the item is shorter.
+IDENTITY of the item's words if the item is shorter; where the longest holds
+too few, the one with the most equal words counts.
 
-Items shorter than the longest mask are laid under their own full-length mask.
+The masks alone would miss passages that the rule accepts. So each item is also
+laid under a short mask without gaps, as long as the run of equal words that any
+accepted stretch of the item must hold: m equal words and e others leave a run
+of m / (e + 1), four words for items of 16 words and more, down to two for five.
 Items without words match nothing. Null and empty texts leak nothing; repeated
 documents or items give one row per (doc_id, item_id); a null id stays a null id.
 """
@@ -32,6 +36,8 @@ MIN_WORDS = 13
 IDENTITY = 0.8
 # Bytes of benchmark text that may be sent to every task; a larger benchmark is joined by its hashes first.
 MAX_SENT_BYTES = 16 << 20
+# Words of diagonals compared at a time, so that temporary arrays stay small.
+BLOCK_WORDS = 1 << 20
 
 DDL = "doc_id long, item_id long, first_word long, last_word long, n_equal long, share double"
 SCHEMA = pa.schema([(n, pa.int64()) for n in ("doc_id", "item_id", "first_word", "last_word", "n_equal")] + [("share", pa.float64())])
@@ -52,6 +58,20 @@ def seeds(hashed: np.ndarray, doc: np.ndarray, mask: str) -> tuple[np.ndarray, n
     return at, total[at]
 
 
+def words_needed(size: int, min_words: int, identity: float) -> int:
+    """Equal words that a stretch of an item of this size must hold."""
+    return max(1, min(min_words, ceil(identity * size - 1e-9)))
+
+
+def sure_run(size: int, min_words: int, identity: float) -> int:
+    """Length of the run of equal words that every accepted stretch of an item of this size holds."""
+    least = size
+    for m in range(words_needed(size, min_words, identity), size + 1):
+        other = size - m if identity <= 0 else min(size - m, int(m / identity - m + 1e-9))
+        least = min(least, -(-m // (other + 1)))
+    return least
+
+
 class Benchmark:
     """Seeds of the items, looked up by hash."""
 
@@ -61,13 +81,15 @@ class Benchmark:
         self.ids, self.hash, self.min_words, self.identity = ids, w.hash, min_words, identity
         size = np.bincount(w.doc, minlength=len(items))
         self.first, self.size = np.cumsum(size) - size, size
-        longest = max(map(len, MASKS))
-        self.masks = [*MASKS, *sorted({"1" * int(n) for n in size if 0 < n < longest})]
+        sizes, at_size = np.unique(size, return_inverse=True)
+        run = np.array([sure_run(int(n), min_words, identity) for n in sizes], np.int64)[at_size]
+        self.need = np.array([words_needed(int(n), min_words, identity) for n in sizes], np.int64)[at_size]
+        self.masks = [*MASKS, *sorted({"1" * int(n) for n in run if n})]
         keys, items_at, places, kinds = [], [], [], []
         for k, mask in enumerate(self.masks):
             pos, key = seeds(w.hash, w.doc, mask)
-            if k >= len(MASKS):  # whole short items only
-                mine = size[w.doc[pos]] == len(mask)
+            if k >= len(MASKS):  # only items that must hold such a run
+                mine = run[w.doc[pos]] == len(mask)
                 pos, key = pos[mine], key[mine]
             keys.append(key)
             items_at.append(w.doc[pos])
@@ -96,6 +118,22 @@ class Benchmark:
             return np.zeros((0, 4), np.int64)
         return np.unique(np.concatenate(found), axis=0)
 
+    def enough(self, w: texts.Words, first: np.ndarray, size: np.ndarray, hits: np.ndarray) -> np.ndarray:
+        """The hits whose whole diagonal holds as many equal words as the item needs."""
+        new = np.concatenate([[True], (np.diff(hits[:, :3], axis=0) != 0).any(axis=1)])
+        doc, item, shift = hits[new, :3].T
+        a = np.maximum(shift, first[doc])
+        n = np.minimum(shift + self.size[item], first[doc] + size[doc]) - a
+        mine, count = self.first[item] + a - shift, np.zeros(len(a), np.int64)
+        block = np.cumsum(n) // BLOCK_WORDS
+        cuts = np.flatnonzero(np.diff(block)) + 1
+        for x, y in zip([0, *cuts], [*cuts, len(a)]):
+            begin = np.cumsum(n[x:y]) - n[x:y]
+            place = np.arange(int(n[x:y].sum())) - np.repeat(begin, n[x:y])
+            equal = w.hash[np.repeat(a[x:y], n[x:y]) + place] == self.hash[np.repeat(mine[x:y], n[x:y]) + place]
+            count[x:y] = np.add.reduceat(equal.astype(np.int64), begin)
+        return hits[(count >= self.need[item])[np.cumsum(new) - 1]]
+
     def verified(self, w: texts.Words, first: np.ndarray, size: np.ndarray, hit: np.ndarray):
         """(first word, last word, equal words) of the stretch around a hit, or None."""
         doc, item, shift, seed = (int(x) for x in hit)
@@ -111,11 +149,12 @@ class Benchmark:
         reach = np.searchsorted(-best, -(left - 1e-9), side="right") - 1
         if not len(reach) or reach.max() < 0:
             return None
+        total = np.concatenate([[0], np.cumsum(equal)])
+        most = np.where(reach >= 0, total[k + 1 + reach] - total[: k + 1], -1)
         x = int(np.argmax(np.where(reach >= 0, k + 1 + reach - np.arange(k + 1), -1)))
-        y = k + 1 + int(reach[x])
-        n = int(equal[x:y].sum())
-        need = min(self.min_words, ceil(self.identity * int(self.size[item]) - 1e-9))
-        return (a + x - int(first[doc]), a + y - 1 - int(first[doc]), n) if n >= max(need, 1) else None
+        x = x if most[x] >= self.need[item] else int(np.argmax(most))
+        y, n = k + 1 + int(reach[x]), int(most[x])
+        return (a + x - int(first[doc]), a + y - 1 - int(first[doc]), n) if n >= self.need[item] else None
 
 
 def leaks(docs: DataFrame, items: DataFrame, min_words: int = MIN_WORDS, identity: float = IDENTITY) -> DataFrame:
@@ -148,6 +187,7 @@ def _leaks(docs: DataFrame, ids: list, items: list, min_words: int, identity: fl
             return
         size = np.bincount(w.doc, minlength=part.num_rows)
         first = np.cumsum(size) - size
+        hits = bench.enough(w, first, size, hits)
         names, out, done = part.column("doc_id").to_pylist(), [], {}
         for hit in hits:
             key = tuple(hit[:3].tolist())

@@ -1,5 +1,6 @@
 """Operator 2 against a comparison of every diagonal."""
 
+import math
 import random
 import re
 
@@ -58,3 +59,45 @@ def test_decontaminated(spark):
     kept = leaks.decontaminated(docs, items(spark, [(1, odd.PASSAGE)]))
     assert kept.columns == docs.columns
     assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None) == [1, 2, 3, 4, 5, 9, 10, 11, 12]
+
+
+def diagonals(doc, item, min_words, identity):
+    """Whether any stretch on any diagonal has enough equal words."""
+    need = max(1, min(min_words, math.ceil(identity * len(item) - 1e-9)))
+    for shift in range(1 - len(item), len(doc)):
+        equal = [doc[shift + j] == item[j] for j in range(len(item)) if 0 <= shift + j < len(doc)]
+        for a in range(len(equal)):
+            n = 0
+            for b in range(a, len(equal)):
+                n += equal[b]
+                if n >= need and n >= identity * (b - a + 1) - 1e-9:
+                    return True
+    return False
+
+
+def test_every_allowed_pattern_is_found(spark):
+    random.seed(6)
+    bench, docs = [], []
+    for size in [*range(1, 28), 40]:
+        bench.append((size, " ".join(f"i{size}w{j}" for j in range(size))))
+        for extra in (0, 1):  # as many changed words as the rule allows, and one more
+            for _ in range(8):
+                copy = words(bench[-1][1])
+                for p in random.sample(range(size), min(size, size - math.ceil(0.8 * size) + extra)):
+                    copy[p] = "changed"
+                docs.append((len(docs), " ".join(["before"] * 3 + copy + ["behind"] * 3)))
+    for gap in (3, 4):  # errors at even distances leave the shortest runs
+        docs += [(len(docs) + i, " ".join(w if j % gap < gap - 1 else "changed" for j, w in enumerate(words(t)))) for i, (_, t) in enumerate(bench)]
+    want = {(d, i) for d, text in docs for i, t in bench if f"i{i}w" in text and diagonals(words(text), words(t), 13, 0.8)}
+    found = [(r["doc_id"], r["item_id"]) for r in leaks.leaks(odd.documents(spark, docs), items(spark, bench)).collect()]
+    assert set(found) == want and len(found) == len(want) and len(want) > 200
+
+
+def test_sure_run():
+    """No pattern that the rule accepts has only shorter runs; shown for every pattern up to 16 words."""
+    for size in range(1, 17):
+        run, need = leaks.sure_run(size, 13, 0.8), leaks.words_needed(size, 13, 0.8)
+        for pattern in range(1 << size):
+            bits = f"{pattern:0{size}b}"
+            if bits.count("1") >= need and bits.count("1") >= 0.8 * size - 1e-9:
+                assert "1" * run in bits
