@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import bpe, jaccard, leaks, licenses, pii, quality, sentences, toxicity, voronoi, wordpiece
+from corpusloom.llm import bpe, jaccard, leaks, licenses, negatives, pii, quality, sentences, toxicity, voronoi, wordpiece
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,6 +58,10 @@ def op10_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentences.removed_stretches(table(spark, sf_dir, "documents"))
 
 
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_spaced_seeds": op2_spaced_seeds,
@@ -69,6 +73,7 @@ QUERIES = {
     "op8_voronoi": op8_voronoi,
     "op9_licenses": op9_licenses,
     "op10_sentence_spans": op10_sentence_spans,
+    "op12_negatives": op12_negatives,
 }
 ORACLES = {
     "op8_voronoi": """
@@ -86,4 +91,28 @@ ORACLES = {
         )
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
     """,
+    "op12_negatives": """
+        WITH v AS (
+            SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT a.vec_id AS anchor_id, d.vec_id, a.label = d.label AS same,
+                   CAST(list_sum(list_transform(list_zip(a.v, d.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+            FROM v a JOIN v d ON d.vec_id <> a.vec_id WHERE a.vec_id % 50 = 0
+        ), positives AS (
+            SELECT * FROM (
+                SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place FROM scored WHERE same
+            ) WHERE place <= 5
+        ), ranked AS (
+            SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+                   row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id) AS rank
+            FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+             AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+        )
+        SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+        FROM ranked WHERE rank <= 3
+    """,
 }
