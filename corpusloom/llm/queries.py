@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import bpe, jaccard, leaks, licenses, negatives, pii, quality, sentences, toxicity, voronoi, wordpiece
+from corpusloom.llm import bpe, jaccard, leaks, lexical, licenses, negatives, pii, quality, sentences, toxicity, voronoi, wordpiece
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,6 +58,10 @@ def op10_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentences.removed_stretches(table(spark, sf_dir, "documents"))
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.mine(table(spark, sf_dir, "embeddings"))
 
@@ -73,6 +77,7 @@ QUERIES = {
     "op8_voronoi": op8_voronoi,
     "op9_licenses": op9_licenses,
     "op10_sentence_spans": op10_sentence_spans,
+    "op11_lexical": op11_lexical,
     "op12_negatives": op12_negatives,
 }
 ORACLES = {
@@ -91,6 +96,34 @@ ORACLES = {
         )
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
     """,
+    "op11_lexical": r"""
+        WITH words AS (
+            SELECT row, doc_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+')) AS term
+            FROM (SELECT row_number() OVER () AS row, doc_id, text FROM documents)
+        ), counted AS (
+            SELECT row, doc_id, term, count(*) AS tf FROM words GROUP BY ALL
+        ), sized AS (
+            SELECT row, sum(tf) AS n FROM counted GROUP BY row
+        ), whole AS (
+            SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM sized
+        ), weighed AS (
+            SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+            FROM counted, whole GROUP BY term, n_docs
+        ), items AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+')) AS term
+            FROM benchmark WHERE item_id IS NOT NULL
+        ), scored AS (
+            SELECT item_id, doc_id, row, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (CAST(90 * n * n_docs AS BIGINT) // n_terms))))) AS BIGINT) AS score
+            FROM items JOIN weighed USING (term) JOIN counted USING (term) JOIN sized USING (row), whole
+            GROUP BY item_id, doc_id, row
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored
+            WHERE score > 0 AND doc_id IS NOT NULL
+        )
+        SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
+    """,
     "op12_negatives": """
         WITH v AS (
             SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
