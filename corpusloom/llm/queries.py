@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import bpe, jaccard, leaks, lexical, licenses, negatives, pii, quality, sentences, toxicity, voronoi, wordpiece
+from corpusloom.llm import bpe, jaccard, leaks, lexical, licenses, negatives, pii, quality, sentences, toxicity, urls, voronoi, wordpiece
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,6 +66,10 @@ def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.mine(table(spark, sf_dir, "embeddings"))
 
 
+def op13_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_spaced_seeds": op2_spaced_seeds,
@@ -79,6 +83,7 @@ QUERIES = {
     "op10_sentence_spans": op10_sentence_spans,
     "op11_lexical": op11_lexical,
     "op12_negatives": op12_negatives,
+    "op13_urls": op13_urls,
 }
 ORACLES = {
     "op8_voronoi": """
