@@ -9,7 +9,7 @@ from corpusloom.llm import sentences
 
 
 def spans(text, min_words=sentences.MIN_WORDS, min_sentences=sentences.MIN_SENTENCES):
-    """(words, begin, finish) of every span; places in bytes."""
+    """(words, begin, finish) of every run of enough sentences and words, not only the shortest; places in bytes."""
     raw = (text or "").encode()
     words = [(m.start(), m.end()) for m in re.finditer(rb"[^ \t\n\x0b\x0c\r]+", raw)]
     ends, line_ends = [], set()
@@ -30,7 +30,6 @@ def spans(text, min_words=sentences.MIN_WORDS, min_sentences=sentences.MIN_SENTE
         for e in range(s + min_sentences - 1, len(ends)):
             if ends[e] - a + 1 >= min_words:
                 add(a, ends[e])
-                break
         if ends[s] - a + 1 >= min_words and ends[s] in line_ends and (a == 0 or a - 1 in line_ends):
             add(a, ends[s])
     return out
