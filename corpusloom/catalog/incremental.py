@@ -11,7 +11,9 @@ from corpusloom.catalog.sql import JUDGED
 from corpusloom.operators import judging
 from corpusloom.operators.responses import OBJECT_ATTEMPTS
 from corpusloom.session import work_dir
+from corpusloom.sources import manifest
 from corpusloom.streaming import incremental as I
+from corpusloom.streaming import log as L
 
 RECORDS = T.StructType(
     [T.StructField("call_id", T.StringType()), T.StructField("pos", T.LongType())]
@@ -47,7 +49,7 @@ def stream_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, checkpoint = work_dir(spark, "generation"), work_dir(spark, "generation-checkpoint")
     arrivals = as_answers(arriving(spark, sf_dir, "documents"))
     I.run_generation(arrivals, I.first_records, path, checkpoint, RECORDS, "call_id").awaitTermination()
-    log = I.read_log(spark, path, RECORDS)
+    log = L.read_log(spark, path, RECORDS)
     return log.select("call_id", "pos", "instruction", "input", "output", F.get_json_object("record", "$.extra").alias("extra"))
 
 
@@ -58,7 +60,7 @@ def stream_judge(spark: SparkSession, sf_dir: str) -> DataFrame:
     answers.repartition(4, "content_key").write.parquet(source)
     arrivals = spark.readStream.schema(answers.schema).option("maxFilesPerTrigger", 2).parquet(source)
     I.run_judging(arrivals, path, checkpoint, VERDICTS, OBJECT_ATTEMPTS).awaitTermination()
-    verdicts = I.settled_verdicts(I.read_log(spark, path, VERDICTS))
+    verdicts = I.settled_verdicts(L.read_log(spark, path, VERDICTS))
     ex = judging.with_content_key(fx.examples(spark, sf_dir))
     return ex.join(verdicts, "content_key").select("doc_id", *judging.VERDICT_COLUMNS)
 
@@ -68,24 +70,38 @@ def idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "replayed")
     docs = fx.table(spark, sf_dir, "documents")
     rows, half = (I.first_records(as_answers(d)) for d in (docs, docs.where("doc_id % 2 = 0")))
-    I.open_log(spark, path, RECORDS)
+    L.open_log(spark, path, RECORDS)
     for run, batch_id, batch in (("a", 0, half), ("a", 0, half), ("b", 0, rows), ("b", 0, rows), ("b", 1, half)):
-        I.append_batch(batch, batch_id, path, RECORDS, "call_id", run=run)
-    log = I.read_log(spark, path, RECORDS)
-    return log.groupBy("call_id").agg(F.count(F.lit(1)).alias("n"), F.max(I.RUN).alias("run"), F.max(I.BATCH).alias("batch"))
+        L.append_batch(batch, batch_id, path, RECORDS, "call_id", run=run)
+    log = L.read_log(spark, path, RECORDS)
+    return log.groupBy("call_id").agg(F.count(F.lit(1)).alias("n"), F.max(L.RUN).alias("run"), F.max(L.BATCH).alias("batch"))
+
+
+def merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nine batches, each of which brings the keys of the one before once more; folders are merged by threes."""
+    path = work_dir(spark, "merged")
+    docs = fx.table(spark, sf_dir, "documents").select(F.concat(F.lit("MIG-"), "doc_id").alias("call_id"), F.col("doc_id").alias("pos"), "text")
+    schema = T.StructType([T.StructField("call_id", T.StringType()), T.StructField("pos", T.LongType()), T.StructField("text", T.StringType())])
+    L.open_log(spark, path, schema)
+    for n in range(9):
+        batch = docs.where(F.col("pos") % 9 == n).unionByName(docs.where(F.col("pos") % 9 == n - 1))
+        L.append_batch(batch, n, path, schema, "call_id", fanout=3, bucket_rows=64)
+    log = L.read_log(spark, path, schema)
+    return log.select("call_id", F.length("text").cast("long").alias("n_chars"), F.col(L.BATCH).alias("batch"))
 
 
 def running(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, checkpoint = work_dir(spark, "report"), work_dir(spark, "report-checkpoint")
     docs = arriving(spark, sf_dir, "documents").withColumn("category", F.col("source"))
     I.run_report(judging.enforce(fx.with_scores(docs)), path, checkpoint).awaitTermination()
-    return spark.read.parquet(path)
+    return manifest.read_published(spark, path)
 
 
 QUERIES = {
     "i1_stream_parse": stream_parse,
     "i2_stream_judge": stream_judge,
     "i3_idempotent": idempotent,
+    "i3_merged": merged,
     "i4_running": running,
 }
 
@@ -102,6 +118,7 @@ ORACLES = {
         SELECT 'MIG-' || doc_id AS call_id, (CASE WHEN n_chars > 200 THEN 2 ELSE 1 END)::BIGINT AS n,
                CASE WHEN doc_id % 2 = 0 THEN 'a' ELSE 'b' END AS run, 0::BIGINT AS batch
         FROM documents WHERE 2 * n_chars + 1 > 200""",
+    "i3_merged": "SELECT 'MIG-' || doc_id AS call_id, length(text) AS n_chars, doc_id % 9 AS batch FROM documents",
     "i4_running": """
         WITH m AS (
           SELECT source AS category, 2 + (doc_id * 7 + n_chars) % 4 AS a, 2 + (doc_id * 3 + n_chars * 5) % 4 AS b,

@@ -13,7 +13,8 @@ from pyspark.sql import types as T
 from corpusloom.inference import infer
 from corpusloom.operators.planning import remaining_work
 from corpusloom.session import stage
-from corpusloom.streaming.incremental import append_batch, open_log, read_log
+from corpusloom.sources import manifest
+from corpusloom.streaming.log import append_batch, open_log, read_log
 
 
 def call_rounds(

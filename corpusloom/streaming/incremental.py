@@ -1,7 +1,7 @@
 """Resumable jobs: Structured Streaming over arriving responses.
 
-Each micro-batch is written under its own id, so a batch that runs again after
-a failure replaces itself, and the checkpoint remembers what was read.
+Each micro-batch is written to a log under its own id, so a batch that runs again
+after a failure replaces itself, and the checkpoint remembers what was read.
 """
 
 from __future__ import annotations
@@ -9,55 +9,23 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from corpusloom.operators.judging import resumable, verdicts_from_responses
-from corpusloom.operators.planning import remaining_work
 from corpusloom.operators.reports import pass_rate_by_category
 from corpusloom.operators.responses import batch_attempts, explode_records, first_acceptable, open_record
-
-RUN, BATCH = "run_id", "batch_id"
-
-
-def open_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The log at ``path``, created empty when it is new."""
-    spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{path}/{RUN}=none/{BATCH}=-1")
-    return read_log(spark, path, schema)
-
-
-def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    own = [T.StructField(RUN, T.StringType()), T.StructField(BATCH, T.LongType())]
-    return spark.read.schema(T.StructType([*schema.fields, *own])).parquet(path)
+from corpusloom.sources import manifest
+from corpusloom.streaming.log import BATCH, COMMIT, RUN, append_batch, open_log
 
 
 def run_of(spark: SparkSession, checkpoint: str) -> str:
     """The name of the run that a checkpoint belongs to; it is kept beside the checkpoint."""
     place = f"{checkpoint.rstrip('/')}-run"
-    try:
-        return spark.read.schema("value string").text(place).first()["value"]
-    except AnalysisException:  # a new run
-        name = uuid.uuid4().hex
-        spark.createDataFrame([(name,)], "value string").coalesce(1).write.text(place)
-        return name
-
-
-def append_batch(
-    new: DataFrame, batch_id: int, path: str, schema: T.StructType, key: str, done: Callable | None = None, run: str = "main"
-) -> None:
-    """Write one batch of a log, leaving out keys that other batches finished.
-
-    A batch owns the folder of its run and number and looks at all others: run
-    again it replaces itself, and no run writes over the batches of another. All
-    rows of a key go together. Of the log the key column alone is read.
-    """
-    others = read_log(new.sparkSession, path, schema).where(~((F.col(RUN) == run) & (F.col(BATCH) == batch_id)))
-    finished = done(others) if done else others
-    fresh = remaining_work(new, finished, key, unique=True)
-    fresh.select(*schema.names).write.mode("overwrite").parquet(f"{path}/{RUN}={run}/{BATCH}={batch_id}")
+    manifest.put_text(spark, place, uuid.uuid4().hex)  # leaves that of an earlier start alone
+    return manifest.get_text(spark, place)
 
 
 def run_generation(
@@ -114,20 +82,21 @@ def run_judging(
 
 
 def settled_verdicts(log: DataFrame, key: str = "content_key") -> DataFrame:
-    """One verdict per key of a log: a usable one before one of a failed judge call, then the latest."""
-    order = F.struct((F.col("avg_score") > 0).alias("usable"), BATCH, RUN)
-    names = [c for c in log.columns if c not in (key, RUN, BATCH)]
+    """One verdict per key of a log: a usable one before one of a failed judge call, then the one committed last."""
+    order = F.struct((F.col("avg_score") > 0).alias("usable"), COMMIT)
+    names = [c for c in log.columns if c not in (key, RUN, BATCH, COMMIT)]
     best = log.groupBy(key).agg(F.max_by(F.struct(*names), order).alias("best"))
     return best.select(key, "best.*")
 
 
 def run_report(judged: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Pass rate by category, rewritten as rows arrive.
+    """Pass rate by category, published anew as rows arrive; read it by ``manifest.read_published``.
 
-    The state is one row per category however many examples arrive.
+    The state is one row per category however many examples arrive. A reader
+    finds the report of one batch or of the next, never an empty place.
     """
     def publish(report: DataFrame, batch_id: int) -> None:
-        report.write.mode("overwrite").parquet(path)
+        manifest.publish(report, path, f"report-{batch_id}")
 
     return (
         pass_rate_by_category(judged)

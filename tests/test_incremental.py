@@ -12,7 +12,9 @@ from corpusloom.operators import judging
 from corpusloom.operators import responses as R
 from corpusloom.plans.calling import call_rounds
 from corpusloom.session import work_dir
+from corpusloom.sources import manifest
 from corpusloom.streaming import incremental as I
+from corpusloom.streaming import log as L
 
 LONG = "x" * 201
 RAW = "call_id string, raw string, attempt int"
@@ -43,7 +45,7 @@ def both(text):
 def run(spark, path, log, checkpoint):
     arriving = spark.readStream.schema(RAW).json(path)
     I.run_generation(arriving, I.first_records, log, checkpoint, RECORDS, "call_id").awaitTermination()
-    return I.read_log(spark, log, RECORDS)
+    return L.read_log(spark, log, RECORDS)
 
 
 def test_resume_reads_new_files_only(spark, inbox):
@@ -76,24 +78,24 @@ def test_two_answers_in_one_batch(spark, inbox):
 
 def test_replayed_batch_changes_nothing(spark):
     log = work_dir(spark, "log")
-    I.open_log(spark, log, RECORDS)
+    L.open_log(spark, log, RECORDS)
     rows = frame(spark, RECORDS, ("a", 0, "i", "", "o", "{}"), ("a", 1, "i", "", "o", "{}"), ("b", 0, "i", "", "o", "{}"))
     for run_id, batch_id in (("r", 0), ("r", 0), ("r", 1), ("s", 0), ("s", 0), ("r", 0)):
-        I.append_batch(rows, batch_id, log, RECORDS, "call_id", run=run_id)
-    got = I.read_log(spark, log, RECORDS).collect()
+        L.append_batch(rows, batch_id, log, RECORDS, "call_id", run=run_id)
+    got = L.read_log(spark, log, RECORDS).collect()
     assert sorted((r["call_id"], r["pos"], r["run_id"], r["batch_id"]) for r in got) == [("a", 0, "r", 0), ("a", 1, "r", 0), ("b", 0, "r", 0)]
 
 
 def test_judge_errors_stay_open(spark):
     log = work_dir(spark, "verdicts")
-    I.open_log(spark, log, VERDICTS)
+    L.open_log(spark, log, VERDICTS)
     zero = {s: F.lit(0.0) for s in (*judging.SCORES, "avg_score")}
     failed = frame(spark, "content_key string", ("k",)).withColumns(zero | {"verdict": F.lit("reject"), "reason": F.lit("error")})
-    I.append_batch(failed, 0, log, VERDICTS, "content_key", done=judging.resumable)
+    L.append_batch(failed, 0, log, VERDICTS, "content_key", done=judging.resumable)
     good = failed.withColumn("avg_score", F.lit(4.0))
     for batch_id in (1, 2):
-        I.append_batch(good, batch_id, log, VERDICTS, "content_key", done=judging.resumable)
-    rows = I.settled_verdicts(I.read_log(spark, log, VERDICTS)).collect()
+        L.append_batch(good, batch_id, log, VERDICTS, "content_key", done=judging.resumable)
+    rows = I.settled_verdicts(L.read_log(spark, log, VERDICTS)).collect()
     assert [(r["content_key"], r["avg_score"]) for r in rows] == [("k", 4.0)]
 
 
@@ -103,7 +105,7 @@ def test_running_report_covers_all_batches(spark):
 
     def run():
         I.run_report(spark.readStream.schema(schema).json(source), out, checkpoint).awaitTermination()
-        return {tuple(r) for r in spark.read.parquet(out).collect()}
+        return {tuple(r) for r in manifest.read_published(spark, out).collect()}
 
     frame(spark, schema, ("a", "accept"), (None, "reject")).write.mode("append").json(source)
     assert run() == {("a", 1, 0, 100.0), ("unknown", 0, 1, 0.0)}
