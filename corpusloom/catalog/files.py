@@ -12,7 +12,7 @@ from corpusloom.operators import judging, reports
 from corpusloom.operators.responses import OBJECT_ATTEMPTS
 from corpusloom.plans import judging_flow
 from corpusloom.session import stage, work_dir
-from corpusloom.sources import jsonl
+from corpusloom.sources import calls, jsonl
 
 SCHEMA = jsonl.GENERATED
 
@@ -146,14 +146,14 @@ def rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Written once, rewritten for half of the calls, the second write run twice."""
+    """Written once, rewritten for half of the calls, the second write run twice, with buckets that are split meanwhile."""
     path = work_dir(spark, "calls")
     rows = fx.examples(spark, sf_dir).select("doc_id", F.concat(F.lit("MIG-"), "doc_id").alias("call_id"), F.lit(1).alias("version"))
-    jsonl.overwrite_calls(rows, path)
+    calls.overwrite_calls(rows, path, bucket_rows=1_000)
     again = rows.where("doc_id % 2 = 0").withColumn("version", F.lit(2))
-    jsonl.overwrite_calls(again, path)
-    jsonl.overwrite_calls(again, path)
-    stored = spark.read.schema("doc_id long, version int, call_id string").parquet(path)
+    calls.overwrite_calls(again, path, bucket_rows=1_000)
+    calls.overwrite_calls(again, path, bucket_rows=700)
+    stored = calls.read_calls(spark, path)
     return stored.groupBy("call_id").agg(F.count(F.lit(1)).alias("n"), F.max("version").cast("long").alias("version"))
 
 

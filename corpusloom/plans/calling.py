@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,33 +40,37 @@ def call_rounds(
     first = _next_round(plan.sparkSession, path)
     for number, prompt in enumerate(prompts, first):
         log = read_log(plan.sparkSession, f"{path}/results", schema)
-        todo = remaining_work(plan, log, key, unique=True)
+        todo = remaining_work(plan, log, key, unique=True).select(key, prompt)
         answers = _answers(todo, fn, key, prompt, tasks, f"{path}/answers/round={number}", slices)
         append_batch(accept(answers), number, f"{path}/results", schema, key, run="rounds")
-        plan.sparkSession.range(number, number + 1, 1, 1).write.mode("append").parquet(f"{path}/rounds")
+        manifest.put_text(plan.sparkSession, f"{path}/rounds/{number:06d}", "")
     return read_log(plan.sparkSession, f"{path}/results", schema)
 
 
 def _next_round(spark: SparkSession, path: str) -> int:
     """The round to go on with: the one behind the last that was finished, with results or without."""
-    try:
-        return spark.read.parquet(f"{path}/rounds").agg(F.max("id")).first()[0] + 1
-    except AnalysisException:
-        return 0
+    return max((int(n) + 1 for n in manifest.names_in(spark, f"{path}/rounds") if n.isdigit()), default=0)
 
 
 def _answers(
     todo: DataFrame, fn: Callable[[pd.Series], pd.Series], key: str, prompt: str, tasks: int | None, path: str, slices: int
 ) -> DataFrame:
-    """(key, raw) of a round, slice by slice; slices that were written whole are not asked for again."""
+    """(key, raw) of a round, slice by slice; slices that were written to their end are not asked for again.
+
+    What is to be asked is found out once a round, and written in slices.
+    """
     spark = todo.sparkSession
-    part = F.pmod(F.xxhash64(key), F.lit(slices))
+    cut = todo.withColumn("_slice", F.pmod(F.xxhash64(key), F.lit(slices)).cast("int"))
+    asked = _once(cut, f"{path}/todo", "_slice")
     done = None
     for k in range(slices):
-        place = f"{path}/slice={k}"
-        try:
-            stored = spark.read.parquet(f"{place}/whole")
-        except AnalysisException:  # not asked yet, or stopped on the way
-            stored = stage(infer(todo.where(part == k), fn, key, prompt, tasks), f"{place}/whole")
+        stored = _once(infer(asked.where(F.col("_slice") == k), fn, key, prompt, tasks), f"{path}/slice={k}/whole")
         done = stored if done is None else done.unionByName(stored)
     return done
+
+
+def _once(df: DataFrame, path: str, *partition_by: str) -> DataFrame:
+    """The table at ``path``, written first unless it was written to its end before."""
+    if manifest.is_whole(df.sparkSession, path):
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+    return stage(df, path, *partition_by)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,10 +9,8 @@ from pyspark.sql import types as T
 from corpusloom.functions import strict_json as J
 from corpusloom.functions.text import is_blank
 from corpusloom.operators.judging import accepted, nest_verdict, rejected, without_verdict
-from corpusloom.session import stage, work_dir
 
 ORIGIN = "_source_file"
-BUCKET, CALL_BUCKETS = "_bucket", 64
 
 
 def strings(*names: str) -> T.StructType:
@@ -129,23 +126,3 @@ def write_rejects(judged: DataFrame, path: str) -> None:
     rows = nest_verdict(rejected(judged))
     public = [c for c in rows.columns if not c.startswith("_")]
     rows.select(*public, "_qc").write.mode("overwrite").json(path, ignoreNullFields=False)
-
-
-def overwrite_calls(records: DataFrame, path: str, call: str = "call_id", buckets: int = CALL_BUCKETS) -> None:
-    """Replace the records of exactly the calls in ``records``.
-
-    Calls share ``buckets`` folders by a hash of their id, so the number of
-    folders does not grow. Only folders that a call of this run belongs to are
-    written anew: their other calls stay as they are, and writing the same call
-    again leaves one copy, whichever point an earlier run stopped at.
-    """
-    spark = records.sparkSession
-    new = records.withColumn(BUCKET, F.pmod(F.xxhash64(call), F.lit(buckets)).cast("int"))
-    try:
-        old = spark.read.schema(new.schema).parquet(path)
-    except AnalysisException:  # the first run
-        old = spark.createDataFrame([], new.schema)
-    touched, replaced = new.select(BUCKET).distinct(), new.select(call).distinct()
-    kept = old.join(touched, BUCKET, "left_semi").join(replaced, call, "left_anti").select(*new.columns)
-    rows = stage(kept.unionByName(new), work_dir(spark, "calls"))
-    rows.hint("rebalance", BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path)

@@ -95,12 +95,23 @@ def new_folder(name: str) -> str:
 
 
 def clean_up(spark: SparkSession, path: str, keep: int = KEPT_VERSIONS) -> None:
-    """Delete folders and versions that the last ``keep`` versions don't need; for the job that writes."""
+    """Delete folders and versions that the last ``keep`` versions don't need; for the job that writes.
+
+    A version may name a folder or folders inside one, ``data/x`` or ``data/x/bucket=1``.
+    """
     numbers = _numbers(spark, path)
-    live = {f for n in numbers[-keep:] for f in _content(spark, path, n)["folders"]}
+    live: dict[str, set[str]] = {}  # folders inside a folder of the data set
+    for n in numbers[-keep:]:
+        for folder in _content(spark, path, n)["folders"]:
+            _, name, *inner = folder.split("/")
+            live.setdefault(name, set()).update(inner)
     for name in names_in(spark, f"{path}/{DATA}"):
-        if f"{DATA}/{name}" not in live:
+        if name not in live:
             remove(spark, f"{path}/{DATA}/{name}")
+        elif live[name]:
+            for inner in names_in(spark, f"{path}/{DATA}/{name}"):
+                if "=" in inner and inner not in live[name]:
+                    remove(spark, f"{path}/{DATA}/{name}/{inner}")
     for n in numbers[:-keep]:
         remove(spark, f"{path}/{VERSIONS}/{n:020d}.json")
 

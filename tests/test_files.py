@@ -75,15 +75,6 @@ def test_by_origin_roundtrip(spark):
     assert {(r["instruction"], r["_source_file"]) for r in back.collect()} == {("a\nb", "x y.jsonl"), ("é", "z.jsonl")}
 
 
-def test_overwrite_replaces_only_its_calls(spark):
-    path = session.work_dir(spark, "calls")
-    first = frame(spark, "v int, call_id string", (1, "a"), (1, "a"), (1, "b"))
-    jsonl.overwrite_calls(first, path)
-    for _ in range(2):
-        jsonl.overwrite_calls(frame(spark, "v int, call_id string", (2, "a")), path)
-    assert sorted((r["call_id"], r["v"]) for r in spark.read.parquet(path).collect()) == [("a", 2), ("b", 1)]
-
-
 def test_shared_folder_comes_from_the_session(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     assert session.work_dir(spark, "x").startswith(root)

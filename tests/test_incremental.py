@@ -151,6 +151,18 @@ def test_a_stopped_round_asks_no_stored_key_again(spark):
     assert all((by[k] == "one") == (where[k] < where[7]) for k in by)
 
 
+def test_a_broken_slice_is_asked_again(spark):
+    """A slice without the mark of its end, and with one of its keys in it, is no answer."""
+    plan = spark.range(40).select(F.col("id").alias("k"), F.concat(F.lit("p"), "id").alias("p"))
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("raw", T.StringType())])
+    path = work_dir(spark, "rounds")
+    broken = plan.where(F.pmod(F.xxhash64("k"), F.lit(8)) == 3).limit(1).select("k", F.lit("broken").alias("raw"))
+    broken.write.parquet(f"{path}/answers/round=0/slice=3/whole")
+    manifest.remove(spark, f"{path}/answers/round=0/slice=3/whole/_SUCCESS")
+    log = call_rounds(plan, lambda prompts: prompts + "!", lambda a: a, path, schema, "k", ("p",), slices=8).collect()
+    assert {r["k"]: r["raw"] for r in log} == {k: f"p{k}!" for k in range(40)}
+
+
 def test_infer(spark):
     def model(prompts: pd.Series) -> pd.Series:
         return prompts.map(lambda p: None if p == "fail" else p + "!")
