@@ -20,8 +20,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
-    """A table of texts, as it is scanned."""
-    return table(spark, sf_dir, name)
+    """A table of texts. One with fewer splits than there are cores, as the small test tables are, is dealt out."""
+    rows = table(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
 
 
 def first_line(text: Column) -> Column:

@@ -11,6 +11,7 @@ from corpusloom.functions.text import round_half_even
 from corpusloom.operators.planning import remaining_work
 from corpusloom.operators.responses import OBJECT_ATTEMPTS, SCORES, first_acceptable, up_to, verdict_attempts
 from corpusloom.operators.skew import lookup_join
+from corpusloom.operators.winners import winning_rows
 
 # The acceptance rule and the text of a missing verdict.
 MIN_SCORE = 3
@@ -38,15 +39,13 @@ def with_content_key(df: DataFrame) -> DataFrame:
 def judge_work(examples: DataFrame, judged: DataFrame | None = None) -> DataFrame:
     """One row per distinct content without a usable verdict, and its copy count.
 
-    Copies combine inside each task ahead of the shuffle, so text with very
-    many copies is judged once and never gathers anywhere.
+    Copies combine by their keys alone, inside each task ahead of the shuffle; the
+    texts of one of them are fetched afterwards. Examples with a usable verdict leave first.
     """
-    work = examples.groupBy("content_key").agg(
-        F.any_value("instruction").alias("instruction"), F.any_value("output").alias("output"), F.count(F.lit(1)).alias("copies")
-    )
+    rows = examples.select("content_key", "instruction", "output")
     if judged is not None:
-        work = remaining_work(work, resumable(judged), "content_key", unique=True)
-    return work
+        rows = remaining_work(rows, resumable(judged), "content_key")
+    return winning_rows(rows, ["content_key"], count="copies")
 
 
 def enforce(df: DataFrame) -> DataFrame:

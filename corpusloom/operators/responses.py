@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import strict_json as J
 from corpusloom.functions.text import SPACE_CHARS, WS, is_blank, strip, with_widest_span
+from corpusloom.operators.winners import winning_rows
 
 # The fence, gates and attempt limits.
 FENCE = "```"
@@ -247,7 +248,8 @@ def verdict_attempts(df: DataFrame, raw: str = "raw") -> DataFrame:
 
 
 def attempt_order(stage: Column, attempt: Column) -> Column:
-    return F.struct(stage.alias("stage"), attempt.alias("attempt"))
+    """Attempts of a stage before those of the next, as one number."""
+    return stage.cast("long") * F.lit(1 << 32) + attempt.cast("long")
 
 
 def up_to(attempts: DataFrame, most: int | None, attempt: str = "attempt") -> DataFrame:
@@ -258,11 +260,11 @@ def up_to(attempts: DataFrame, most: int | None, attempt: str = "attempt") -> Da
 def first_acceptable(attempts: DataFrame, keys: list[str], order: Column, value: str, ok: Column) -> DataFrame:
     """Per key the value of its lowest attempt that passes the gate.
 
-    Failed attempts leave through a generator ahead of the shuffle; the rest
-    combine inside each task, so a key with very many attempts stays spread.
+    Failed attempts leave through a generator. The others are written once, the
+    lowest of a key is found without its value, and only that value is fetched.
     Keys without a passing attempt are absent and stay "remaining".
     """
     passing = attempts.select(
-        *keys, F.inline(F.when(ok, F.array(F.struct(order.alias("_order"), F.col(value).alias(value)))))
+        *keys, F.inline(F.when(ok, F.array(F.struct(order.cast("long").alias("_attempt"), F.col(value).alias(value)))))
     )
-    return passing.groupBy(*keys).agg(F.min_by(value, "_order").alias(value))
+    return winning_rows(passing, keys, F.col("_attempt")).select(*keys, value)

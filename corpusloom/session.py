@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,9 +55,26 @@ def _local_root() -> str:
     return tempfile.mkdtemp(prefix="corpusloom-")
 
 
+_owner: ContextVar[str] = ContextVar("owner", default="")
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder; nothing is created yet."""
-    return f"{shared_root(spark)}/corpusloom/{name}-{uuid.uuid4().hex}"
+    return f"{shared_root(spark)}/corpusloom/{_owner.get()}{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def own_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside are deleted on leaving: for jobs whose results are written by then."""
+    name = f"own-{uuid.uuid4().hex}/"
+    token = _owner.set(_owner.get() + name)
+    place = f"{shared_root(spark)}/corpusloom/{_owner.get()}"
+    try:
+        yield
+    finally:
+        _owner.reset(token)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(place)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stage(df: DataFrame, path: str, *partition_by: str) -> DataFrame:

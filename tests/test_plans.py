@@ -6,7 +6,7 @@ import pytest
 
 from corpusloom import fixtures as fx
 from corpusloom.catalog import QUERIES
-from corpusloom.operators import judging, reports
+from corpusloom.operators import judging, reports, winners
 from corpusloom.operators.cleaning import fix_examples
 from corpusloom.operators.planning import cap_per_category
 from corpusloom.plans import judging_flow
@@ -23,11 +23,30 @@ def optimized(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
-@pytest.mark.parametrize("name", ["x2_json_records", "x12_first_ok", "x13_verdicts", "e3_batched"])
+@pytest.mark.parametrize("name", ["x2_json_records", "x13_verdicts"])
 def test_a_response_is_parsed_once(spark, name):
     assert optimized(QUERIES[name](spark, SF_DIR)).count("parseJson") == 1
 
 
+@pytest.mark.parametrize("name", ["x12_first_ok", "e3_batched", "e1_sectioned", "j5_resume"])
+def test_winners_are_found_by_narrow_columns(spark, monkeypatch, name):
+    """Texts are parsed on the way to one table; neither then nor later are they sorted or carried by an aggregation."""
+    plans = []
+    write = winners.stage
+
+    def spy(df, *more):
+        plans.append(df)
+        return write(df, *more)
+
+    monkeypatch.setattr(winners, "stage", spy)
+    plans.append(QUERIES[name](spark, SF_DIR))
+    assert len(plans) >= 2 and optimized(plans[-1]).count("parseJson") == 0
+    if name in ("x12_first_ok", "e3_batched"):
+        assert optimized(plans[0]).count("parseJson") == 1
+    for plan in map(physical, plans):
+        assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+
+
 def test_cap_limits_ahead_of_the_shuffle(spark):
     plan = physical(cap_per_category(fx.document_plan(spark, SF_DIR)))
     limits = [m.start() for m in re.finditer("WindowGroupLimit", plan)]
