@@ -156,8 +156,24 @@ def rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.select("doc_id", F.col("batch_id").alias("round"), "instruction", F.length("output").cast("long").alias("n"))
 
 
+def budgeted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages and a token limit per call, packed into tasks; the model tells what it was given."""
+    def model(calls: pd.DataFrame) -> pd.Series:
+        told = [f"{len(m)}:{m[-1]['role']}:{m[-1]['content'][:20]}:{n}" for m, n in zip(calls["messages"], calls["max_tokens"])]
+        return pd.Series(told)
+
+    docs = fx.table(spark, sf_dir, "documents")
+    plan = docs.select("doc_id", planning.envelope("You write.", F.col("text")).alias("messages"), (100 + F.col("n_chars") % 50).alias("max_tokens"))
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("raw", T.StringType())])
+    log = call_rounds(
+        plan, model, lambda answers: answers, work_dir(spark, "budget"), schema, "doc_id", ("messages",), slices=2,
+        answer_tokens="max_tokens", budget=50_000, in_flight=64,
+    )
+    return log.select("doc_id", "raw")
+
+
 QUERIES = {
-    "e1_sectioned": sectioned, "e1_strict": strict, "e3_batched": batched, "e3_open": batched_open, "u1_rounds": rounds,
+    "e1_sectioned": sectioned, "e1_strict": strict, "e3_batched": batched, "e3_open": batched_open, "u1_rounds": rounds, "u1_budget": budgeted,
     "e1_corpus": grid_corpus, "e1_shortfall": grid_shortfall, "e3_corpus": call_records, "e3_files": call_files, "e3_objects": call_objects,
 }
 
@@ -195,6 +211,7 @@ ORACLES = {
         SELECT split_part(text, chr(10), 1) AS instruction, text AS output, 'MIG-' || doc_id AS category, 'migration' AS type,
                lang AS extra, true AS keeps_null
         FROM documents WHERE n_chars > 200""",
+    "u1_budget": "SELECT doc_id, '2:user:' || left(text, 20) || ':' || (100 + n_chars % 50) AS raw FROM documents",
     "u1_rounds": """
         WITH p AS (SELECT doc_id, text AS topic, 54 + length(text) AS n FROM documents)
         SELECT doc_id, (n % 2)::BIGINT AS round,

@@ -24,6 +24,8 @@ FORMAT_REMINDER = (
 )
 
 CAP_SALTS = 64
+# Places of a category that a task unfolds at a time.
+GRID_PART = 1 << 16
 
 
 def numbered(df: DataFrame, order: str, name: str = "position") -> DataFrame:
@@ -49,8 +51,9 @@ def prompt_grid(
     ``categories``: category, max_tokens, generic_prompts, domain_template,
     variations. A category without variations has its generic prompts only.
     ``domains``: name, objects, context, examples. Of the domains only their
-    number reaches a category row; it unfolds into places, and each place looks
-    up its domain by position. Places beyond the cap never come into being.
+    number reaches a category row; it unfolds into places, GRID_PART of them in a
+    task, and each place looks up its domain by position. Places beyond the cap
+    never come into being.
     """
     base = F.size("generic_prompts").cast("long")
     generic = categories.select(
@@ -65,10 +68,13 @@ def prompt_grid(
     places = domains.agg(F.count(F.lit(1)).alias("n")).scalar() * kinds
     if per_category is not None:
         places = F.least(places, F.lit(per_category) - base)
-    unfolded = categories.where(F.size("variations") > 0).select(
-        "category", "max_tokens", "domain_template", "variations", base.alias("base"),
-        F.explode(F.when(places > 0, F.sequence(F.lit(0).cast("long"), places - 1))).alias("place"),
+    # in two steps, with the parts dealt out between them: a category with very many places is unfolded by many tasks
+    parts = categories.where(F.size("variations") > 0).select(
+        "category", "max_tokens", "domain_template", "variations", base.alias("base"), places.alias("places"),
     )
+    parts = parts.withColumn("part", F.explode(F.when(F.col("places") > 0, F.sequence(F.lit(0).cast("long"), F.col("places") - 1, F.lit(GRID_PART)))))
+    parts = parts.repartition(int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions")), "category", "part")
+    unfolded = parts.withColumn("place", F.explode(F.sequence("part", F.least(F.col("part") + GRID_PART, F.col("places")) - 1)))
     unfolded = unfolded.select(
         "category", "max_tokens", "domain_template", (F.col("base") + F.col("place")).alias("ordinal"),
         F.floor(F.col("place") / kinds).cast("long").alias("position"),

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.inference import infer
+from corpusloom.inference import infer, infer_packed, message_tokens
 from corpusloom.operators.planning import remaining_work
 from corpusloom.session import stage
 from corpusloom.sources import manifest
@@ -26,6 +26,9 @@ def call_rounds(
     prompts: Sequence[str],
     tasks: int | None = None,
     slices: int = 8,
+    answer_tokens: str | None = None,
+    budget: int | None = None,
+    in_flight: int | None = None,
 ) -> DataFrame:
     """Ask once per round for the keys still open; return the log of results.
 
@@ -35,13 +38,25 @@ def call_rounds(
     that fails. Answers are stored before they are parsed, a round in ``slices`` of
     its keys: what a stopped job has stored of a round is read when it is started
     anew on the same path, and only the slice it stopped in is asked again.
+
+    A column of messages may take the place of a prompt. ``answer_tokens`` names the column
+    of how many tokens an answer may have: ``fn`` then gets a frame of both, and with a
+    ``budget`` the calls of messages are packed into tasks of about so many tokens.
     """
     open_log(plan.sparkSession, f"{path}/results", schema)
     first = _next_round(plan.sparkSession, path)
     for number, prompt in enumerate(prompts, first):
         log = read_log(plan.sparkSession, f"{path}/results", schema)
-        todo = remaining_work(plan, log, key, unique=True).select(key, prompt)
-        answers = _answers(todo, fn, key, prompt, tasks, f"{path}/answers/round={number}", slices)
+        names = [prompt] if answer_tokens is None else [prompt, answer_tokens]
+        todo = remaining_work(plan, log, key, unique=True).select(key, *names)
+
+        def ask(rows: DataFrame) -> DataFrame:
+            asked = prompt if answer_tokens is None else names
+            if budget is None:
+                return infer(rows, fn, key, asked, tasks, in_flight)
+            return infer_packed(rows, fn, key, asked, message_tokens(prompt, answer_tokens), budget, in_flight)
+
+        answers = _answers(todo, ask, key, f"{path}/answers/round={number}", slices)
         append_batch(accept(answers), number, f"{path}/results", schema, key, run="rounds")
         manifest.put_text(plan.sparkSession, f"{path}/rounds/{number:06d}", "")
     return read_log(plan.sparkSession, f"{path}/results", schema)
@@ -52,9 +67,7 @@ def _next_round(spark: SparkSession, path: str) -> int:
     return max((int(n) + 1 for n in manifest.names_in(spark, f"{path}/rounds") if n.isdigit()), default=0)
 
 
-def _answers(
-    todo: DataFrame, fn: Callable[[pd.Series], pd.Series], key: str, prompt: str, tasks: int | None, path: str, slices: int
-) -> DataFrame:
+def _answers(todo: DataFrame, ask: Callable[[DataFrame], DataFrame], key: str, path: str, slices: int) -> DataFrame:
     """(key, raw) of a round, slice by slice; slices that were written to their end are not asked for again.
 
     What is to be asked is found out once a round, and written in slices.
@@ -64,7 +77,7 @@ def _answers(
     asked = _once(cut, f"{path}/todo", "_slice")
     done = None
     for k in range(slices):
-        stored = _once(infer(asked.where(F.col("_slice") == k), fn, key, prompt, tasks), f"{path}/slice={k}/whole")
+        stored = _once(ask(asked.where(F.col("_slice") == k).drop("_slice")), f"{path}/slice={k}/whole")
         done = stored if done is None else done.unionByName(stored)
     return done
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.operators import judging, reports
 from corpusloom.operators.planning import envelope, judge_prompt, remaining_work
-from corpusloom.session import stage
+from corpusloom.session import own_tables, stage
 from corpusloom.sources import jsonl
 
 
@@ -59,7 +59,8 @@ def judge_corpus(
     The join runs once. Its result is a table partitioned by verdict: each sink
     reads its own partition and the reports read three narrow columns.
     """
-    judged = stage(judged_examples(examples, responses, earlier, max_attempts), f"{out}/judged", "verdict")
+    with own_tables(examples.sparkSession):
+        judged = stage(judged_examples(examples, responses, earlier, max_attempts), f"{out}/judged", "verdict")
     jsonl.write_clean(judged, f"{out}/clean")
     jsonl.write_rejects(judged, f"{out}/rejected")
     jsonl.write_merged(judging.without_verdict(judging.accepted(judged)), f"{out}/final")
@@ -80,8 +81,9 @@ def judge_records(
 
     Rejected records carry their verdict under ``_qc``.
     """
-    rows = judged_examples(records, responses, earlier, max_attempts).drop("instruction", "input", "output", "content_key")
-    judged = stage(rows, f"{out}/judged", "verdict")
+    with own_tables(records.sparkSession):
+        rows = judged_examples(records, responses, earlier, max_attempts).drop("instruction", "input", "output", "content_key")
+        judged = stage(rows, f"{out}/judged", "verdict")
     jsonl.write_records(judging.accepted(judged), f"{out}/clean", jsonl.ORIGIN)
     jsonl.write_records(judging.accepted(judged), f"{out}/final")
     members = F.try_variant_get(F.parse_json("record"), "$", "map<string,variant>")

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.session import stage, work_dir
+from corpusloom.session import own_tables, stage, work_dir
 from corpusloom.sources import manifest
 
 BUCKET = "_bucket"
@@ -44,6 +44,11 @@ def overwrite_calls(records: DataFrame, path: str, call: str = "call_id", bucket
     Writing the same call again leaves one copy. Columns that only the old or only
     the new records have are null in the others. A null id is a call like any other.
     """
+    with own_tables(records.sparkSession):
+        _overwrite(records, path, call, bucket_rows)
+
+
+def _overwrite(records: DataFrame, path: str, call: str, bucket_rows: int) -> None:
     spark = records.sparkSession
     number, content = manifest.latest(spark, path)
     old, held = content.get("buckets", {}), content.get("count", 1)

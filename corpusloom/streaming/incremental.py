@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from corpusloom.operators.judging import resumable, verdicts_from_responses
 from corpusloom.operators.reports import pass_rate_by_category
 from corpusloom.operators.responses import batch_attempts, explode_records, first_acceptable, open_record
+from corpusloom.session import own_tables
 from corpusloom.sources import manifest
 from corpusloom.streaming.log import BATCH, COMMIT, RUN, append_batch, open_log
 
@@ -44,10 +45,13 @@ def run_generation(
     spark = responses.sparkSession
     open_log(spark, path, schema)
     run = run_of(spark, checkpoint)
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        with own_tables(spark):
+            append_batch(parse(batch), batch_id, path, schema, key, run=run)
+
     return (
-        responses.writeStream.foreachBatch(
-            lambda batch, batch_id: append_batch(parse(batch), batch_id, path, schema, key, run=run)
-        )
+        responses.writeStream.foreachBatch(step)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -70,8 +74,9 @@ def run_judging(
     run = run_of(spark, checkpoint)
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        verdicts = verdicts_from_responses(batch, max_attempts=max_attempts)
-        append_batch(verdicts, batch_id, path, schema, "content_key", done=resumable, run=run)
+        with own_tables(spark):
+            verdicts = verdicts_from_responses(batch, max_attempts=max_attempts)
+            append_batch(verdicts, batch_id, path, schema, "content_key", done=resumable, run=run)
 
     return (
         responses.writeStream.foreachBatch(step)

@@ -3,11 +3,12 @@ import json
 import pandas as pd
 import pytest
 from helpers import frame
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.catalog.incremental import RECORDS, VERDICTS
-from corpusloom.inference import infer
+from corpusloom.inference import infer, infer_packed, message_tokens, with_bins
 from corpusloom.operators import judging
 from corpusloom.operators import responses as R
 from corpusloom.plans.calling import call_rounds
@@ -169,3 +170,33 @@ def test_infer(spark):
 
     df = frame(spark, "id int, prompt string", (1, "a"), (2, "fail"))
     assert {r["id"]: r["raw"] for r in infer(df, model, "id", tasks=2).collect()} == {1: "a!", 2: None}
+
+
+def test_calls_are_packed_by_tokens(spark):
+    """Every task has about the budget's tokens, whichever keys are dear; a call over the budget stands alone."""
+    rows = spark.range(400).select(
+        F.col("id").alias("k"), F.array(F.struct(F.lit("user").alias("role"), F.repeat(F.lit("x"), (F.when(F.col("id") < 40, 400).otherwise(8)).cast("int")).alias("content"))).alias("messages"),
+        F.when(F.col("id") == 200, 5000).when(F.col("id") % 7 == 0, None).otherwise(10).alias("max_tokens"),
+    )
+    cost = message_tokens("messages", "max_tokens")
+    binned, n = with_bins(rows, "k", cost, 1000)
+    sums = {r["_bin"]: (r["t"], r["n"], r["most"]) for r in binned.groupBy("_bin").agg(F.sum(cost).alias("t"), F.count(F.lit(1)).alias("n"), F.max(cost).alias("most")).collect()}
+    assert sum(x[1] for x in sums.values()) == 400 and all(t < 1000 + most for t, _, most in sums.values())
+    assert n == max(sums) + 1
+
+    def model(calls):
+        assert len(calls) <= 16
+        part = TaskContext.get().partitionId()
+        return calls["max_tokens"].map(lambda t: f"{part} {t}")
+
+    got = infer_packed(rows, model, "k", ("messages", "max_tokens"), cost, 1000, in_flight=16).collect()
+    where = {r["k"]: r["raw"].split()[0] for r in got}
+    assert len(got) == 400 and len(set(where.values())) >= len(sums)
+    # no task has the calls of two bins
+    bins = {r["k"]: r["_bin"] for r in binned.select("k", "_bin").collect()}
+    assert len({(where[k], bins[k]) for k in where}) == len(set(where.values()))
+
+
+def test_packing_nothing(spark):
+    none = spark.createDataFrame([], "k long, messages array<struct<role:string,content:string>>, max_tokens int")
+    assert infer_packed(none, lambda c: c["max_tokens"].astype(str), "k", ("messages", "max_tokens"), message_tokens("messages", "max_tokens"), 10).count() == 0

@@ -131,3 +131,17 @@ def test_judge_prompt_cuts_by_characters(spark):
 def test_envelope(spark):
     got = evaluate(spark, [" p\n"], lambda c: P.envelope("s", c, suffix="!", strip_prompt=True))[0]
     assert [tuple(m) for m in got] == [("system", "s"), ("user", "p!")]
+
+
+def test_places_of_one_category_are_unfolded_by_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(P, "GRID_PART", 100)
+    categories = frame(
+        spark, "category string, max_tokens long, generic_prompts array<string>, domain_template string, variations array<string>",
+        ("A", 1, ["g"], "{domain_name} {variation}", ["u", "v"]),
+    )
+    domains = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 4, "0").alias("name"), *[F.lit("x").alias(c) for c in ("objects", "context", "examples")])
+    grid = P.prompt_grid(categories, domains)
+    got = {r["ordinal"]: r["prompt"] for r in grid.collect()}
+    assert got == {0: "g"} | {1 + 2 * d + v: f"{d:04d} {'uv'[v]}" for d in range(1000) for v in (0, 1)}
+    unfolding = P.prompt_grid(categories, domains)._jdf.queryExecution().optimizedPlan().toString()
+    assert unfolding.count("Generate explode") == 2 and "RepartitionByExpression" in unfolding
