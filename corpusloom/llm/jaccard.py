@@ -223,9 +223,10 @@ def near_components(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = PERC
     sure = _verified(docs, sure.select(F.col("head.doc_id").alias("a"), F.col("doc_id").alias("b")).distinct(), k, percent)
     sure = stage(sure, work_dir(spark, "sure-links"))
     known = stage(graph.components(sure), work_dir(spark, "sure-components"))
-
-    rest = _verified(docs, _across(shared, known, percent), k, percent)
-    found = stage(graph.components(sure.union(rest)), work_dir(spark, "components"))
+    known, rows = _more_heads(docs, shared, known, k, percent)
+    rest = _verified(docs, _across(rows, percent), k, percent)
+    links = known.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")).union(rest)
+    found = stage(graph.components(links), work_dir(spark, "components"))
     placed = classes.join(found, classes["one"] == found["node"], "left")
     placed = stage(
         placed.select("hash1", "hash2", F.col("n").alias("_n"), F.coalesce("component", "one").alias("component_id")),
@@ -259,20 +260,56 @@ def _shared(lists: DataFrame) -> DataFrame:
     return stage(entries.join(stage(heads, work_dir(spark, "heads")), "shingle"), work_dir(spark, "shared"))
 
 
-def _across(shared: DataFrame, known: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different known components that meet on lists often enough.
-
-    On each list the sets outside the component of its first set are compared
-    with all others; lists within one component have none.
-    """
+def _contested(shared: DataFrame, known: DataFrame) -> DataFrame:
+    """The rows of the lists that hold sets of two components or more, each with its component and that of the list's head."""
     spark = shared.sparkSession
     of = lambda c: known.select(F.col("node").alias(c), F.col("component").alias(f"{c}_in"))
-    rows = shared.withColumn("first", F.col("head.doc_id")).join(of("doc_id"), "doc_id", "left").join(of("first"), "first", "left")
-    rows = rows.select(
+    rows = shared.withColumn("first", F.col("head.doc_id")).drop("head")
+    rows = rows.join(of("doc_id"), "doc_id", "left").join(of("first"), "first", "left").select(
         "shingle", "doc_id", "n", *_FACTS, "single", F.coalesce("doc_id_in", "doc_id").alias("inside"),
         F.coalesce("first_in", "first").alias("first_inside"),
     )
     rows = stage(rows, work_dir(spark, "placed-lists"))
+    lists = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("size"), F.count_if(F.col("inside") != F.col("first_inside")).alias("others"))
+    lists = stage(lists.where("others > 0"), work_dir(spark, "contested"))
+    return stage(rows.join(lists, "shingle"), work_dir(spark, "contested-lists"))
+
+
+def _more_heads(docs: DataFrame, shared: DataFrame, known: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Components after further rounds of heads, and the rows that are contested still.
+
+    Of each contested list another set, from outside the component of its head, is compared
+    with all sets of other components: a round costs the length of the lists. Near copies
+    that the first heads left apart come together so, before all pairs that are left are
+    looked at. A round is the last one if the pairs to look at have not become fewer by a quarter.
+    """
+    spark, left, number = docs.sparkSession, None, 0
+    while True:
+        rows = _contested(shared, known)
+        size = rows.agg(F.count(F.lit(1)).alias("rows"), F.sum("others").alias("pairs")).first()
+        pairs = size["pairs"] or 0
+        if pairs <= 2 * size["rows"] or (left is not None and pairs > 0.75 * left):
+            return known, rows
+        left, number = pairs, number + 1
+        one = F.struct("doc_id", "n", *_FACTS, "single", "inside")
+        heads = rows.where("inside <> first_inside").groupBy("shingle").agg(
+            F.min(F.struct(F.xxhash64("doc_id", F.lit(number)).alias("turn"), one.alias("set"))).alias("other")
+        )
+        heads = stage(heads.select("shingle", F.col("other.set").alias("other")), work_dir(spark, "other-heads"))
+        met = rows.join(heads, "shingle").where("inside <> other.inside")
+        met = met.where(_may_link(lambda c: F.col(f"other.{c}"), F.col, percent))
+        more = _verified(docs, met.select(F.col("other.doc_id").alias("a"), F.col("doc_id").alias("b")).distinct(), k, percent)
+        links = known.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)
+        known = stage(graph.components(links), work_dir(spark, "more-components"))
+
+
+def _across(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different known components that meet on lists often enough.
+
+    On each list the sets outside the component of its first set are compared
+    with all others; lists within one component have none.
+    """
+    spark = rows.sparkSession
     one = F.struct("doc_id", "n", *_FACTS, "single", "inside")
     other = stage(rows.where("inside <> first_inside").select("shingle", one.alias("a")), work_dir(spark, "other-lists"))
     met = other.join(rows.select("shingle", one.alias("b"), "first_inside"), "shingle")
