@@ -36,6 +36,8 @@ SHINGLE_WORDS, PERCENT = 5, 80
 # Long lists are those of LONG_LIST documents and more; their shingles are sent to every task. The length grows with
 # the corpus, so that there are at most MAX_LONG of them.
 LONG_LIST, MAX_LONG = 64, 1 << 16
+# Listed shingles by which two sets on a list know that they have met on another one.
+FIRSTS = 8
 # Ids that may be sent to every task to pick their texts; more of them are joined instead.
 MAX_SENT_IDS = 1_000_000
 
@@ -224,7 +226,7 @@ def near_components(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = PERC
     sure = stage(sure, work_dir(spark, "sure-links"))
     known = stage(graph.components(sure), work_dir(spark, "sure-components"))
     known, rows = _more_heads(docs, shared, known, k, percent)
-    rest = _verified(docs, _across(rows, percent), k, percent)
+    rest = _verified(docs, _across(rows, lists, percent), k, percent)
     links = known.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")).union(rest)
     found = stage(graph.components(links), work_dir(spark, "components"))
     placed = classes.join(found, classes["one"] == found["node"], "left")
@@ -303,22 +305,28 @@ def _more_heads(docs: DataFrame, shared: DataFrame, known: DataFrame, k: int, pe
         known = stage(graph.components(links), work_dir(spark, "more-components"))
 
 
-def _across(rows: DataFrame, percent: int) -> DataFrame:
+def _across(rows: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of different known components that meet on lists often enough.
 
     On each list the sets outside the component of its first set are compared
-    with all others; lists within one component have none.
+    with all others; lists within one component have none. Each set brings the
+    FIRSTS smallest of its listed shingles along: where two sets share one that is
+    smaller than the list's, they have met there, and are no pair here once more.
     """
     spark = rows.sparkSession
-    one = F.struct("doc_id", "n", *_FACTS, "single", "inside")
+    firsts = lists.select("doc_id", F.slice(F.array_sort("listed"), 1, FIRSTS).alias("firsts"))
+    rows = stage(rows.join(firsts, "doc_id"), work_dir(spark, "last-lists"))
+    one = F.struct("doc_id", "n", *_FACTS, "single", "inside", "firsts")
     other = stage(rows.where("inside <> first_inside").select("shingle", one.alias("a")), work_dir(spark, "other-lists"))
     met = other.join(rows.select("shingle", one.alias("b"), "first_inside"), "shingle")
     met = met.where("a.inside <> b.inside and (b.inside = first_inside or a.doc_id < b.doc_id)")
     met = met.where(_may_link(lambda c: F.col(f"a.{c}"), lambda c: F.col(f"b.{c}"), percent))
-    lower = F.col("a.doc_id") < F.col("b.doc_id")
-    met = met.select(F.when(lower, F.col("a")).otherwise(F.col("b")).alias("a"), F.when(lower, F.col("b")).otherwise(F.col("a")).alias("b"))
-    met = met.select(F.col("a.doc_id").alias("a"), F.col("b.doc_id").alias("b"), F.col("a.n").alias("n_a"), F.col("b.n").alias("n_b"))
-    counted = met.groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("met"))
+    met = met.where("coalesce(array_min(array_intersect(a.firsts, b.firsts)), shingle) >= shingle")
+    pair = met.select(F.least("a.doc_id", "b.doc_id").alias("a"), F.greatest("a.doc_id", "b.doc_id").alias("b")).distinct()
+    pair = stage(pair, work_dir(spark, "met"))
+    for c in ("a", "b"):
+        pair = pair.join(lists.select(F.col("doc_id").alias(c), F.col("n").alias(f"n_{c}"), F.col("listed").alias(f"listed_{c}")), c)
+    counted = pair.withColumn("met", F.size(F.array_intersect("listed_a", "listed_b")))
     least = _common_least(F.col("n_a"), F.col("n_b"), percent)
 
     def spared(n: Column) -> Column:
