@@ -13,7 +13,9 @@ search.
 
 Equal sets are one class from the start. Links first go from each list's first
 set to its others; only sets of different components are compared further, so
-a list of thousands of near copies costs its length, not its square.
+a list of thousands of near copies costs its length, not its square. Two sets that
+share many lists are a pair on few of them; candidates are chosen by listed
+shingles, as in a prefix join, and merging and probing decide on whole sets.
 
 Texts without words have no shingles and link nothing; with fewer words than a
 shingle has, the whole sequence is one. A null text is an empty one; a row
@@ -222,11 +224,11 @@ def near_components(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = PERC
 
     ok = _may_link(F.col, lambda c: F.col(f"head.{c}"), percent)
     sure = shared.where(F.col("doc_id") != F.col("head.doc_id")).where(ok)
-    sure = _verified(docs, sure.select(F.col("head.doc_id").alias("a"), F.col("doc_id").alias("b")).distinct(), k, percent)
+    sure = sure.select(F.col("head.doc_id").alias("a"), F.col("doc_id").alias("b")).distinct()
+    sure = _verified(docs, _meeting(sure, lists, percent), k, percent)
     sure = stage(sure, work_dir(spark, "sure-links"))
     known = stage(graph.components(sure), work_dir(spark, "sure-components"))
-    known, rows = _more_heads(docs, shared, known, k, percent)
-    rest = _verified(docs, _across(rows, lists, percent), k, percent)
+    rest = _verified(docs, _across(_contested(shared, known), lists, percent), k, percent)
     links = known.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")).union(rest)
     found = stage(graph.components(links), work_dir(spark, "components"))
     placed = classes.join(found, classes["one"] == found["node"], "left")
@@ -277,34 +279,6 @@ def _contested(shared: DataFrame, known: DataFrame) -> DataFrame:
     return stage(rows.join(lists, "shingle"), work_dir(spark, "contested-lists"))
 
 
-def _more_heads(docs: DataFrame, shared: DataFrame, known: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Components after further rounds of heads, and the rows that are contested still.
-
-    Of each contested list another set, from outside the component of its head, is compared
-    with all sets of other components: a round costs the length of the lists. Near copies
-    that the first heads left apart come together so, before all pairs that are left are
-    looked at. A round is the last one if the pairs to look at have not become fewer by a quarter.
-    """
-    spark, left, number = docs.sparkSession, None, 0
-    while True:
-        rows = _contested(shared, known)
-        size = rows.agg(F.count(F.lit(1)).alias("rows"), F.sum("others").alias("pairs")).first()
-        pairs = size["pairs"] or 0
-        if pairs <= 2 * size["rows"] or (left is not None and pairs > 0.75 * left):
-            return known, rows
-        left, number = pairs, number + 1
-        one = F.struct("doc_id", "n", *_FACTS, "single", "inside")
-        heads = rows.where("inside <> first_inside").groupBy("shingle").agg(
-            F.min(F.struct(F.xxhash64("doc_id", F.lit(number)).alias("turn"), one.alias("set"))).alias("other")
-        )
-        heads = stage(heads.select("shingle", F.col("other.set").alias("other")), work_dir(spark, "other-heads"))
-        met = rows.join(heads, "shingle").where("inside <> other.inside")
-        met = met.where(_may_link(lambda c: F.col(f"other.{c}"), F.col, percent))
-        more = _verified(docs, met.select(F.col("other.doc_id").alias("a"), F.col("doc_id").alias("b")).distinct(), k, percent)
-        links = known.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)
-        known = stage(graph.components(links), work_dir(spark, "more-components"))
-
-
 def _across(rows: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of different known components that meet on lists often enough.
 
@@ -323,10 +297,15 @@ def _across(rows: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
     met = met.where(_may_link(lambda c: F.col(f"a.{c}"), lambda c: F.col(f"b.{c}"), percent))
     met = met.where("coalesce(array_min(array_intersect(a.firsts, b.firsts)), shingle) >= shingle")
     pair = met.select(F.least("a.doc_id", "b.doc_id").alias("a"), F.greatest("a.doc_id", "b.doc_id").alias("b")).distinct()
-    pair = stage(pair, work_dir(spark, "met"))
+    return _meeting(pair, lists, percent)
+
+
+def _meeting(pairs: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that share enough of their listed shingles, a tenth or a fifth of all, for the similarity."""
+    pairs = stage(pairs, work_dir(pairs.sparkSession, "met"))
     for c in ("a", "b"):
-        pair = pair.join(lists.select(F.col("doc_id").alias(c), F.col("n").alias(f"n_{c}"), F.col("listed").alias(f"listed_{c}")), c)
-    counted = pair.withColumn("met", F.size(F.array_intersect("listed_a", "listed_b")))
+        pairs = pairs.join(lists.select(F.col("doc_id").alias(c), F.col("n").alias(f"n_{c}"), F.col("listed").alias(f"listed_{c}")), c)
+    counted = pairs.withColumn("met", F.size(F.array_intersect("listed_a", "listed_b")))
     least = _common_least(F.col("n_a"), F.col("n_b"), percent)
 
     def spared(n: Column) -> Column:
