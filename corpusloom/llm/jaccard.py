@@ -47,7 +47,9 @@ _SETS = "doc_id long, n int, hash1 long, hash2 long, low array<long>"
 _BITS = ("bits0", "bits1", "bits2", "bits3")
 # What is known of a set on every list: its bits, and where its own list ends in the order of all shingles.
 _FACTS = (*_BITS, "ending")
-_LISTED = f"doc_id long, n int, {' long, '.join(_FACTS)} long, listed array<long>"
+_LISTED = f"doc_id long, n int, {' long, '.join(_FACTS)} long, listed array<long>, wide array<long>"
+# Bits of the wide sketch, for pairs; those that every list carries tell long sets apart no more.
+WIDE_BITS = 2048
 
 
 def shingle_sets(column: pa.Array, k: int) -> list[np.ndarray]:
@@ -99,7 +101,13 @@ def _lists(docs: DataFrame, long: np.ndarray, k: int, percent: int) -> DataFrame
 
     ``ending`` is the place of the last listed one in that order; its lowest bits are left out.
     """
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), *((b, pa.int64()) for b in _FACTS), ("listed", pa.list_(pa.int64()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), *((b, pa.int64()) for b in _FACTS), ("listed", pa.list_(pa.int64())), ("wide", pa.list_(pa.int64()))])
+
+    def turned(sets: list[np.ndarray], bits: int) -> np.ndarray:
+        """A row of bits per set; each shingle turns one of them over."""
+        shift = np.uint64(64 - bits.bit_length() + 1)
+        odd = np.array([np.bincount((s >> shift).astype(np.int64), minlength=bits) & 1 for s in sets], np.uint8)
+        return np.packbits(odd.reshape(-1, bits), axis=1).view(np.int64)
 
     def is_long(s: np.ndarray) -> np.ndarray:
         if not len(long):
@@ -118,13 +126,12 @@ def _lists(docs: DataFrame, long: np.ndarray, k: int, percent: int) -> DataFrame
     def work(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         sets = shingle_sets(part.column("text"), k)
         kept = [i for i, s in enumerate(sets) if len(s)]
-        odd = np.array([np.bincount((sets[i] >> np.uint64(56)).astype(np.int64), minlength=256) % 2 for i in kept]).reshape(-1, 256)
-        bits = np.packbits(odd.astype(np.uint8), axis=1).view(np.int64)
+        bits, wide = (turned([sets[i] for i in kept], n) for n in (256, WIDE_BITS))
         listed = [first(sets[i]) for i in kept]
         last = np.array([x[-1] for x in listed], np.uint64)
         ending = ((last >> np.uint64(2)) | (is_long(last).astype(np.uint64) << np.uint64(62))).view(np.int64)
         listed = pa.array([x.view(np.int64) for x in listed], pa.list_(pa.int64()))
-        yield texts.record(schema, part.column("doc_id").take(pa.array(kept, pa.int64())), [len(sets[i]) for i in kept], *bits.T, ending, listed)
+        yield texts.record(schema, part.column("doc_id").take(pa.array(kept, pa.int64())), [len(sets[i]) for i in kept], *bits.T, ending, listed, pa.array(list(wide), pa.list_(pa.int64())))
 
     return texts.map_texts(docs, work, _LISTED)
 
@@ -301,11 +308,20 @@ def _across(rows: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
 
 
 def _meeting(pairs: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that share enough of their listed shingles, a tenth or a fifth of all, for the similarity."""
-    pairs = stage(pairs, work_dir(pairs.sparkSession, "met"))
-    for c in ("a", "b"):
-        pairs = pairs.join(lists.select(F.col("doc_id").alias(c), F.col("n").alias(f"n_{c}"), F.col("listed").alias(f"listed_{c}")), c)
-    counted = pairs.withColumn("met", F.size(F.array_intersect("listed_a", "listed_b")))
+    """The pairs (a, b) whose wide sketches, and then their listed shingles, a tenth or a fifth of all, allow the similarity."""
+    spark = pairs.sparkSession
+
+    def with_both(pairs: DataFrame, column: str) -> DataFrame:
+        for c in ("a", "b"):
+            pairs = pairs.join(lists.select(F.col("doc_id").alias(c), F.col("n").alias(f"n_{c}"), F.col(column).alias(f"{column}_{c}")), c)
+        return pairs
+
+    sketched = with_both(stage(pairs, work_dir(spark, "met")), "wide")
+    turned = F.zip_with("wide_a", "wide_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    apart = F.aggregate(turned, F.lit(0), lambda n, x: n + x)
+    most = F.col("n_a") + F.col("n_b") - 2 * _common_least(F.col("n_a"), F.col("n_b"), percent)
+    near = stage(sketched.where(apart <= most).select("a", "b"), work_dir(spark, "near"))
+    counted = with_both(near, "listed").withColumn("met", F.size(F.array_intersect("listed_a", "listed_b")))
     least = _common_least(F.col("n_a"), F.col("n_b"), percent)
 
     def spared(n: Column) -> Column:
