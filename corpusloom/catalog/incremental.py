@@ -47,7 +47,8 @@ def as_answers(documents: DataFrame) -> DataFrame:
 
 def stream_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, checkpoint = work_dir(spark, "generation"), work_dir(spark, "generation-checkpoint")
-    arrivals = as_answers(arriving(spark, sf_dir, "documents"))
+    # the test table is one split, as fixtures.texts says
+    arrivals = as_answers(arriving(spark, sf_dir, "documents").repartition(spark.sparkContext.defaultParallelism))
     I.run_generation(arrivals, I.first_records, path, checkpoint, RECORDS, "call_id").awaitTermination()
     log = L.read_log(spark, path, RECORDS)
     return log.select("call_id", "pos", "instruction", "input", "output", F.get_json_object("record", "$.extra").alias("extra"))
