@@ -28,26 +28,26 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm import graph, texts
-from corpusloom.session import stage, work_dir
+from corpusloom.session import own_tables, stage, work_dir
 
 SHINGLE_WORDS, PERCENT = 5, 80
 # Long lists are those of LONG_LIST documents and more; their shingles are sent to every task. The length grows with
 # the corpus, so that there are at most MAX_LONG of them.
 LONG_LIST, MAX_LONG = 64, 1 << 16
-# Listed shingles by which two sets on a list know that they have met on another one.
-FIRSTS = 8
-# Ids that may be sent to every task to pick their texts; more of them are joined instead.
+# The lists before this one that each row names; two sets that name a common one have met there.
+BEFORE = ("before1", "before2")
+# Ids that may be sent to every task to pick their texts or sketches; more of them are joined instead.
 MAX_SENT_IDS = 1_000_000
 
 _SETS = "doc_id long, n int, hash1 long, hash2 long, low array<long>"
 _BITS = ("bits0", "bits1", "bits2", "bits3")
 # What is known of a set on every list: its bits, and where its own list ends in the order of all shingles.
 _FACTS = (*_BITS, "ending")
-_LISTED = f"doc_id long, n int, {' long, '.join(_FACTS)} long, listed array<long>, wide array<long>"
+_LISTED = f"doc_id long, n int, {' long, '.join(_BITS)} long, ending int, listed array<long>, wide array<long>"
 # Bits of the wide sketch, for pairs; those that every list carries tell long sets apart no more.
 WIDE_BITS = 2048
 
@@ -99,9 +99,9 @@ def _long(signatures: DataFrame) -> np.ndarray:
 def _lists(docs: DataFrame, long: np.ndarray, k: int, percent: int) -> DataFrame:
     """(doc_id, n, bits, ending, listed): a set's first shingles, those of long lists last; each shingle turns one of 256 bits over.
 
-    ``ending`` is the place of the last listed one in that order; its lowest bits are left out.
+    ``ending`` is the place of the last listed one in that order; its lower half is left out.
     """
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), *((b, pa.int64()) for b in _FACTS), ("listed", pa.list_(pa.int64())), ("wide", pa.list_(pa.int64()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), *((b, pa.int64()) for b in _BITS), ("ending", pa.int32()), ("listed", pa.list_(pa.int64())), ("wide", pa.list_(pa.int64()))])
 
     def turned(sets: list[np.ndarray], bits: int) -> np.ndarray:
         """A row of bits per set; each shingle turns one of them over."""
@@ -129,7 +129,7 @@ def _lists(docs: DataFrame, long: np.ndarray, k: int, percent: int) -> DataFrame
         bits, wide = (turned([sets[i] for i in kept], n) for n in (256, WIDE_BITS))
         listed = [first(sets[i]) for i in kept]
         last = np.array([x[-1] for x in listed], np.uint64)
-        ending = ((last >> np.uint64(2)) | (is_long(last).astype(np.uint64) << np.uint64(62))).view(np.int64)
+        ending = ((last >> np.uint64(34)) | (is_long(last).astype(np.uint64) << np.uint64(30))).astype(np.int32)
         listed = pa.array([x.view(np.int64) for x in listed], pa.list_(pa.int64()))
         yield texts.record(schema, part.column("doc_id").take(pa.array(kept, pa.int64())), [len(sets[i]) for i in kept], *bits.T, ending, listed, pa.array(list(wide), pa.list_(pa.int64())))
 
@@ -180,14 +180,20 @@ def overlaps(query: np.ndarray, sets: list[np.ndarray], need: np.ndarray) -> np.
     return np.where(count >= need, count, 0)
 
 
+def _of_pairs(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The rows whose doc_id is in a pair."""
+    spark = rows.sparkSession
+    ids = pairs.select(F.col("a").alias("_id")).union(pairs.select(F.col("b").alias("_id"))).distinct()
+    ids = stage(ids, work_dir(spark, "pair-ids"))
+    chosen = F.broadcast(ids) if ids.count() <= MAX_SENT_IDS else ids
+    return rows.join(chosen, F.col("doc_id") == F.col("_id"), "left_semi")
+
+
 def _verified(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
     """(a, b) of the pairs that are similar enough, decided on whole sets."""
     spark = docs.sparkSession
     pairs = stage(pairs, work_dir(spark, "pairs"))
-    ids = pairs.select(F.col("a").alias("_id")).union(pairs.select(F.col("b").alias("_id"))).distinct()
-    ids = stage(ids, work_dir(spark, "pair-ids"))
-    chosen = F.broadcast(ids) if ids.count() <= MAX_SENT_IDS else ids
-    rows = docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("_id"), "left_semi")
+    rows = _of_pairs(docs.select("doc_id", "text"), pairs)
     schema = pa.schema([("doc_id", pa.int64()), ("set", pa.binary())])
 
     def build(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -216,26 +222,43 @@ def _verified(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFr
 
 
 def near_components(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id): the smallest document that can be reached by links, itself included."""
+    """(doc_id, n_shingles, component_id): the smallest document that can be reached by links, itself included.
+
+    The result is written; every table on the way is deleted once the next ones no longer need it.
+    """
+    spark = docs.sparkSession
+    result = work_dir(spark, "near-components")
+    with own_tables(spark):
+        return stage(_near_components(docs, k, percent), result)
+
+
+def _near_components(docs: DataFrame, k: int, percent: int) -> DataFrame:
     spark = docs.sparkSession
-    signatures = stage(_signatures(docs, k, percent), work_dir(spark, "signatures"))
+    sizes_at = work_dir(spark, "sizes")
+    with own_tables(spark):
+        signatures = stage(_signatures(docs, k, percent), work_dir(spark, "signatures"))
+        long = _long(signatures.where("doc_id is not null"))
+        sizes = stage(signatures.drop("low"), sizes_at)
     one = F.min("doc_id").alias("one")
-    classes = signatures.where("n > 0").groupBy("hash1", "hash2", "n").agg(one).where("one is not null")
+    classes = sizes.where("n > 0").groupBy("hash1", "hash2", "n").agg(one).where("one is not null")
     classes = stage(classes, work_dir(spark, "classes"))
-    long = _long(signatures.where("doc_id is not null"))
-
-    lists = _lists(docs.where(F.col("doc_id").isNotNull()), long, k, percent)
-    mine = classes.select(F.col("one").alias("doc_id"))
-    lists = stage(lists.join(mine, "doc_id", "left_semi"), work_dir(spark, "lists"))
-    shared = _shared(lists)
-
-    ok = _may_link(F.col, lambda c: F.col(f"head.{c}"), percent)
-    sure = shared.where(F.col("doc_id") != F.col("head.doc_id")).where(ok)
-    sure = sure.select(F.col("head.doc_id").alias("a"), F.col("doc_id").alias("b")).distinct()
-    sure = _verified(docs, _meeting(sure, lists, percent), k, percent)
-    sure = stage(sure, work_dir(spark, "sure-links"))
-    known = stage(graph.components(sure), work_dir(spark, "sure-components"))
-    rest = _verified(docs, _across(_contested(shared, known), lists, percent), k, percent)
+
+    lists_at = work_dir(spark, "sketches")
+    lists = stage(_lists(docs.where(F.col("doc_id").isNotNull()), long, k, percent), lists_at)
+    shared_at, links_at, contested_at, met_at = (work_dir(spark, n) for n in ("shared", "sure-links", "contested-lists", "met"))
+    known_at = work_dir(spark, "sure-components")
+    with own_tables(spark):
+        with own_tables(spark):
+            mine = classes.select(F.col("one").alias("doc_id"))
+            shared = stage(_shared(lists.drop("wide").join(mine, "doc_id", "left_semi"), percent), shared_at)
+        with own_tables(spark):
+            sure = shared.where("alike and doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct()
+            sure = stage(_verified(docs, _meeting(sure, lists, percent), k, percent), links_at)
+            known = stage(graph.components(sure), known_at)
+        with own_tables(spark):
+            contested = stage(_contested(shared, known), contested_at)
+        met = stage(_across(contested, percent), met_at)
+    rest = _verified(docs, _meeting(met, lists, percent), k, percent)
     links = known.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")).union(rest)
     found = stage(graph.components(links), work_dir(spark, "components"))
     placed = classes.join(found, classes["one"] == found["node"], "left")
@@ -243,21 +266,22 @@ def near_components(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = PERC
         placed.select("hash1", "hash2", F.col("n").alias("_n"), F.coalesce("component", "one").alias("component_id")),
         work_dir(spark, "placed"),
     )
-    rows = signatures.select("doc_id", "n", "hash1", "hash2")
-    joined = rows.join(placed, ["hash1", "hash2"], "left").where("_n is null or _n = n")
+    joined = sizes.join(placed, ["hash1", "hash2"], "left").where("_n is null or _n = n")
     return joined.select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
     )
 
 
-def _shared(lists: DataFrame) -> DataFrame:
-    """(shingle, doc_id, n, bits, ending, single, head) of all listed shingles that two sets or more list.
+def _shared(lists: DataFrame, percent: int) -> DataFrame:
+    """(shingle, doc_id, n, bits, ending, single, before, first, alike) of all listed shingles that two sets or more list.
 
     ``single`` counts the listed shingles a set shares with none. The head of a
-    list is the set with the fewest of these: the one most like all others.
+    list, ``first``, is the set with the fewest of these: the one most like all others;
+    ``alike`` tells whether the two may link. ``before`` are the set's lists next to this one.
     """
     spark = lists.sparkSession
+    lists = stage(lists, work_dir(spark, "lists"))
     entries = lists.select(F.explode("listed").alias("shingle"), "doc_id")
     often = entries.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("shingle")
     often = stage(often, work_dir(spark, "often"))
@@ -266,45 +290,45 @@ def _shared(lists: DataFrame) -> DataFrame:
     facts = lists.select("doc_id", "n", *_FACTS, F.size("listed").alias("listed")).join(counts, "doc_id")
     facts = facts.select("doc_id", "n", *_FACTS, (F.col("listed") - F.col("common")).cast("int").alias("single"))
     facts = stage(facts, work_dir(spark, "facts"))
+    mine = Window.partitionBy("doc_id").orderBy("shingle")
+    entries = entries.select("shingle", "doc_id", *(F.lag("shingle", k + 1).over(mine).alias(b) for k, b in enumerate(BEFORE)))
     entries = stage(entries.join(facts, "doc_id"), work_dir(spark, "known-entries"))
-    heads = entries.groupBy("shingle").agg(F.min(F.struct("single", "n", "doc_id", *_FACTS)).alias("head"))
-    return stage(entries.join(stage(heads, work_dir(spark, "heads")), "shingle"), work_dir(spark, "shared"))
+    heads = entries.groupBy("shingle").agg(F.min(F.struct("single", "n", "doc_id")).alias("head"))
+    heads = stage(heads.select("shingle", F.col("head.doc_id").alias("first")), work_dir(spark, "firsts"))
+    head = F.struct("n", *_FACTS, "single").alias("head")
+    heads = heads.join(facts.select(F.col("doc_id").alias("first"), head), "first")
+    alike = _may_link(F.col, lambda c: F.col(f"head.{c}"), percent).alias("alike")
+    return entries.join(stage(heads, work_dir(spark, "heads")), "shingle").select(*entries.columns, "first", alike)
 
 
 def _contested(shared: DataFrame, known: DataFrame) -> DataFrame:
     """The rows of the lists that hold sets of two components or more, each with its component and that of the list's head."""
     spark = shared.sparkSession
     of = lambda c: known.select(F.col("node").alias(c), F.col("component").alias(f"{c}_in"))
-    rows = shared.withColumn("first", F.col("head.doc_id")).drop("head")
-    rows = rows.join(of("doc_id"), "doc_id", "left").join(of("first"), "first", "left").select(
-        "shingle", "doc_id", "n", *_FACTS, "single", F.coalesce("doc_id_in", "doc_id").alias("inside"),
+    rows = shared.drop("alike").join(of("doc_id"), "doc_id", "left").join(of("first"), "first", "left").select(
+        "shingle", "doc_id", "n", *_FACTS, "single", *BEFORE, F.coalesce("doc_id_in", "doc_id").alias("inside"),
         F.coalesce("first_in", "first").alias("first_inside"),
     )
     rows = stage(rows, work_dir(spark, "placed-lists"))
-    lists = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("size"), F.count_if(F.col("inside") != F.col("first_inside")).alias("others"))
-    lists = stage(lists.where("others > 0"), work_dir(spark, "contested"))
-    return stage(rows.join(lists, "shingle"), work_dir(spark, "contested-lists"))
+    lists = rows.where("inside <> first_inside").select("shingle").distinct()
+    return rows.join(stage(lists, work_dir(spark, "contested")), "shingle", "left_semi")
 
 
-def _across(rows: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different known components that meet on lists often enough.
+def _across(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different known components that meet on a list.
 
     On each list the sets outside the component of its first set are compared
-    with all others; lists within one component have none. Each set brings the
-    FIRSTS smallest of its listed shingles along: where two sets share one that is
-    smaller than the list's, they have met there, and are no pair here once more.
+    with all others; lists within one component have none. Two sets that name a
+    common list before this one are a pair there and not here once more; on the first
+    list that they share they name none.
     """
-    spark = rows.sparkSession
-    firsts = lists.select("doc_id", F.slice(F.array_sort("listed"), 1, FIRSTS).alias("firsts"))
-    rows = stage(rows.join(firsts, "doc_id"), work_dir(spark, "last-lists"))
-    one = F.struct("doc_id", "n", *_FACTS, "single", "inside", "firsts")
-    other = stage(rows.where("inside <> first_inside").select("shingle", one.alias("a")), work_dir(spark, "other-lists"))
-    met = other.join(rows.select("shingle", one.alias("b"), "first_inside"), "shingle")
-    met = met.where("a.inside <> b.inside and (b.inside = first_inside or a.doc_id < b.doc_id)")
+    other = rows.where("inside <> first_inside")
+    met = other.alias("a").join(rows.alias("b"), "shingle")
+    met = met.where("a.inside <> b.inside and (b.inside = b.first_inside or a.doc_id < b.doc_id)")
     met = met.where(_may_link(lambda c: F.col(f"a.{c}"), lambda c: F.col(f"b.{c}"), percent))
-    met = met.where("coalesce(array_min(array_intersect(a.firsts, b.firsts)), shingle) >= shingle")
-    pair = met.select(F.least("a.doc_id", "b.doc_id").alias("a"), F.greatest("a.doc_id", "b.doc_id").alias("b")).distinct()
-    return _meeting(pair, lists, percent)
+    again = " or ".join(f"a.{x} = b.{y}" for x in BEFORE for y in BEFORE)
+    met = met.where(f"not coalesce({again}, false)")
+    return met.select(F.least("a.doc_id", "b.doc_id").alias("a"), F.greatest("a.doc_id", "b.doc_id").alias("b")).distinct()
 
 
 def _meeting(pairs: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
@@ -312,8 +336,9 @@ def _meeting(pairs: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
     spark = pairs.sparkSession
 
     def with_both(pairs: DataFrame, column: str) -> DataFrame:
+        mine = stage(_of_pairs(lists.select("doc_id", "n", column), pairs), work_dir(spark, column))
         for c in ("a", "b"):
-            pairs = pairs.join(lists.select(F.col("doc_id").alias(c), F.col("n").alias(f"n_{c}"), F.col(column).alias(f"{column}_{c}")), c)
+            pairs = pairs.join(mine.select(F.col("doc_id").alias(c), F.col("n").alias(f"n_{c}"), F.col(column).alias(f"{column}_{c}")), c)
         return pairs
 
     sketched = with_both(stage(pairs, work_dir(spark, "met")), "wide")
