@@ -11,8 +11,9 @@ of each query's blocks are its result. Blocks of rows, not groups, bound a task,
 a group of a third of all rows is spread like any other.
 
 Vectors that are null, empty or hold a null or non-finite component take no
-part, nor do rows without an id or of another length than the most usual
-one. Rows equal in id and vector count once; rows of the query's own id
+part, nor do rows without an id. Vectors of different lengths have no inner
+product: each length is joined by itself, one after the other, so a query's
+candidates are the vectors of its own length. Rows equal in id and vector count once; rows of the query's own id
 are no candidates. Ties go to the smaller id.
 """
 
@@ -34,6 +35,8 @@ SAMPLE_ROWS = 4_096
 # Data vectors and queries that one local problem holds at most, on average.
 BLOCK_ROWS, QUERY_ROWS = 16_384, 1_024
 
+RESULT = "query_id long, rank int, vec_id long, score long"
+
 
 def whole_vectors(vectors: DataFrame, scale: float = 64.0) -> DataFrame:
     """(vec_id, v): components as floor(scale * x), one row per distinct id and vector."""
@@ -75,11 +78,17 @@ def knn_join(vectors: DataFrame, k: int = K, every: int = 20, pivots: int = PIVO
     """(query_id, rank, vec_id, score): for each id divisible by ``every`` its k best other vectors."""
     spark = vectors.sparkSession
     rows = stage(whole_vectors(vectors), work_dir(spark, "vectors"))
-    sizes = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    if sizes is None:
-        return empty
-    rows = rows.where(F.size("v") == sizes["n"])
+    found = spark.createDataFrame([], RESULT)
+    # a row per length of vectors, as a rule one
+    lengths = sorted(r["n"] for r in rows.select(F.size("v").alias("n")).distinct().collect())
+    for n in lengths:
+        one = _join_of_one_length(rows.where(F.size("v") == n), k, every, pivots)
+        found = one if len(lengths) == 1 else found.unionByName(one)
+    return found
+
+
+def _join_of_one_length(rows: DataFrame, k: int, every: int, pivots: int) -> DataFrame:
+    spark = rows.sparkSession
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(SAMPLE_ROWS).toArrow()
     centres = pivots_of(matrix(sample.column("v")), pivots)
 
@@ -87,7 +96,7 @@ def knn_join(vectors: DataFrame, k: int = K, every: int = 20, pivots: int = PIVO
     queries = grouped.where(F.col("vec_id") % every == 0)
     data, asked = _summary(grouped, k + 1), _summary(queries, 0)
     if not asked:
-        return empty
+        return spark.createDataFrame([], RESULT)
     sure = _sure_scores(centres, data, asked, k)
     n_data, n_queries = sum(s["n"] for s in data.values()), sum(s["n"] for s in asked.values())
     blocks, chunks = 1 + n_data // BLOCK_ROWS, 1 + n_queries // QUERY_ROWS // max(1, len(asked))

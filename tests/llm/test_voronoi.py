@@ -21,7 +21,7 @@ def brute(rows, k, every):
     out = []
     for i, q in usable:
         if i % every == 0:
-            scored = sorted((-sum(a * b for a, b in zip(q, v)), j) for j, v in usable if j != i)
+            scored = sorted((-sum(a * b for a, b in zip(q, v)), j) for j, v in usable if j != i and len(v) == len(q))
             out += [(i, r, j, -s) for r, (s, j) in enumerate(scored[:k], 1)]
     return sorted(out)
 
@@ -60,6 +60,13 @@ def test_odd_vectors(spark):
     assert voronoi.knn_join(frame(spark, [(0, [1.0])])).count() == 0
 
 
+def test_each_length_by_itself(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=2 + i % 3).tolist()) for i in range(90)] + [(120, [1.0] * 7), (20, [0.5, 0.5, 0.5])]
+    got = sorted(map(tuple, voronoi.knn_join(frame(spark, rows), 5, 20, 4).collect()))
+    assert got == brute(rows, 5, 20) and {r[0] for r in got} == {0, 20, 40, 60, 80}
+
+
 def test_query_and_its_sql(spark):
     sf = "/root/testdata/sf0.01"
     assert differences(connect(sf), queries.op8_voronoi(spark, sf), queries.ORACLES["op8_voronoi"]) == ""
