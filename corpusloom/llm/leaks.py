@@ -9,10 +9,12 @@ document leaks an item when that stretch holds MIN_WORDS equal words, or
 IDENTITY of the item's words if the item is shorter; where the longest holds
 too few, the one with the most equal words counts.
 
-The masks alone would miss passages that the rule accepts. So each item is also
-laid under a short mask without gaps, as long as the run of equal words that any
-accepted stretch of the item must hold: m equal words and e others leave a run
-of m / (e + 1), four words for items of 16 words and more, down to two for five.
+The masks of an item are a family found by its length (``family``): whichever
+words an accepted stretch of such an item may change, one mask of the family
+fits into it with all its marked words equal. Items of 16 words and more have
+four masks of six words; shorter ones allow fewer changes and have masks of their own.
+A family is proven by looking at every allowed pattern, not by chance.
+
 Items without words match nothing. Null and empty texts leak nothing; repeated
 documents or items give one row per (doc_id, item_id); a null id stays a null id.
 """
@@ -20,7 +22,9 @@ documents or items give one row per (doc_id, item_id); a null id stays a null id
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import ceil
+from functools import lru_cache
+from itertools import combinations
+from math import ceil, comb
 
 import numpy as np
 import pyarrow as pa
@@ -30,12 +34,16 @@ from pyspark.sql import functions as F
 from corpusloom.llm import texts
 from corpusloom.session import stage, work_dir
 
-# Fixed masks, 1 for a word that counts: eight words each, no two alike under a shift.
-MASKS = ("11101001100101", "1101011000111", "111100110101")
 MIN_WORDS = 13
 IDENTITY = 0.8
-# Bytes of benchmark text that may be sent to every task; a larger benchmark is joined by its hashes first.
+# Bytes of benchmark text that may be sent to every task; a larger benchmark is compared in parts.
 MAX_SENT_BYTES = 16 << 20
+# Masks are 1 for a word that counts: words that count and masks of a family at most, and the longest mask.
+WEIGHT, FAMILY, SPAN = 6, 4, 11
+# Patterns of equal and other words that may be looked at to prove a family.
+MAX_PATTERNS = 2_000_000
+# Meetings of a document's and an item's seed compared at a time.
+BLOCK_HITS = 1 << 18
 # Words of diagonals compared at a time, so that temporary arrays stay small.
 BLOCK_WORDS = 1 << 20
 
@@ -63,13 +71,81 @@ def words_needed(size: int, min_words: int, identity: float) -> int:
     return max(1, min(min_words, ceil(identity * size - 1e-9)))
 
 
-def sure_run(size: int, min_words: int, identity: float) -> int:
-    """Length of the run of equal words that every accepted stretch of an item of this size holds."""
-    least = size
-    for m in range(words_needed(size, min_words, identity), size + 1):
-        other = size - m if identity <= 0 else min(size - m, int(m / identity - m + 1e-9))
-        least = min(least, -(-m // (other + 1)))
-    return least
+def patterns(size: int, others: int) -> np.ndarray:
+    """Every row of ``size`` words with ``others`` of them changed, as bits of the equal ones."""
+    places = np.array(list(combinations(range(size), others)), np.int64).reshape(comb(size, others), others)
+    return ((1 << size) - 1) - (np.int64(1) << places).sum(axis=1)
+
+
+def fits(pattern: np.ndarray, size: int, mask: str) -> np.ndarray:
+    """Whether the mask lies somewhere in each pattern with equal words under all its ones."""
+    bits, found = int(mask[::-1], 2), np.zeros(len(pattern), bool)
+    for shift in range(size - len(mask) + 1):
+        found |= (pattern & (bits << shift)) == bits << shift
+    return found
+
+
+def hardest(size: int, min_words: int, identity: float) -> list[tuple[int, int]]:
+    """(words, changed words) of the shortest accepted stretches, one for each number of changed words.
+
+    A longer stretch with as many changes holds such a one. A stretch of twice
+    the length at which identity alone gives enough equal words holds an
+    accepted half, so no longer ones need to be looked at.
+    """
+    need = words_needed(size, min_words, identity)
+    longest = min(size, 2 * ceil(need / identity) - 1) if identity > 0 else size
+    found = []
+    for others in range(longest):
+        equal = max(need, ceil(others * identity / (1 - identity) - 1e-9)) if identity < 1 else need
+        if equal + others > longest or (others and identity >= 1):
+            break
+        found.append((equal + others, others))
+    # one word and one change more: masks that fit there fit without them
+    return [(n, others) for n, others in found if (n + 1, others + 1) not in found]
+
+
+@lru_cache(maxsize=256)
+def family(size: int, min_words: int, identity: float) -> tuple[str, ...]:
+    """Masks of which one fits into every accepted stretch of an item of this size.
+
+    Greedy: the mask that fits into most of the patterns left is taken until
+    none is left, with as many counting words as FAMILY masks allow. Every mask
+    ignores a word, unless a stretch of one or two equal words is enough.
+    """
+    need = words_needed(size, min_words, identity)
+    if need <= 2:
+        return ("1" * need,)
+    stretches = hardest(size, min_words, identity)
+    if sum(comb(*s) for s in stretches) > MAX_PATTERNS:
+        raise ValueError("identity is too low: the changes it allows are too many to prove masks for")
+    every = [(n, patterns(n, others)) for n, others in stretches]
+    for weight in range(min(WEIGHT, need - 1), 1, -1):
+        masks = _greedy(every, weight, FAMILY if weight > 2 else size)
+        if masks:
+            return masks
+    raise ValueError("no masks found")
+
+
+def _greedy(every: list[tuple[int, np.ndarray]], weight: int, most: int) -> tuple[str, ...]:
+    masks: list[str] = []
+    for size, left in every:
+        for mask in masks:
+            left = left[~fits(left, size, mask)]
+        while len(left):
+            few = left[:: max(1, len(left) // 3000)]
+            tried = [(int(fits(few, size, mask).sum()), mask) for mask in _masks(min(size, SPAN), weight)]
+            best, mask = max(tried, default=(0, ""), key=lambda t: t[0])
+            if not best or len(masks) == most:
+                return ()
+            masks.append(mask)
+            left = left[~fits(left, size, mask)]
+    return tuple(masks)
+
+
+def _masks(longest: int, weight: int) -> Iterator[str]:
+    for span in range(weight + 1, longest + 1):
+        for inner in combinations(range(1, span - 1), weight - 2):
+            yield "".join("1" if k in (0, span - 1) or k in inner else "0" for k in range(span))
 
 
 class Benchmark:
@@ -82,15 +158,16 @@ class Benchmark:
         size = np.bincount(w.doc, minlength=len(items))
         self.first, self.size = np.cumsum(size) - size, size
         sizes, at_size = np.unique(size, return_inverse=True)
-        run = np.array([sure_run(int(n), min_words, identity) for n in sizes], np.int64)[at_size]
         self.need = np.array([words_needed(int(n), min_words, identity) for n in sizes], np.int64)[at_size]
-        self.masks = [*MASKS, *sorted({"1" * int(n) for n in run if n})]
-        keys, items_at, places, kinds = [], [], [], []
+        # beyond some length all items have one family
+        same = ceil(min_words / identity) if identity > 0 else int(size.max(initial=0))
+        families = [set(family(int(n) if n < same else 2 * same, min_words, identity)) if n else set() for n in sizes]
+        self.masks = sorted(set().union(*families))
+        keys, items_at, places, kinds = ([np.zeros(0, t)] for t in (np.uint64, np.int64, np.int64, np.int64))
         for k, mask in enumerate(self.masks):
             pos, key = seeds(w.hash, w.doc, mask)
-            if k >= len(MASKS):  # only items that must hold such a run
-                mine = run[w.doc[pos]] == len(mask)
-                pos, key = pos[mine], key[mine]
+            mine = np.array([mask in f for f in families], bool)[at_size][w.doc[pos]]
+            pos, key = pos[mine], key[mine]
             keys.append(key)
             items_at.append(w.doc[pos])
             places.append(pos - self.first[w.doc[pos]])
@@ -101,21 +178,28 @@ class Benchmark:
         self.bits = np.zeros(1 << 21, bool)
         self.bits[(self.key >> np.uint64(43)).astype(np.int64)] = True
 
-    def hits(self, w: texts.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(document number, item number, shift of the item's first word), each once."""
-        found = []
+    def hits(self, w: texts.Words, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Rows (document, item, shift of the item's first word, seed) whose diagonals hold enough equal words, each once.
+
+        They are compared BLOCK_HITS at a time: a seed that many items share
+        takes no more memory than any other.
+        """
+        found = [np.zeros((0, 4), np.int64)]
         for k, mask in enumerate(self.masks):
             pos, key = seeds(w.hash, w.doc, mask)
             maybe = np.flatnonzero(self.bits[(key >> np.uint64(43)).astype(np.int64)])
             pos, key = pos[maybe], key[maybe]
             a, b = np.searchsorted(self.key, key, "left"), np.searchsorted(self.key, key, "right")
-            n = b - a
-            if n.sum():
-                at = np.repeat(a, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-                rows = np.stack([np.repeat(w.doc[pos], n), self.item[at], np.repeat(pos, n) - self.place[at], np.repeat(pos, n)], axis=1)
-                found.append(rows[self.kind[at] == k])
-        if not found:
-            return np.zeros((0, 4), np.int64)
+            pos, a, n = pos[b > a], a[b > a], (b - a)[b > a]
+            total = np.cumsum(n)
+            for x in range(0, int(total[-1]) if len(total) else 0, BLOCK_HITS):
+                met = np.arange(x, min(x + BLOCK_HITS, int(total[-1])))
+                of = np.searchsorted(total, met, "right")
+                at = a[of] + met - (total[of] - n[of])
+                here = pos[of]
+                rows = np.stack([w.doc[here], self.item[at], here - self.place[at], here], axis=1)[self.kind[at] == k]
+                if len(rows):
+                    found.append(self.enough(w, first, size, np.unique(rows, axis=0)))
         return np.unique(np.concatenate(found), axis=0)
 
     def enough(self, w: texts.Words, first: np.ndarray, size: np.ndarray, hits: np.ndarray) -> np.ndarray:
@@ -182,12 +266,9 @@ def _leaks(docs: DataFrame, ids: list, items: list, min_words: int, identity: fl
         if bench is None or not len(bench.key):
             return
         w = texts.words(*texts.flat(part.column("text")), texts.WORD_BYTES)
-        hits = bench.hits(w)
-        if not len(hits):
-            return
         size = np.bincount(w.doc, minlength=part.num_rows)
         first = np.cumsum(size) - size
-        hits = bench.enough(w, first, size, hits)
+        hits = bench.hits(w, first, size)
         names, out, done = part.column("doc_id").to_pylist(), [], {}
         for hit in hits:
             key = tuple(hit[:3].tolist())

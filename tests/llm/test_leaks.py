@@ -93,11 +93,46 @@ def test_every_allowed_pattern_is_found(spark):
     assert set(found) == want and len(found) == len(want) and len(want) > 200
 
 
-def test_sure_run():
-    """No pattern that the rule accepts has only shorter runs; shown for every pattern up to 16 words."""
+def test_families_fit_every_accepted_pattern():
+    """Every pattern up to 16 words; beyond, the most changed ones up to 31, which the longer ones contain."""
     for size in range(1, 17):
-        run, need = leaks.sure_run(size, 13, 0.8), leaks.words_needed(size, 13, 0.8)
+        masks, need = leaks.family(size, 13, 0.8), leaks.words_needed(size, 13, 0.8)
+        assert all("0" in m for m in masks) or size <= 2
+        tests = [re.compile("(?=" + m.replace("0", ".") + ")") for m in masks]
         for pattern in range(1 << size):
             bits = f"{pattern:0{size}b}"
             if bits.count("1") >= need and bits.count("1") >= 0.8 * size - 1e-9:
-                assert "1" * run in bits
+                assert any(t.search(bits) for t in tests), (size, bits)
+    masks = leaks.family(40, 13, 0.8)
+    assert all("0" in m and m.count("1") == 6 for m in masks)
+    random.seed(8)
+    for size in range(17, 120):
+        for _ in range(300):
+            changed = set(random.sample(range(size), size // 5))
+            bits = "".join("0" if k in changed else "1" for k in range(size))
+            assert any(re.search(m.replace("0", "."), bits) for m in masks)
+        for phase in range(5):
+            bits = "".join("0" if k % 5 == phase else "1" for k in range(size))
+            assert bits.count("1") < 0.8 * size or any(re.search(m.replace("0", "."), bits) for m in masks)
+    for size, others in ((16, 3), (20, 4), (25, 5), (30, 6)):
+        pattern = leaks.patterns(size, others)
+        assert len(set(pattern.tolist())) == math.comb(size, others)
+        left = [p for p in pattern.tolist() if not any(p >> s & m == m for m in (int(x[::-1], 2) for x in masks) for s in range(size))]
+        assert not left
+
+
+def test_all_is_found_by_the_masks(spark, monkeypatch):
+    """Without masks nothing is found: there is no other path to a result."""
+    bench, docs = items(spark, [(1, odd.PASSAGE)]), odd.documents(spark, odd.ROWS)
+    assert leaks.leaks(docs, bench).count()
+    monkeypatch.setattr(leaks, "family", lambda *_: ())
+    assert leaks.leaks(docs, bench).count() == 0
+
+
+def test_a_stem_of_many_items(spark, monkeypatch):
+    stem = "which of the following statements is true about"
+    bench = [(i, f"{stem} " + " ".join(f"i{i}w{j}" for j in range(20))) for i in range(3000)]
+    docs = [(d, f"{stem} nothing at all " * 5) for d in range(20)] + [(20, f"so {bench[17][1]} there"), (21, bench[2999][1])]
+    monkeypatch.setattr(leaks, "BLOCK_HITS", 4096)
+    found = leaks.leaks(odd.documents(spark, docs), items(spark, bench)).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(20, 17), (21, 2999)}
