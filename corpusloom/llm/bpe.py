@@ -26,8 +26,8 @@ from pyspark.sql import DataFrame
 
 from corpusloom.llm import texts
 
-# Distinct pre-tokens, and pairs of tokens, remembered by a worker at a time.
-MEMO_SIZE = 400_000
+# Distinct pre-tokens of at most MEMO_BYTES, and pairs of tokens, remembered by a worker at a time.
+MEMO_SIZE, MEMO_BYTES = 400_000, 64
 # How byte-level vocabularies cut a text into pre-tokens.
 PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -41,6 +41,13 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
 
 
+def remember(memo: dict, key, value) -> None:
+    """Store in a memo of at most MEMO_SIZE entries."""
+    if len(memo) >= MEMO_SIZE:
+        memo.clear()
+    memo[key] = value
+
+
 @lru_cache(maxsize=2)
 def coder(path: str) -> Coder:
     return Coder(path)
@@ -100,7 +107,9 @@ class Coder(dict):
                 ids += self.fragment(raw[a:b])
                 a = b
         ids += self.fragment(raw[a:])
-        packed = self[word] = struct.pack(f"<{len(ids)}I", *ids)
+        packed = struct.pack(f"<{len(ids)}I", *ids)
+        if len(raw) <= MEMO_BYTES:
+            remember(self, word, packed)
         return packed
 
     def fragment(self, raw: bytes) -> list[int]:
@@ -149,7 +158,7 @@ class Coder(dict):
                 limit, y = ranks[y] + 1, self.parts[y][0]
             else:
                 known = True
-        self.pairs[a, b] = known
+        remember(self.pairs, (a, b), known)
         return known
 
     def merged(self, raw: bytes) -> list[int]:
@@ -163,12 +172,6 @@ class Coder(dict):
             k = best[1]
             ids[k : k + 2] = [merges[ids[k], ids[k + 1]][1]]
 
-    def forget(self) -> None:
-        """Keep the memos bounded."""
-        for memo in (self, self.pairs):
-            if len(memo) > MEMO_SIZE:
-                memo.clear()
-
     def encode(self, text: str, careful: bool = True) -> bytes:
         """Packed ids of a whole text."""
         pattern, ids = self.careful if careful else self.plain, self.__getitem__
@@ -209,7 +212,6 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
         raw, _ = texts.flat(part.column("text"))
         careful = bool(len(raw)) and int(raw.max()) >= code.oldest_young
         ids = [code.encode(text, careful) for text in part.column("text").to_pylist()]
-        code.forget()
         yield texts.record(SCHEMA, part.column("doc_id"), [len(x) // 4 for x in ids], ids, [code.decode(x) for x in ids])
 
     return texts.map_texts(docs, work, "doc_id long, n_tokens long, ids binary, decoded string")

@@ -6,10 +6,10 @@ repetition), then a hidden vector h. Gated attention weighs the passages,
 a ~ softmax(u . (tanh(V h) * sigmoid(G h))), and the weighted sum of the hidden
 vectors is scored. Only documents have labels; what to attend to is learned.
 
-The model is fitted on a bounded sample (``labelled``); a very long training
-text lends MAX_TRAINED_PASSAGES evenly spaced passages to the fit, while every
-passage of every text is scored. A null or empty text is one empty passage.
-Repeated rows get the same score; a null id counts as held out.
+The model is fitted on a bounded sample of whole texts (``labelled``): at most
+SAMPLE_ROWS rows and SAMPLE_BYTES of text, every passage of each. Every passage
+of every text is scored. A null or empty text is one empty passage. Repeated
+rows get the same score; a null id counts as held out.
 """
 
 from __future__ import annotations
@@ -26,7 +26,8 @@ from corpusloom.llm import labelled, texts
 PASSAGE_WORDS = 64
 SHAPES, TERMS = 192, 64
 HIDDEN, GATE = 24, 12
-MAX_TRAINED_PASSAGES = 64
+# Bytes of whole texts the fit takes at most: their counts fit into the driver.
+SAMPLE_BYTES = 48 << 20
 ROUNDS = 30
 THRESHOLD = 0.5
 
@@ -133,13 +134,10 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = labelled.SAMPLE_ROWS)
     def work(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         bag, counts = passages(part.column("text"))
         begin = np.searchsorted(bag, np.arange(part.num_rows + 1))
-        rows = []
-        for a, b in zip(begin, begin[1:]):
-            taken = np.unique(np.linspace(a, b - 1, min(b - a, MAX_TRAINED_PASSAGES)).astype(np.int64))
-            rows.append(counts[taken].tobytes())
+        rows = [counts[a:b].tobytes() for a, b in zip(begin, begin[1:])]
         yield texts.record(schema, part.column("doc_id"), part.column("label"), rows)
 
-    found = labelled.sample(docs, labels, "quality", rows)
+    found = labelled.sample(docs, labels, "quality", rows, SAMPLE_BYTES)
     got = texts.map_texts(found, work, "doc_id long, label int, counts binary", ("label",)).toArrow().sort_by("doc_id")
     bags = [np.frombuffer(x, np.uint8).reshape(-1, width) for x in got.column("counts").to_pylist()]
     counts = np.concatenate(bags) if bags else np.zeros((0, width), np.uint8)

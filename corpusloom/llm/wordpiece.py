@@ -22,8 +22,6 @@ from pyspark.sql import DataFrame
 
 from corpusloom.llm import bpe, texts
 
-# Distinct words remembered by a worker at a time.
-MEMO_SIZE = 400_000
 # An unknown word's count in a sum of counts: above any number of pieces.
 _UNKNOWN = 1 << 44
 
@@ -68,7 +66,9 @@ class Automaton(dict):
                 self.links[node], self.popped[node] = self.edges[at << 8 | byte], count
 
     def __missing__(self, word: bytes) -> int:
-        count = self[word] = self.count(word)
+        count = self.count(word)
+        if len(word) <= bpe.MEMO_BYTES:
+            bpe.remember(self, word, count)
         return count
 
     def count(self, word: bytes) -> int:
@@ -108,8 +108,6 @@ def token_counts(docs: DataFrame, path: str) -> DataFrame:
         count = automaton(path)
         found = [text.split() for text in part.column("text").cast(pa.binary()).to_pylist()]
         totals = [sum(map(count.__getitem__, w)) for w in found]
-        if len(count) > MEMO_SIZE:
-            count.clear()
         yield texts.record(
             SCHEMA, part.column("doc_id"), [len(w) for w in found], [t // _UNKNOWN for t in totals], [t % _UNKNOWN for t in totals]
         )
