@@ -5,6 +5,9 @@ The score is a bias, a weight for every term present and, for every two of
 them, the product of their factor vectors, so that a pair can count for more or
 less than its parts: sum over f of ((sum v)^2 - sum v^2) / 2.
 
+Terms are learned that tell the labels apart alone, or together with another
+term that neither does alone (``paired``): a pair that is toxic only together
+keeps both its terms. The others would only learn the training texts by heart.
 It is fitted on a bounded sample (``labelled``) and sent to every task as a
 table of BUCKETS rows. A null or empty text has no terms and gets the bias.
 Repeated rows get the same score; a null id counts as held out.
@@ -28,6 +31,9 @@ STEM_BYTES = (4, 5, 6, 7)
 THRESHOLD = 0.7
 ROUNDS = 20
 MIN_TEXTS, MIN_CHI_SQUARE = 4, 14.0
+# Pairs of terms: each term's and the pair's least share of the sampled texts, the chi-square of their interaction
+# (the best of millions of pairs by chance stays below), and the terms whose pairs are counted at a time.
+MIN_PAIR_SHARE, MIN_PAIR_CHI_SQUARE, PAIR_BLOCK = 0.01, 49.0, 1024
 
 SCHEMA = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
 
@@ -69,11 +75,66 @@ def telling(held: np.ndarray, toxic: np.ndarray, n: int, n_toxic: float) -> np.n
     return (held >= MIN_TEXTS) & (np.nan_to_num(chi, posinf=0.0) >= MIN_CHI_SQUARE)
 
 
+def paired(doc: np.ndarray, bucket: np.ndarray, label: np.ndarray, alone: np.ndarray) -> np.ndarray:
+    """Buckets, not ``alone``, that belong to a pair whose interaction tells the labels apart.
+
+    Interaction: the sum over texts of both terms' and the label's deviations
+    from their means. Terms held by the same texts count as one.
+    """
+    n, found = len(label), np.zeros(len(alone), bool)
+    least = max(MIN_TEXTS, int(np.ceil(MIN_PAIR_SHARE * n)))
+    held = np.bincount(bucket, minlength=len(alone))
+    mine = (held >= least) & (held <= n - least) & ~alone
+    doc, bucket = doc[mine[bucket]], bucket[mine[bucket]]
+    if not len(doc) or label.min() == label.max():
+        return found
+    sums = np.bincount(bucket, texts.random_values(n, 17)[doc] >> np.uint64(12), len(alone))
+    terms_at = np.flatnonzero(mine)
+    _, first, same = np.unique(np.stack([sums[mine], held[mine]], axis=1), axis=0, return_index=True, return_inverse=True)
+    column = np.full(len(alone), -1)
+    column[terms_at[first]] = np.arange(len(first))
+    at = column[bucket]
+    doc, at = doc[at >= 0], at[at >= 0]
+    order = np.argsort(at, kind="stable")
+    doc, at = doc[order], at[order]
+    p = (held[terms_at[first]] / n).astype(np.float32)
+    y = (label - label.mean()).astype(np.float32)
+    blocks = range(0, len(first), PAIR_BLOCK)
+
+    def present(a: int) -> np.ndarray:
+        x, y = np.searchsorted(at, [a, a + PAIR_BLOCK])
+        table = np.zeros((n, min(PAIR_BLOCK, len(first) - a)), np.float32)
+        table[doc[x:y], at[x:y] - a] = 1
+        return table
+
+    good = np.zeros(len(first), bool)
+    for a in blocks:
+        one, pa_ = present(a), p[a : a + PAIR_BLOCK, None]
+        weighed = (one - pa_.T) * y[:, None]
+        for b in blocks[a // PAIR_BLOCK :]:
+            other = one if a == b else present(b)
+            pb = p[None, b : b + PAIR_BLOCK]
+            both = one.T @ other / n
+            # deviations of the label sum to zero, so a mean comes in once per column
+            effect = weighed.T @ other - weighed.sum(0)[:, None] * pb
+            # what the effect would vary by if the label knew nothing of the two, however alike they are
+            square = pa_**2 * pb**2 + pa_**2 * (1 - 2 * pb) * pb + pb**2 * (1 - 2 * pa_) * pa_ + (1 - 2 * pa_) * (1 - 2 * pb) * both
+            spread = np.maximum(square - (both - pa_ * pb) ** 2, 0)
+            strong = (effect**2 >= MIN_PAIR_CHI_SQUARE * n * y.var() * spread) & (both * n >= least - 0.5)
+            if a == b:
+                np.fill_diagonal(strong, False)
+            good[a : a + PAIR_BLOCK] |= strong.any(1)
+            good[b : b + PAIR_BLOCK] |= strong.any(0)
+    found[terms_at] = good[same.reshape(-1)]
+    return found
+
+
 def fit(doc: np.ndarray, bucket: np.ndarray, label: np.ndarray, buckets: int = BUCKETS, seed: int = 5) -> Machine:
     """Stochastic gradient with per-weight step sizes on the log loss, over documents in a fixed order."""
     rng, n = np.random.default_rng(seed), len(label)
     # terms too rare or too evenly spread to tell the labels apart would only learn the training texts by heart
     common = telling(np.bincount(bucket, minlength=buckets), np.bincount(bucket, label[doc], buckets), n, float(label.sum()))
+    common |= paired(doc, bucket, label, common)
     doc, bucket = doc[common[bucket]], bucket[common[bucket]]
     rate = float(np.clip(label.mean() if n else 0.5, 1e-3, 1 - 1e-3))
     bias = np.log(rate / (1 - rate))

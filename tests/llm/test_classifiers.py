@@ -91,3 +91,55 @@ def test_kept(spark):
     total = {r["quality"]: r["count"] for r in labels.groupBy("quality").count().collect()}
     shares = {r["quality"]: r["count"] / total[r["quality"]] for r in share}
     assert shares[1] > 0.98 and shares.get(0, 0) < 0.1
+
+
+def auc(score, label):
+    import numpy as np
+
+    rank, hit = np.argsort(np.argsort(score)), label == 1
+    return (rank[hit].sum() - hit.sum() * (hit.sum() - 1) / 2) / (hit.sum() * (~hit).sum())
+
+
+@pytest.mark.parametrize("rule", ["either, not both", "both or neither", "both"])
+def test_a_pair_without_effect_of_its_parts(rule):
+    import numpy as np
+
+    rng, n, others = np.random.default_rng(4), 6000, 300
+    present = rng.random((2 * n, others + 2)) < np.concatenate([[0.5, 0.5], rng.uniform(0.005, 0.6, others)])
+    one, two = present[:, 0], present[:, 1]
+    label = {"either, not both": one ^ two, "both or neither": one == two, "both": one & two}[rule].astype(int)
+    doc, bucket = np.nonzero(present[:n])
+    machine = toxicity.fit(doc, bucket, label[:n], buckets=512)
+    doc, bucket = np.nonzero(present[n:])
+    assert auc(machine.margins(doc, bucket, n), label[n:]) > 0.95
+    # few terms beside the two
+    assert np.any(machine.factors != 0, axis=1).sum() <= 8
+
+
+def test_every_passage_of_a_text_is_learned_from(spark):
+    """The label hangs on one passage of several hundred, anywhere in the text."""
+    import random
+
+    random.seed(9)
+    rows, labels = [], []
+    for i in range(240):
+        size = 64 * random.randrange(200, 300)
+        body = [random.choice(("plain", "words", "stand", "here")) for _ in range(size)]
+        if i % 2:
+            at = random.randrange(size // 64) * 64
+            body[at : at + 64] = ["$$$!!!"] * 64
+        rows.append((i, " ".join(body)))
+        labels.append((i, i % 2))
+    docs, known = odd.documents(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int")
+    scored = quality.score(docs, quality.train(docs, known)).where("held_out").collect()
+    assert len(scored) > 50 and sum(r["predicted"] == r["doc_id"] % 2 for r in scored) / len(scored) > 0.95
+
+
+def test_the_sample_is_bounded_by_whole_texts(spark):
+    docs = odd.documents(spark, [(i, "x" * (10_000 if i % 4 == 0 else 100)) for i in range(60)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    every = {r["doc_id"]: r["text"] for r in labelled.sample(docs, labels, "quality").collect()}
+    taken = {r["doc_id"]: r["text"] for r in labelled.sample(docs, labels, "quality", 6000, 2_000).collect()}
+    assert taken and taken.items() <= every.items() and sum(map(len, taken.values())) <= 2_000
+    assert {i for i, t in every.items() if len(t) == 100} >= set(taken)
+    assert labelled.sample(docs, labels, "quality", 6000, 10).count() == 0
