@@ -1,8 +1,10 @@
 """Operator 9: license scans as an exact set-similarity join.
 
-Text blocks are windows of 2 S words, S apart, where S is the longest template:
-any S words of a text lie in one block. A block contains a template when it
-holds at least the threshold share of the template's distinct words. Words are
+Text blocks are windows of 2 S words, S apart, where S is the template's length:
+any S words of a text lie in one block, and a short template has short blocks. A
+block contains a template when it holds at least the threshold share of the
+template's distinct words, the words that name the license among them: without
+those, "released under the old license" would be any license at all. Words are
 ordered by how often the whole corpus uses them, rare first. A template's prefix
 is so long that a block without any prefix word cannot reach the threshold;
 blocks that hold one must also pass the length filter (enough template words at
@@ -32,21 +34,21 @@ PHRASES = {
     "cc by": "cc-by",
     "mit license": "mit",
 }
-# Sentences by which licenses are granted, and their labels.
+# Sentences by which licenses are granted, their labels and the words in them that tell them from plain prose.
 TEMPLATES = (
-    ("this work is licensed under the gnu general public license version 3", "gpl"),
+    ("this work is licensed under the gnu general public license version 3", "gpl", "gnu"),
     ("this program is free software you can redistribute it and or modify it under the terms of the gnu general public "
-     "license as published by the free software foundation", "gpl"),
-    ("licensed under the apache license version 2 0", "apache"),
-    ("you may not use this file except in compliance with the license you may obtain a copy of the license at", "apache"),
-    ("licensed under cc by nc 4 0", "cc-by-nc"),
-    ("this work is licensed under a creative commons attribution 4 0 international license", "cc-by"),
-    ("released under the mit license", "mit"),
+     "license as published by the free software foundation", "gpl", "gnu foundation"),
+    ("licensed under the apache license version 2 0", "apache", "apache"),
+    ("you may not use this file except in compliance with the license you may obtain a copy of the license at", "apache", "compliance license"),
+    ("licensed under cc by nc 4 0", "cc-by-nc", "cc by nc"),
+    ("this work is licensed under a creative commons attribution 4 0 international license", "cc-by", "creative commons attribution"),
+    ("released under the mit license", "mit", "mit"),
     ("permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
-     "documentation files", "mit"),
+     "documentation files", "mit", "granted charge"),
     ("redistribution and use in source and binary forms with or without modification are permitted provided that the "
-     "following conditions are met", "bsd"),
-    ("this source code form is subject to the terms of the mozilla public license v 2 0", "mpl"),
+     "following conditions are met", "bsd", "redistribution source binary"),
+    ("this source code form is subject to the terms of the mozilla public license v 2 0", "mpl", "mozilla"),
 )
 THRESHOLD = 0.8
 # Template words are sent to every task: this many at most.
@@ -86,8 +88,11 @@ def place(vocabulary: np.ndarray, hashed: np.ndarray) -> np.ndarray:
 
 
 def scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, threshold: float = THRESHOLD) -> DataFrame:
-    """One row per document: phrase places, labels of phrases and contained templates, best containment."""
-    sets = [np.unique(hashes(t)) for t, _ in templates]
+    """One row per document: phrase places, labels of phrases and contained templates, best containment.
+
+    Templates of more than MAX_TEMPLATE_WORDS different words are refused; scan with a part of them at a time.
+    """
+    sets = [np.unique(hashes(t)) for t, _, _ in templates]
     vocabulary = np.unique(np.concatenate(sets))
     if len(vocabulary) > MAX_TEMPLATE_WORDS:
         raise ValueError("too many template words to send to every task; scan with a part of the templates at a time")
@@ -98,13 +103,17 @@ def scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, threshold: float
     rank[order] = np.arange(len(vocabulary))
     ordered = [np.sort(rank[place(vocabulary, s)]) for s in sets]
     needed = [ceil(threshold * len(s) - 1e-9) for s in sets]
-    by_prefix: dict[int, list[int]] = {}
+    musts = [rank[place(vocabulary, hashes(m))] for _, _, m in templates]
+    # by template length: the templates' words, and the templates by each word of their prefixes
+    by_span: dict[int, tuple[np.ndarray, np.ndarray, dict[int, list[int]]]] = {}
     for t, (words, need) in enumerate(zip(ordered, needed)):
+        of_any, in_prefix, by_prefix = by_span.setdefault(
+            len(hashes(templates[t][0])), (np.zeros(len(vocabulary), bool), np.zeros(len(vocabulary), bool), {})
+        )
+        of_any[words] = True
         for r in words[: len(words) - need + 1]:
+            in_prefix[r] = True
             by_prefix.setdefault(int(r), []).append(t)
-    in_prefix = np.zeros(len(vocabulary), bool)
-    in_prefix[list(by_prefix)] = True
-    span = max(len(hashes(t)) for t, _ in templates)
     wanted = [(hashes(p), label) for p, label in phrases.items()]
 
     def work(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -139,18 +148,24 @@ def scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, threshold: float
     def contained(w: texts.Words, first: np.ndarray) -> Iterator[tuple[int, int, float]]:
         at = place(vocabulary, w.hash)
         hit = np.flatnonzero(at >= 0)
-        if not len(hit):
-            return
-        ranks, docs_at = rank[at[hit]], w.doc[hit]
-        block = (hit - first[docs_at]) // span
+        for span in by_span:
+            yield from of_length(span, w.doc[hit], hit - first[w.doc[hit]], rank[at[hit]])
+
+    def of_length(span: int, docs_at: np.ndarray, words_at: np.ndarray, ranks: np.ndarray) -> Iterator[tuple[int, int, float]]:
+        of_any, in_prefix, by_prefix = by_span[span]
+        mine = of_any[ranks]
+        docs_at, block, ranks = docs_at[mine], words_at[mine] // span, ranks[mine]
         # a word lies in the block that begins with its stretch and in the one before it
         docs2, ranks2, block2 = np.tile(docs_at, 2), np.tile(ranks, 2), np.concatenate([block, block - 1])
-        real = block2 >= 0
+        named = docs2 * (int(block.max(initial=0)) + 2) + block2 + 1
+        # only blocks that hold a prefix word
+        real = (block2 >= 0) & np.isin(named, named[in_prefix[ranks2]])
+        if not real.any():
+            return
         rows = np.unique(np.stack([docs2[real], block2[real], ranks2[real]], axis=1), axis=0)
         new = np.flatnonzero(np.any(rows[1:, :2] != rows[:-1, :2], axis=1)) + 1
         begins, ends = np.concatenate([[0], new]), np.concatenate([new, [len(rows)]])
-        held = np.add.reduceat(in_prefix[rows[:, 2]].astype(np.int64), begins) > 0
-        for a, b in zip(begins[held].tolist(), ends[held].tolist()):
+        for a, b in zip(begins.tolist(), ends.tolist()):
             mine = rows[a:b, 2]
             seen = set()
             for j, r in enumerate(mine.tolist()):
@@ -163,7 +178,7 @@ def scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, threshold: float
                     if len(mine) < need or min(len(words) - i, len(mine) - j) < need:
                         continue
                     shared = len(np.intersect1d(words, mine, assume_unique=True))
-                    if shared >= need:
+                    if shared >= need and np.isin(musts[t], mine).all():
                         yield int(rows[a, 0]), t, shared / len(words)
 
     return texts.map_texts(docs, work, DDL)

@@ -24,12 +24,12 @@ def brute(text):
             if w[i : i + len(p)] == p:
                 places.append(i)
                 base.add(label)
-    labels, score, span = set(base), 1.0 if places else 0.0, max(len(words(t)) for t, _ in licenses.TEMPLATES)
-    for a in range(0, len(w), span):
-        block = set(w[a : a + 2 * span])
-        for template, label in licenses.TEMPLATES:
-            t = set(words(template))
-            if len(block & t) >= ceil(licenses.THRESHOLD * len(t) - 1e-9):
+    labels, score = set(base), 1.0 if places else 0.0
+    for template, label, must in licenses.TEMPLATES:
+        t, span = set(words(template)), len(words(template))
+        for a in range(0, len(w), span):
+            block = set(w[a : a + 2 * span])
+            if len(block & t) >= ceil(licenses.THRESHOLD * len(t) - 1e-9) and set(must.split()) <= block:
                 labels.add(label)
                 score = max(score, len(block & t) / len(t))
     return (len(w), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)), ",".join(sorted(labels)), score)
@@ -67,3 +67,18 @@ def test_odd_documents(spark):
     assert len(got) == len(odd.ROWS)
     agree(got, dict(odd.ROWS))
     assert licenses.scan(odd.empty(spark)).count() == 0
+
+
+def test_plain_prose_is_no_license(spark):
+    prose = [
+        "The firmware was released last week under the old license of the company.",
+        "This work of the general public was licensed in 3 states under the version of the license you know.",
+        "He was released under the condition that the license be returned, and drove home.",
+        "You may use this file, or obtain a copy of the other file at the office with the license plate.",
+        "The international commons 4 work is licensed under a 0 a license.",
+    ]
+    named = [(t, label) for t, label, _ in licenses.TEMPLATES]
+    rows = licenses.scan(odd.documents(spark, list(enumerate(prose + [t for t, _ in named])))).collect()
+    got = {r["doc_id"]: r for r in rows}
+    assert all(got[i]["labels"] == "" and got[i]["score"] == 0 for i in range(len(prose)))
+    assert all(label in got[len(prose) + k]["labels"].split(",") for k, (_, label) in enumerate(named))
