@@ -125,7 +125,7 @@ def tables_in_folders(spark):
     return path
 
 
-@pytest.mark.parametrize("name", ["i4_running"])
+@pytest.mark.parametrize("name", ["i1_stream_parse", "i4_running"])
 def test_streams_read_tables_of_many_files(spark, tables_in_folders, name):
     def rows(sf_dir):
         return sorted(map(tuple, catalog.QUERIES[name](spark, sf_dir).collect()))
