@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from corpusloom.session import stage, work_dir
 
+# Bitmaps, of 32,768 row numbers each, that go to every task; rows with more of them meet their numbers in a shuffle.
+MOST_BITMAPS = 1 << 13
+
 # Place values of an order and a row number, both below 2^63, in one decimal of 38 digits.
 _SHIFT = Decimal(10**19)
 
@@ -18,9 +21,9 @@ def winning_rows(rows: DataFrame, keys: list[str], order: Column | None = None,
 
     The rows are written once, with a number each. The winner of a key is found from
     key, order and number alone, in fixed-width buffers that combine inside each
-    task: no wide column is sorted or carried along. The winners' rows are fetched by
-    their numbers, which no two rows share, so a key with very many rows stays spread.
-    A null order comes last. ``count`` adds how many rows a key had.
+    task: no wide column is sorted or carried along. The winners' rows are picked by
+    their numbers where they lie (:func:`rows_at`), so a key with very many rows stays
+    spread. A null order comes last. ``count`` adds how many rows a key had.
     """
     held = rows.withColumn("_order", F.coalesce(order.cast("long"), F.lit((1 << 63) - 1)) if order is not None else F.lit(0).cast("long"))
     held = stage(held.withColumn("_at", F.monotonically_increasing_id()), work_dir(rows.sparkSession, "winners"))
@@ -28,4 +31,23 @@ def winning_rows(rows: DataFrame, keys: list[str], order: Column | None = None,
     counts = [F.count(F.lit(1)).alias(count)] if count else []
     best = held.groupBy(*keys).agg(F.min(packed).alias("_best"), *counts)
     places = best.select((F.col("_best") % F.lit(_SHIFT)).cast("long").alias("_at"), *([count] if count else []))
-    return held.join(places, "_at").drop("_at", "_order")
+    won = rows_at(held, places, "_at")
+    return (won.join(places, "_at") if count else won).drop("_at", "_order")
+
+
+def rows_at(rows: DataFrame, places: DataFrame, at: str, *within: str) -> DataFrame:
+    """The rows of a written table whose number ``at`` is among ``places``; no row moves for it.
+
+    The numbers count the rows of each task, or of each file that ``within`` names, so
+    they lie close together: a bit for each goes to all tasks, as bitmaps of 4 KB. Where
+    these are too many the rows are joined with their numbers.
+    """
+    number = F.col(at) + 1
+    bits = places.groupBy(*within, F.bitmap_bucket_number(number).alias("_block"))
+    bits = stage(bits.agg(F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("_bits")), work_dir(rows.sparkSession, "bitmaps"))
+    if bits.count() > MOST_BITMAPS:
+        return rows.join(places.select(*within, at), [*within, at], "left_semi")
+    position = F.bitmap_bit_position(number)
+    byte = F.conv(F.hex(F.substr("_bits", (F.floor(position / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    marked = rows.withColumn("_block", F.bitmap_bucket_number(number)).join(F.broadcast(bits), [*within, "_block"])
+    return marked.where(F.getbit(byte, (position % 8).cast("int")) == 1).drop("_block", "_bits")

@@ -26,6 +26,8 @@ SETTINGS = {
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.session.timeZone": "UTC",
+    # staged texts are written once and read a few times
+    "spark.sql.parquet.compression.codec": "zstd",
 }
 
 

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.operators.planning import remaining_work
+from corpusloom.operators.winners import rows_at
 from corpusloom.sources import manifest
 
 # Columns of a log besides its own: who wrote a row, and the number of the commit, which orders all batches of all runs.
@@ -58,7 +59,7 @@ def append_batch(
     A batch is known by its run and number: run again it replaces itself, and no
     run writes over the batches of another. All rows of a key go together. The
     rows are written as they come; only where some of their keys prove finished
-    are they written again without those. A batch that was merged is not replaced
+    are they written again without those, picked by their place in the files. A batch that was merged is not replaced
     any more: its run has gone on behind it.
     """
     spark = new.sparkSession
@@ -77,7 +78,9 @@ def append_batch(
     again = written.select(key).distinct().join(finished.select(key).distinct(), key, "left_semi")
     if not again.isEmpty():
         kept = manifest.new_folder(f"{run}-{batch_id}")
-        remaining_work(written, finished, key, unique=True).select(*with_own(schema).names).write.parquet(f"{path}/{kept}")
+        placed = written.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+        open_rows = remaining_work(placed.select(key, "_file", "_row"), finished, key, unique=True)
+        rows_at(placed, open_rows, "_row", "_file").select(*with_own(schema).names).write.parquet(f"{path}/{kept}")
         folder, written = kept, manifest.read_folders(spark, path, [kept], with_own(schema))
     rows = written.count()  # from the footers
     if rows:
