@@ -15,7 +15,7 @@ from corpusloom.operators import planning
 from corpusloom.operators import responses as R
 from corpusloom.plans import corpus_flow, generation_flow
 from corpusloom.plans.calling import call_rounds
-from corpusloom.session import work_dir
+from corpusloom.session import stage, work_dir
 from corpusloom.sources import jsonl
 
 
@@ -101,14 +101,16 @@ def grid_shortfall(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _call_corpus(spark: SparkSession, sf_dir: str) -> corpus_flow.CallCorpus:
-    """Calls of even documents run first and alone; then all, with answers to everything."""
+    """Calls of even documents run first and alone; then all, with answers to everything.
+
+    Answers are kept once; the six attempts of a call are made of its own as a round reads them.
+    """
     out, answers = work_dir(spark, "call-corpus"), work_dir(spark, "call-answers")
     docs = fx.table(spark, sf_dir, "documents")
     plan = docs.select(
         F.concat(F.lit("MIG-"), "doc_id").alias("call_id"), F.col("doc_id").alias("ordinal"), F.concat(F.lit("out-"), F.col("doc_id") % 50, F.lit(".jsonl")).alias("filename")
     )
-    fx.json_attempts(spark, sf_dir).write.partitionBy("stage", "attempt").parquet(answers)
-    family, responses = corpus_flow.batch_family("migration"), spark.read.parquet(answers)
+    family, responses = corpus_flow.batch_family("migration"), fx.as_attempts(stage(fx.json_responses(spark, sf_dir), answers))
     corpus_flow.call_corpus(plan.where("ordinal % 2 = 0"), responses, out, family)
     return corpus_flow.call_corpus(plan, responses, out, family)
 

@@ -108,8 +108,12 @@ def json_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def json_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_attempts(json_responses(spark, sf_dir))
+
+
+def as_attempts(responses: DataFrame) -> DataFrame:
     """Six attempts in two stages; the text is cut off until attempt doc_id % 7 + 1."""
-    rows = json_responses(spark, sf_dir).select("*", F.explode(F.sequence(F.lit(0), F.lit(5))).alias("k"))
+    rows = responses.select("*", F.explode(F.sequence(F.lit(0), F.lit(5))).alias("k"))
     raw = F.when(F.col("k") < F.col("doc_id") % 7, F.left("raw", F.length("raw") - 20)).otherwise(F.col("raw"))
     return rows.select(
         "call_id",

@@ -257,14 +257,16 @@ def up_to(attempts: DataFrame, most: int | None, attempt: str = "attempt") -> Da
     return attempts if most is None else attempts.where(F.col(attempt) <= most)
 
 
-def first_acceptable(attempts: DataFrame, keys: list[str], order: Column, value: str, ok: Column) -> DataFrame:
+def first_acceptable(
+    attempts: DataFrame, keys: list[str], order: Column, value: str, ok: Column, among: DataFrame | None = None
+) -> DataFrame:
     """Per key the value of its lowest attempt that passes the gate.
 
     Failed attempts leave through a generator. The others are written once, the
     lowest of a key is found without its value, and only that value is fetched.
-    Keys without a passing attempt are absent and stay "remaining".
+    Keys without a passing attempt are absent and stay "remaining", as are those not in ``among``, if that is given.
     """
     passing = attempts.select(
         *keys, F.inline(F.when(ok, F.array(F.struct(order.cast("long").alias("_attempt"), F.col(value).alias(value)))))
     )
-    return winning_rows(passing, keys, F.col("_attempt")).select(*keys, value)
+    return winning_rows(passing, keys, F.col("_attempt"), among=among).select(*keys, value)

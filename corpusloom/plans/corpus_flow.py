@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from corpusloom.operators import cleaning, planning, reports
 from corpusloom.operators import responses as R
 from corpusloom.operators.skew import lookup_join
+from corpusloom.operators.winners import sifted
 from corpusloom.plans.generation_flow import sectioned_results
 from corpusloom.session import own_tables, stage, work_dir
 from corpusloom.sources import calls, jsonl, manifest
@@ -144,8 +145,9 @@ def call_corpus(plan: DataFrame, responses: DataFrame, out: str, family: Family,
 
     ``plan``: call id, ordinal, filename. ``responses``: call id, stage, attempt, raw;
     laid out by stage and attempt, as rounds of calls leave them, each round reads
-    its own folder. A round looks into answers of calls that are open still: an answer
-    behind an acceptable one is never parsed. Calls that end a run are kept with
+    its own folder. A round looks into answers of calls that are open still, which a sieve
+    of their hashes finds where they lie: an answer behind an acceptable one is parsed only
+    where two hashes meet, and never taken. Calls that end a run are kept with
     their records, so a call whose answer holds none is finished, too.
     """
     spark = plan.sparkSession
@@ -156,11 +158,11 @@ def call_corpus(plan: DataFrame, responses: DataFrame, out: str, family: Family,
             todo = planning.remaining_work(todo, calls.read_calls(spark, finished), key, unique=True)
         todo = stage(todo, work_dir(spark, "open"))
         won, parsed = [], 0
-        for number, (stage_no, attempt) in enumerate(family.rounds):
+        for stage_no, attempt in family.rounds:
             answers = responses.where((F.col("stage") == stage_no) & (F.col("attempt") == attempt)).select(key, "raw")
             seen = Observation()
-            asked = lookup_join(answers, todo, key, "left_semi").observe(seen, F.count(F.lit(1)).alias("n"))
-            first = stage(R.first_acceptable(family.parse(asked), [key], F.lit(0), family.value, family.ok), work_dir(spark, f"round-{number}"))
+            asked = sifted(answers, todo, key).observe(seen, F.count(F.lit(1)).alias("n"))
+            first = R.first_acceptable(family.parse(asked), [key], F.lit(0), family.value, family.ok, among=todo)
             parsed += seen.get["n"]
             won.append(first)
             todo = stage(planning.remaining_work(todo, first, key, unique=True), work_dir(spark, "open"))
