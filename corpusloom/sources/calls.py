@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusloom.operators.winners import rows_at
 from corpusloom.session import own_tables, stage, work_dir
 from corpusloom.sources import manifest
 
@@ -60,8 +61,7 @@ def _overwrite(records: DataFrame, path: str, call: str, bucket_rows: int) -> No
     rewritten = {origin_of(b, held) for b in touched}
     schema = T.StructType.fromJson(json.loads(content["schema"])) if old else new.schema
     before = manifest.read_folders(spark, path, [old[str(b)]["folder"] for b in sorted(rewritten) if str(b) in old], schema)
-    replaced = new.select(F.col(call).alias("_replaced")).distinct()
-    kept = before.join(replaced, F.col(call).eqNullSafe(F.col("_replaced")), "left_anti")
+    kept = _without(before, new, call) if rewritten & {int(b) for b in old} else before
     rows = kept.unionByName(new, allowMissingColumns=True)
 
     folder = manifest.new_folder("calls")
@@ -76,6 +76,14 @@ def _overwrite(records: DataFrame, path: str, call: str, bucket_rows: int) -> No
     manifest.clean_up(spark, path)
 
 
+def _without(before: DataFrame, new: DataFrame, call: str) -> DataFrame:
+    """The stored rows whose call is not written anew, picked by their place in the files."""
+    placed = before.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    replaced = new.select(F.col(call).alias("_replaced")).distinct()
+    kept = placed.select(call, "_file", "_row").join(replaced, F.col(call).eqNullSafe(F.col("_replaced")), "left_anti")
+    return rows_at(placed, kept, "_row", "_file").select(*before.columns)
+
+
 def read_calls(spark: SparkSession, path: str) -> DataFrame:
     """The records of all calls."""
     number, content = manifest.latest(spark, path)
