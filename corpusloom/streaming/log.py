@@ -3,7 +3,7 @@
 The log is a set of written-once folders, named by a version (sources.manifest).
 A batch is a folder of its own. FANOUT folders of a level are merged into one of
 the next level, in buckets by a hash of the key, of about BUCKET_ROWS rows each,
-however large the folder is. To find out which of its keys are finished, a batch
+however large the folder is, up to MOST_BUCKETS of them. To find out which of its keys are finished, a batch
 reads the key column of the few folders not merged yet and, of each merged one,
 of the buckets its own keys fall into. So it reads at most as many buckets as it
 has keys from each of a number of folders that grows with the logarithm of the log, and every row is
@@ -31,6 +31,8 @@ BUCKET = "bucket"
 FANOUT = 8
 # Rows of a bucket when its folder is written.
 BUCKET_ROWS = 1 << 18
+# Buckets of a folder: each is a folder with a file to write, list and open. A larger one has larger buckets.
+MOST_BUCKETS = 1 << 10
 
 
 def open_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -106,7 +108,9 @@ def finished_rows(keys: DataFrame, path: str, parts: list[dict], schema: T.Struc
             folders.append(p["folder"])
         else:
             filled = set(p["filled"])
-            folders += [f"{p['folder']}/{BUCKET}={b}" for b in sorted({t % p["buckets"] for t in touched}) if b in filled]
+            hit = sorted({t % p["buckets"] for t in touched} & filled)
+            # all of them are one folder to list
+            folders += [p["folder"]] if len(hit) == len(filled) else [f"{p['folder']}/{BUCKET}={b}" for b in hit]
     return manifest.read_folders(spark, path, folders, with_own(schema))
 
 
@@ -136,7 +140,7 @@ def merge(spark: SparkSession, path: str, schema: T.StructType, key: str, fanout
         parts = levels[full[0]]
         rows = sum(p["rows"] for p in parts)
         buckets = 1
-        while buckets * bucket_rows < rows:
+        while buckets * bucket_rows < rows and buckets < MOST_BUCKETS:
             buckets *= 2
         folder = manifest.new_folder(f"level-{full[0] + 1}")
         table = manifest.read_folders(spark, path, [p["folder"] for p in parts], with_own(schema))

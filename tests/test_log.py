@@ -69,6 +69,24 @@ def test_finished_keys_are_left_out_wherever_they_are(spark):
     assert held(spark, path) == sorted(want)
 
 
+def test_a_folder_has_no_more_buckets_than_it_may(spark, monkeypatch):
+    """And a batch that falls into all of them reads the folder as one."""
+    monkeypatch.setattr(L, "MOST_BUCKETS", 4)
+    path = work_dir(spark, "log")
+    L.open_log(spark, path, SCHEMA)
+    for n in range(7):
+        append(rows(spark, [n * 40 + i for i in range(40)]), n, path)
+    parts = manifest.latest(spark, path)[1]["parts"]
+    assert max(p["buckets"] for p in parts) == 4
+    append(rows(spark, range(300)), 7, path)
+    assert held(spark, path) == sorted((k, "x", min(k // 40, 7)) for k in range(300))
+    merged = next(p for p in parts if p["buckets"] == 4)
+    paths = []
+    monkeypatch.setattr(manifest, "read_folders", lambda spark, path, folders, schema: paths.extend(folders))
+    L.finished_rows(rows(spark, range(300)), path, [merged], SCHEMA, "k")
+    assert paths == [merged["folder"]]
+
+
 def test_merged_batches_are_not_replaced(spark):
     path = work_dir(spark, "log")
     L.open_log(spark, path, SCHEMA)
