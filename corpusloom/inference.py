@@ -13,6 +13,8 @@ from corpusloom.session import stage, work_dir
 
 # Characters that count as a token where no better estimate is given.
 CHARS_PER_TOKEN = 4
+# Tasks of packed calls: this many, or so many times the cores, if that is more. Each costs a start, and a fetch from every task before it.
+MOST_TASKS, TASKS_PER_CORE = 1 << 9, 8
 
 Model = Callable[[pd.Series], pd.Series] | Callable[[pd.DataFrame], pd.Series]
 
@@ -78,7 +80,10 @@ def infer_packed(
     """As :func:`infer`, with calls of about ``budget`` tokens in each task, so that tasks end alike.
 
     ``weight`` is what a call costs (:func:`message_tokens`); one dearer than the budget has a task to itself.
+    Where that makes more tasks than MOST_TASKS, each has as many budgets in a row as it takes.
     """
     names = [prompt] if isinstance(prompt, str) else list(prompt)
     rows, n = with_bins(df, key, weight, budget)
-    return _call(rows.repartitionById(n, F.col("_bin").cast("int")).select(key, *names), fn, key, prompt, in_flight)
+    tasks = min(n, max(MOST_TASKS, TASKS_PER_CORE * df.sparkSession.sparkContext.defaultParallelism))
+    task = F.floor(F.col("_bin") * tasks / n).cast("int")
+    return _call(rows.repartitionById(tasks, task).select(key, *names), fn, key, prompt, in_flight)
