@@ -26,6 +26,8 @@ SETTINGS = {
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.session.timeZone": "UTC",
+    # texts go to Python by their bytes; 10,000 long ones, the default, fill a worker
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
     # staged texts are written once and read a few times
     "spark.sql.parquet.compression.codec": "zstd",
 }
