@@ -192,6 +192,19 @@ def test_infer(spark):
     assert {r["id"]: r["raw"] for r in infer(df, model, "id", tasks=2).collect()} == {1: "a!", 2: None}
 
 
+def test_long_prompts_come_in_small_batches(spark):
+    """By their bytes, not by their number; the last one of a batch may go beyond the bound."""
+    def model(prompts):
+        chars = prompts.str.len()
+        assert chars.iloc[:-1].sum() <= 6 << 20
+        return chars.astype(str)
+
+    size = F.when(F.col("id") == 100, 9_000_000).otherwise(100_000).cast("int")
+    plan = spark.range(0, 200, 1, 1).select("id", F.repeat(F.lit("x"), size).alias("prompt"))
+    got = {r["id"]: r["raw"] for r in infer(plan, model, "id").collect()}
+    assert got == {k: "9000000" if k == 100 else "100000" for k in range(200)}
+
+
 def test_calls_are_packed_by_tokens(spark):
     """Every task has about the budget's tokens, whichever keys are dear; a call over the budget stands alone."""
     rows = spark.range(400).select(
