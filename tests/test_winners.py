@@ -85,3 +85,8 @@ def test_stored_records_stay_where_they_are_read(spark, no_broadcast_by_size):
     calls.overwrite_calls(rows.where("substring(call_id, -1) = '7'").withColumn("v", F.lit(2)), path, bucket_rows=400)
     got = {(r["call_id"], r["v"]): r["count"] for r in calls.read_calls(spark, path).groupBy("call_id", "v").count().collect()}
     assert got == {(f"c{k}", 2 if k % 10 == 7 else 1): 2 for k in range(2000)}
+
+
+def test_staged_tables_are_packed_tightly(spark):
+    path = work_dir(spark, "staged")
+    assert all(".zstd." in f for f in stage(spark.range(10), path).inputFiles())
