@@ -12,8 +12,10 @@ only candidates that may still reach T are probed in the long lists by binary
 search.
 
 Equal sets are one class from the start. Links first go from each list's first
-set to its others; only sets of different components are compared further, so
-a list of thousands of near copies costs its length, not its square. Two sets that
+set to its others, then, on lists where many sets are outside the component of
+most, from further heads to sets of about their size, in turns. Only sets of different
+components are compared further, so a list of thousands of near copies costs its
+length, not its square, whichever set comes first. Two sets that
 share many lists are a pair on few of them; candidates are chosen by listed
 shingles, as in a prefix join, and merging and probing decide on whole sets.
 
@@ -24,6 +26,7 @@ without an id has a null component; rows of one id are one node.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -38,6 +41,8 @@ SHINGLE_WORDS, PERCENT = 5, 80
 # Long lists are those of LONG_LIST documents and more; their shingles are sent to every task. The length grows with
 # the corpus, so that there are at most MAX_LONG of them.
 LONG_LIST, MAX_LONG = 64, 1 << 16
+# A list with more sets than this outside the component of most gets further heads, one in each turn.
+MANY_OUTSIDE, TURNS = 16, 2
 # The lists before this one that each row names; two sets that name a common one have met there.
 BEFORE = ("before1", "before2")
 # Ids that may be sent to every task to pick their texts or sketches; more of them are joined instead.
@@ -245,19 +250,19 @@ def _near_components(docs: DataFrame, k: int, percent: int) -> DataFrame:
 
     lists_at = work_dir(spark, "sketches")
     lists = stage(_lists(docs.where(F.col("doc_id").isNotNull()), long, k, percent), lists_at)
-    shared_at, links_at, contested_at, met_at = (work_dir(spark, n) for n in ("shared", "sure-links", "contested-lists", "met"))
-    known_at = work_dir(spark, "sure-components")
+    met_at, known_at = (work_dir(spark, n) for n in ("met", "sure-components"))
     with own_tables(spark):
+        entries_at, sure_at, links_at = (work_dir(spark, n) for n in ("known-entries", "sure", "sure-links"))
         with own_tables(spark):
             mine = classes.select(F.col("one").alias("doc_id"))
-            shared = stage(_shared(lists.drop("wide").join(mine, "doc_id", "left_semi"), percent), shared_at)
+            entries, facts = _entries(lists.drop("wide").join(mine, "doc_id", "left_semi"))
+            entries = stage(entries, entries_at)
+            sure = stage(_to_heads(entries, facts, percent), sure_at)
         with own_tables(spark):
-            sure = shared.where("alike and doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct()
-            sure = stage(_verified(docs, _meeting(sure, lists, percent), k, percent), links_at)
-            known = stage(graph.components(sure), known_at)
-        with own_tables(spark):
-            contested = stage(_contested(shared, known), contested_at)
-        met = stage(_across(contested, percent), met_at)
+            links = stage(_verified(docs, _meeting(sure, lists, percent), k, percent), links_at)
+        contested, known = _merged(docs, lists, entries, links, known_at, k, percent)
+        rows = stage(_placed(entries, known).join(contested, "shingle"), work_dir(spark, "contested-lists"))
+        met = stage(_across(rows, percent), met_at)
     rest = _verified(docs, _meeting(met, lists, percent), k, percent)
     links = known.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")).union(rest)
     found = stage(graph.components(links), work_dir(spark, "components"))
@@ -273,12 +278,10 @@ def _near_components(docs: DataFrame, k: int, percent: int) -> DataFrame:
     )
 
 
-def _shared(lists: DataFrame, percent: int) -> DataFrame:
-    """(shingle, doc_id, n, bits, ending, single, before, first, alike) of all listed shingles that two sets or more list.
+def _entries(lists: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(shingle, doc_id, before, n, bits, ending, single) of all listed shingles that two sets or more list; and the facts of each set.
 
-    ``single`` counts the listed shingles a set shares with none. The head of a
-    list, ``first``, is the set with the fewest of these: the one most like all others;
-    ``alike`` tells whether the two may link. ``before`` are the set's lists next to this one.
+    ``single`` counts the listed shingles a set shares with none. ``before`` are the set's lists next to this one.
     """
     spark = lists.sparkSession
     lists = stage(lists, work_dir(spark, "lists"))
@@ -292,39 +295,102 @@ def _shared(lists: DataFrame, percent: int) -> DataFrame:
     facts = stage(facts, work_dir(spark, "facts"))
     mine = Window.partitionBy("doc_id").orderBy("shingle")
     entries = entries.select("shingle", "doc_id", *(F.lag("shingle", k + 1).over(mine).alias(b) for k, b in enumerate(BEFORE)))
-    entries = stage(entries.join(facts, "doc_id"), work_dir(spark, "known-entries"))
+    return entries.join(facts, "doc_id"), facts
+
+
+def _to_heads(entries: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of each list's head and the sets on it that may link with it.
+
+    The head is the set with the fewest shingles of its own: the one most like all others.
+    """
+    spark = entries.sparkSession
     heads = entries.groupBy("shingle").agg(F.min(F.struct("single", "n", "doc_id")).alias("head"))
     heads = stage(heads.select("shingle", F.col("head.doc_id").alias("first")), work_dir(spark, "firsts"))
     head = F.struct("n", *_FACTS, "single").alias("head")
     heads = heads.join(facts.select(F.col("doc_id").alias("first"), head), "first")
-    alike = _may_link(F.col, lambda c: F.col(f"head.{c}"), percent).alias("alike")
-    return entries.join(stage(heads, work_dir(spark, "heads")), "shingle").select(*entries.columns, "first", alike)
+    met = entries.drop(*BEFORE).join(stage(heads, work_dir(spark, "heads")), "shingle").where("doc_id <> first")
+    met = met.where(_may_link(F.col, lambda c: F.col(f"head.{c}"), percent))
+    return met.select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct()
 
 
-def _contested(shared: DataFrame, known: DataFrame) -> DataFrame:
-    """The rows of the lists that hold sets of two components or more, each with its component and that of the list's head."""
-    spark = shared.sparkSession
-    of = lambda c: known.select(F.col("node").alias(c), F.col("component").alias(f"{c}_in"))
-    rows = shared.drop("alike").join(of("doc_id"), "doc_id", "left").join(of("first"), "first", "left").select(
-        "shingle", "doc_id", "n", *_FACTS, "single", *BEFORE, F.coalesce("doc_id_in", "doc_id").alias("inside"),
-        F.coalesce("first_in", "first").alias("first_inside"),
+def _placed(entries: DataFrame, known: DataFrame) -> DataFrame:
+    """The entries with ``inside``, the component of each set."""
+    known = known.select(F.col("node").alias("doc_id"), "component")
+    return entries.join(known, "doc_id", "left").withColumn("inside", F.coalesce("component", "doc_id")).drop("component")
+
+
+def _contested(entries: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """(shingle, main, outside) of the lists that hold sets of two components or more.
+
+    ``main`` is the component of most of its sets, ``outside`` counts the others. Lists of
+    two components whose sizes are too far apart for any link are left out.
+    """
+    rows = _placed(entries.select("shingle", "doc_id", "n"), known).select("shingle", "inside", "n")
+    # one shuffle for both groupings
+    parts = rows.repartition("shingle").groupBy("shingle", "inside").agg(
+        F.count(F.lit(1)).alias("sets"), F.min("n").alias("low"), F.max("n").alias("high")
     )
-    rows = stage(rows, work_dir(spark, "placed-lists"))
-    lists = rows.where("inside <> first_inside").select("shingle").distinct()
-    return rows.join(stage(lists, work_dir(spark, "contested")), "shingle", "left_semi")
+    lists = parts.groupBy("shingle").agg(
+        F.count(F.lit(1)).alias("parts"), F.max(F.struct("sets", "inside", "low", "high")).alias("main"),
+        *(F.sum(c).alias(c) for c in ("sets", "low", "high")),
+    )
+    main = {c: F.col(f"main.{c}") for c in ("sets", "inside", "low", "high")}
+    low, high = F.col("low") - main["low"], F.col("high") - main["high"]  # of the other part, where there are two
+    apart = (F.col("parts") == 2) & ((100 * high < percent * main["low"]) | (100 * main["high"] < percent * low))
+    return lists.where((F.col("parts") > 1) & ~apart).select("shingle", main["inside"].alias("main"), (F.col("sets") - main["sets"]).alias("outside"))
+
+
+def _merged(docs: DataFrame, lists: DataFrame, entries: DataFrame, links: DataFrame, known_at: str, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The contested lists, and the components known by ``links`` and by those found in turns.
+
+    On a list with many sets outside the component of most, two heads of each size, one in that component and one outside,
+    are compared with the others of about that size, other heads in each turn. That merges a large group of near
+    copies where the first set of their lists is unlike them.
+    """
+    spark = docs.sparkSession
+    places = [work_dir(spark, n) for n in ("contested", "crowded", "known")]
+    with own_tables(spark):
+        known = stage(graph.components(links), places[2])
+    contested = stage(_contested(entries, known, percent), places[0])
+    crowd = contested.where(F.col("outside") > MANY_OUTSIDE)
+    if crowd.isEmpty():
+        return contested, stage(known, known_at)
+    crowded = stage(entries.join(crowd.select("shingle"), "shingle", "left_semi"), places[1])
+    for turn in range(TURNS):
+        links_at, next_at = (work_dir(spark, n) for n in ("turn-links", "known"))
+        with own_tables(spark):
+            rows = _placed(crowded, known).join(crowd, "shingle").withColumn("in_main", F.col("inside") == F.col("main"))
+            # sets of about one size; every other turn cuts the sizes at other places
+            band = F.floor(F.log("n") / math.log(100 / min(percent, 99)) + turn / 2).alias("band")
+            rows = stage(rows.select("shingle", "doc_id", "n", *_FACTS, "single", "inside", "in_main", band), work_dir(spark, "placed"))
+            facts = F.struct("single", F.xxhash64("doc_id", F.lit(turn)).alias("order"), "doc_id", "n", *_FACTS, "inside")
+            heads = rows.groupBy("shingle", "band", "in_main").agg(F.min(facts).alias("head")).drop("in_main")
+            met = rows.join(stage(heads, work_dir(spark, "turn-heads")), ["shingle", "band"]).where("inside <> head.inside")
+            met = met.where(_may_link(F.col, lambda c: F.col(f"head.{c}"), percent))
+            met = met.select(F.least("doc_id", "head.doc_id").alias("a"), F.greatest("doc_id", "head.doc_id").alias("b")).distinct()
+            found = stage(_verified(docs, _meeting(met, lists, percent), k, percent), links_at)
+            if found.isEmpty():
+                break
+            before = known.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+            known = stage(graph.components(before.union(found)), next_at)
+            crowd = stage(_contested(crowded, known, percent), work_dir(spark, "crowd")).where(F.col("outside") > MANY_OUTSIDE)
+            if crowd.isEmpty():
+                break
+            crowd = stage(crowd, f"{next_at}-crowd")
+    return stage(_contested(entries, known, percent), work_dir(spark, "contested")), stage(known, known_at)
 
 
 def _across(rows: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of different known components that meet on a list.
 
-    On each list the sets outside the component of its first set are compared
+    On each list the sets outside its main component are compared
     with all others; lists within one component have none. Two sets that name a
     common list before this one are a pair there and not here once more; on the first
     list that they share they name none.
     """
-    other = rows.where("inside <> first_inside")
+    other = rows.where("inside <> main")
     met = other.alias("a").join(rows.alias("b"), "shingle")
-    met = met.where("a.inside <> b.inside and (b.inside = b.first_inside or a.doc_id < b.doc_id)")
+    met = met.where("a.inside <> b.inside and (b.inside = b.main or a.doc_id < b.doc_id)")
     met = met.where(_may_link(lambda c: F.col(f"a.{c}"), lambda c: F.col(f"b.{c}"), percent))
     again = " or ".join(f"a.{x} = b.{y}" for x in BEFORE for y in BEFORE)
     met = met.where(f"not coalesce({again}, false)")

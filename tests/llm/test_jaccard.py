@@ -86,3 +86,18 @@ def test_short_texts_with_a_few_words_added(spark, k, percent):
     want = brute_jaccard.components(texts, k, percent)
     assert sum(c != i for i, (_, c) in want.items()) == 35 * 6
     assert got(odd.documents(spark, list(texts.items())), k, percent) == want
+
+
+def test_near_copies_behind_unlike_heads(spark, monkeypatch):
+    """The first set of each list is a short text unlike the copies: these are still not compared each with each."""
+    compared, across = [], jaccard._across
+    monkeypatch.setattr(jaccard, "_across", lambda *args: compared.append(across(*args).count()) or across(*args))
+    random.seed(2)
+    base = [f"w{i}" for i in range(200)]
+    texts = {i: " ".join(base[i : i + 12]) for i in range(189)}
+    for i in range(60):
+        copy = list(base)
+        copy[random.randrange(200)] = f"x{i}"
+        texts[1000 + i] = " ".join(copy)
+    assert got(odd.documents(spark, list(texts.items())), 3, 90) == brute_jaccard.components(texts, 3, 90)
+    assert sum(compared) < 60, compared
