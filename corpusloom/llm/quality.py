@@ -159,14 +159,13 @@ def score(docs: DataFrame, model: Attention) -> DataFrame:
 
 
 def kept(docs: DataFrame, labels: DataFrame, rows: int = labelled.SAMPLE_ROWS) -> DataFrame:
-    """The documents the classifier accepts, with all their columns; the score is carried beside the text."""
-    model, names = train(docs, labels, rows), docs.columns
+    """The documents the classifier accepts, with all their columns; their texts go to Python once."""
+    model = train(docs, labels, rows)
 
     def accepted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in texts.slices(batches, "_llm_text"):
-            bag, counts = passages(part.column("_llm_text"))
+        for part in texts.slices(batches):
+            bag, counts = passages(part.column(texts.TEXT).fill_null(""))
             good = model.forward(encoded(counts), bag, part.num_rows)["p"] >= THRESHOLD
-            yield part.filter(pa.array(good)).select(names)
+            yield part.filter(pa.array(good))
 
-    rows_in = docs.withColumn("_llm_text", F.coalesce(F.col("text").cast("string"), F.lit("")))
-    return rows_in.mapInArrow(accepted, docs.schema)
+    return docs.mapInArrow(accepted, docs.schema)

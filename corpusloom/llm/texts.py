@@ -40,7 +40,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = TEXT) -> Iterator[pa.R
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = pc.binary_length(batch.column(text)).to_numpy(zero_copy_only=False).astype(np.int64)
+        sizes = pc.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
         part = (np.cumsum(sizes) - sizes) // SLICE_BYTES
         cuts = np.flatnonzero(np.diff(part)) + 1
         for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):

@@ -143,3 +143,12 @@ def test_the_sample_is_bounded_by_whole_texts(spark):
     assert taken and taken.items() <= every.items() and sum(map(len, taken.values())) <= 2_000
     assert {i for i, t in every.items() if len(t) == 100} >= set(taken)
     assert labelled.sample(docs, labels, "quality", 6000, 10).count() == 0
+
+
+def test_kept_sends_texts_once(spark):
+    """Null texts stay null, and no second copy of the texts goes to Python and back."""
+    docs = odd.documents(spark, odd.ROWS)
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    kept = quality.kept(docs, labels)
+    assert "coalesce" not in kept._jdf.queryExecution().analyzed().toString()
+    assert sorted(map(str, kept.collect())) == sorted(map(str, docs.collect()))  # without labels every score is 0.5
